@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-# Sampled rows per shuffle partition, and the smallest table and sample worth measuring.
+# Sampled rows per shuffle partition, and the smallest sample that tells anything.
 _SAMPLE_PER_PARTITION = 100
-_SAMPLE_FLOOR = 100_000
+_SAMPLE_FLOOR = 20_000
 
 Heavy = Mapping[str | None, int]
 """Heavy keys and, for each, over how many buckets to spread its rows."""
 
 
 def heavy_keys(
-    df: DataFrame, *columns: str, smallest: int = _SAMPLE_FLOOR
+    df: DataFrame, *columns: str, smallest: int = 100_000
 ) -> dict[str, dict[str | None, int]]:
     """Find keys that hold more than one shuffle partition's fair share of the rows.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cache, cached_property
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import clean, conform, dims, facts, joins, marts, publish, quality
 from marketloom.plans import daily
 from marketloom.schemas import BY_MONTH, GOLD, RAW, SILVER
-from marketloom.sources.standins import raw_standin
+from marketloom.sources.standins import Standins
 from marketloom.sources.tables import (
     read_raw_csv,
     read_table,
@@ -40,8 +40,8 @@ class Shop:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
-        self.raw = cache(lambda name: raw_standin(spark, sf_dir, name))
+        self.standins = Standins(spark, sf_dir)
+        self.raw = self.standins.raw
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -70,8 +70,9 @@ class Shop:
     @cached_property
     def heavy(self) -> dict[str, dict[str | None, int]]:
         """Heavy join keys, measured on the source tables rather than on cleaned ones."""
-        found = joins.heavy_keys(self.raw("order_items"), "order_id", "product_id")
-        return found | joins.heavy_keys(self.raw("orders"), "customer_id")
+        items = self.raw("order_items", spread=False)
+        found = joins.heavy_keys(items, "order_id", "product_id")
+        return found | joins.heavy_keys(self.raw("orders", spread=False), "customer_id")
 
     def fact(self, how: str = "inner") -> DataFrame:
         return facts.build_fact_orders(

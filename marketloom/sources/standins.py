@@ -88,17 +88,51 @@ SQL: dict[str, str] = {
         JOIN {region} ON n_regionkey = r_regionkey""",
 }
 
-_SOURCES = ("orders", "customer", "nation", "region", "lineitem", "part", "supplier")
+# The source tables that are read, as declared in the test data.
+SOURCES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
+# The tables that grow fastest, with the columns to spread them by.
+_SPREAD_BY = {"orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber")}
+
+
+class Standins:
+    """The raw tables derived from the Parquet files of one folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._cores = spark.sparkContext.defaultParallelism
+
+    def raw(self, name: str, spread: bool = True) -> DataFrame:
+        """The raw table ``name``; ``spread=False`` leaves the scan as it is."""
+        used = [source for source in SOURCES if f"{{{source}}}" in SQL[name]]
+        return self._spark.sql(SQL[name], **{source: self._source(source, spread) for source in used})
 
+    def _source(self, name: str, spread: bool) -> DataFrame:
+        """A source table, spread over the cores when its file cannot be split.
 
-def raw_standin(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The raw table ``name`` derived from the Parquet files in ``sf_dir``."""
-    used = [source for source in _SOURCES if f"{{{source}}}" in SQL[name]]
-    return spark.sql(
-        SQL[name], **{source: spark.read.parquet(f"{sf_dir}/{source}.parquet") for source in used}
-    )
+        A file with a single row group is read by one task, which would then also do
+        all the work up to the first shuffle.  A scan with a task per core stays as is.
+        """
+        table = self._spark.read.schema(SOURCES[name]).parquet(f"{self._sf_dir}/{name}.parquet")
+        if spread and name in _SPREAD_BY and table.rdd.getNumPartitions() < self._cores:
+            table = table.repartition(self._cores, *_SPREAD_BY[name])
+        return table
 
 
 def raw_sql(name: str) -> str:
     """The same table as SQL over views named like the source tables."""
-    return SQL[name].format(**{source: source for source in _SOURCES})
+    return SQL[name].format(**{source: source for source in SOURCES})
