@@ -18,7 +18,7 @@ Heavy = Mapping[str | None, int]
 
 
 def heavy_keys(
-    df: DataFrame, *columns: str, smallest: int = 100_000
+    df: DataFrame, *columns: str, smallest: int = 1_000_000
 ) -> dict[str, dict[str | None, int]]:
     """Find keys that hold more than one shuffle partition's fair share of the rows.
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.buckets import LOWEST, VALUE_TIERS, at_least
 from marketloom.functions.money import avg_amount, avg_whole, from_units, ratio, sum_amount, units
-from marketloom.operators.dims import one_row_per_person
 from marketloom.operators.joins import Heavy, lookup_join
 from marketloom.schemas import BY_MONTH, GOLD
 
@@ -63,12 +62,12 @@ def by_month_and_revenue(revenue: DataFrame) -> DataFrame:
 
 def customer_lifetime_value(
     fact: DataFrame,
-    customers: DataFrame,
+    persons: DataFrame,
     excluded: Sequence[str] = CANCELLED,
     average_per: str = "item",
     items_as: str = "sequence_sum",
 ) -> DataFrame:
-    """Value, span and tier of each person.
+    """Value, span and tier of each person; ``persons`` has one row each, as ``dim_customers``.
 
     By default the average is per item and ``total_items_purchased`` adds up the item
     sequence numbers; ``average_per="order"`` and ``items_as="row_count"`` give the
@@ -93,11 +92,9 @@ def customer_lifetime_value(
             purchased.alias("total_items_purchased"),
         )
     )
-    persons = one_row_per_person(
-        customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
-    )
+    person = persons.select("customer_unique_id", "customer_id", "customer_city", "customer_state")
     return (
-        value.join(persons, "customer_unique_id", "left")
+        value.join(person, "customer_unique_id", "left")
         .withColumns(
             {
                 "customer_tier": at_least(F.col("lifetime_value"), VALUE_TIERS, LOWEST),

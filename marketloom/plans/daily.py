@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -57,7 +58,8 @@ def run(
     }
     report.silver_rows = write_silver(raw, f"{lake}/silver", run_ts)
     silver = read_silver(spark, f"{lake}/silver")
-    run_id = run_ts.strftime("%Y%m%dT%H%M%S")
+    # A run repeated after a failure must not meet the version it left behind.
+    run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     report.gold_rows = stage_gold(spark, silver, f"{lake}/gold", run_id, run_ts)
     report.checks = publish.validate(spark, f"{lake}/gold", GOLD, run_id, minima)
     for table in GOLD:
@@ -97,7 +99,7 @@ def stage_gold(
     run_ts: datetime,
     dim_date: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Write a version of every gold table; the marts read the fact just written."""
+    """Write a version of every gold table; the marts read what was just written."""
 
     def stage(table: str, df: DataFrame) -> int:
         return publish.stage(df, root, table, run_id)
@@ -116,11 +118,12 @@ def stage_gold(
     }
     rows = _write_together(first, stage)
     fact = publish.staged(spark, root, "fact_orders", run_id)
+    persons = publish.staged(spark, root, "dim_customers", run_id)
     then = {
         "revenue_by_category": marts.revenue_by_category(
             fact, products, heavy_products=heavy["product_id"]
         ),
-        "customer_lifetime_value": marts.customer_lifetime_value(fact, customers),
+        "customer_lifetime_value": marts.customer_lifetime_value(fact, persons),
         "seller_performance": marts.seller_performance(fact, sellers),
     }
     return rows | _write_together(then, stage)

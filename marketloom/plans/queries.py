@@ -51,6 +51,10 @@ class Shop:
     def customers(self) -> DataFrame:
         return clean.clean_customers(self.raw("customers"), RUN_TS)
 
+    @cached_property
+    def persons(self) -> DataFrame:
+        return dims.build_dim_customers(self.customers, RUN_TS)
+
     @cached_property
     def items(self) -> DataFrame:
         return clean.clean_order_items(self.raw("order_items"), RUN_TS)
@@ -99,7 +103,7 @@ def revenue_by_category(shop: Shop) -> DataFrame:
 def dq_checks(shop: Shop) -> DataFrame:
     tables = {
         "fact_orders": shop.fact(),
-        "dim_customers": dims.build_dim_customers(shop.customers, RUN_TS),
+        "dim_customers": shop.persons,
         "dim_date": dims.purchase_calendar(shop.orders),
     }
     return quality.run_checks(tables, CHECKS)
@@ -151,7 +155,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "clean_payments": lambda shop: shop.payments,
     "clean_sellers": lambda shop: shop.sellers,
     "dim_date": lambda shop: dims.purchase_calendar(shop.orders),
-    "dim_customers": lambda shop: dims.build_dim_customers(shop.customers, RUN_TS),
+    "dim_customers": lambda shop: shop.persons,
     "dim_products": lambda shop: dims.build_dim_products(shop.products, RUN_TS),
     "dim_sellers": lambda shop: dims.build_dim_sellers(shop.sellers, RUN_TS),
     "payments_per_order": lambda shop: facts.payments_per_order(shop.payments),
@@ -159,10 +163,10 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "fact_orders_left": lambda shop: shop.fact("left"),
     "revenue_by_category": revenue_by_category,
     "customer_lifetime_value": lambda shop: marts.customer_lifetime_value(
-        shop.fact(), shop.customers
+        shop.fact(), shop.persons
     ),
     "customer_lifetime_value_per_order": lambda shop: marts.customer_lifetime_value(
-        shop.fact(), shop.customers, average_per="order", items_as="row_count"
+        shop.fact(), shop.persons, average_per="order", items_as="row_count"
     ),
     "seller_performance": lambda shop: marts.seller_performance(shop.fact(), shop.sellers),
     "customer_repeat_counts": lambda shop: dims.customer_repeat_counts(shop.customers),

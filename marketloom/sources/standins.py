@@ -115,11 +115,15 @@ class Standins:
         self._spark = spark
         self._sf_dir = sf_dir
         self._cores = spark.sparkContext.defaultParallelism
+        self._sources: dict[tuple[str, bool], DataFrame] = {}
 
     def raw(self, name: str, spread: bool = True) -> DataFrame:
         """The raw table ``name``; ``spread=False`` leaves the scan as it is."""
         used = [source for source in SOURCES if f"{{{source}}}" in SQL[name]]
-        return self._spark.sql(SQL[name], **{source: self._source(source, spread) for source in used})
+        for key in [(source, spread) for source in used]:
+            if key not in self._sources:
+                self._sources[key] = self._source(*key)
+        return self._spark.sql(SQL[name], **{s: self._sources[s, spread] for s in used})
 
     def _source(self, name: str, spread: bool) -> DataFrame:
         """A source table, spread over the cores when its file cannot be split.

@@ -52,6 +52,7 @@ def write_table(
 ) -> int:
     """Write Parquet and return the number of rows written, counted during the write.
 
+    Overwriting replaces the whole table, partitions without new rows included.
     Partitioned tables are rebalanced on the partition columns first.  Adaptive
     execution then merges small months and splits large ones, so neither a swarm of
     small files nor a single task holding a whole month can arise.
@@ -62,6 +63,7 @@ def write_table(
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -1,11 +1,13 @@
 """Every registered query against its SQL counterpart, over whole tables."""
 
+import os
+
 import pytest
 from compare import assert_same, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
