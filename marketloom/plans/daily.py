@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +27,13 @@ RAW_FILES = {
 }
 
 
-@dataclass
+@dataclass(frozen=True)
 class Report:
     """Rows written per table, and one line per check."""
 
-    silver_rows: dict[str, int] = field(default_factory=dict)
-    gold_rows: dict[str, int] = field(default_factory=dict)
-    checks: list[str] = field(default_factory=list)
+    silver_rows: dict[str, int]
+    gold_rows: dict[str, int]
+    checks: list[str]
 
 
 def run(
@@ -46,27 +46,64 @@ def run(
     checks: Sequence[quality.Check] = quality.WAREHOUSE_CHECKS,
     database: str = publish.DATABASE,
 ) -> Report:
-    """Run every step in order and stop at the first failure.
+    """Run the four steps in order and stop at the first failure.
 
     Each step reads what the step before it wrote, so no lineage is computed twice
-    and a lost executor costs at most the tasks of one step.
+    and a lost executor costs at most the tasks of one step.  A scheduler may also
+    call the steps one by one.
     """
-    report, lake = Report(), lake_root.rstrip("/")
+    # A run repeated after a failure must not meet the version it left behind.
+    run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    silver_rows = to_silver(spark, raw_root, lake_root, run_ts, raw_files)
+    gold_rows = to_gold(spark, lake_root, run_id, run_ts)
+    lines = load(spark, lake_root, run_id, minima, database)
+    return Report(silver_rows, gold_rows, lines + check(spark, checks, database))
+
+
+def to_silver(
+    spark: SparkSession,
+    raw_root: str,
+    lake_root: str,
+    run_ts: datetime,
+    raw_files: Mapping[str, str] = RAW_FILES,
+) -> dict[str, int]:
+    """Clean the raw CSV files into the silver tables."""
     raw = {
         name: read_raw_csv(spark, f"{raw_root.rstrip('/')}/{pattern}", RAW[name])
         for name, pattern in raw_files.items()
     }
-    report.silver_rows = write_silver(raw, f"{lake}/silver", run_ts)
-    silver = read_silver(spark, f"{lake}/silver")
-    # A run repeated after a failure must not meet the version it left behind.
-    run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    report.gold_rows = stage_gold(spark, silver, f"{lake}/gold", run_id, run_ts)
-    report.checks = publish.validate(spark, f"{lake}/gold", GOLD, run_id, minima)
+    return write_silver(raw, _silver_root(lake_root), run_ts)
+
+
+def to_gold(spark: SparkSession, lake_root: str, run_id: str, run_ts: datetime) -> dict[str, int]:
+    """Stage a version of every gold table from the silver tables."""
+    silver = read_silver(spark, _silver_root(lake_root))
+    return stage_gold(spark, silver, _gold_root(lake_root), run_id, run_ts)
+
+
+def load(
+    spark: SparkSession,
+    lake_root: str,
+    run_id: str,
+    minima: Mapping[str, int] = quality.STAGING_MINIMA,
+    database: str = publish.DATABASE,
+) -> list[str]:
+    """Validate the staged version of every table, then publish them all."""
+    root = _gold_root(lake_root)
+    lines = publish.validate(spark, root, GOLD, run_id, minima)
     for table in GOLD:
-        publish.swap(spark, f"{lake}/gold", table, run_id, database)
+        publish.swap(spark, root, table, run_id, database)
+    return lines
+
+
+def check(
+    spark: SparkSession,
+    checks: Sequence[quality.Check] = quality.WAREHOUSE_CHECKS,
+    database: str = publish.DATABASE,
+) -> list[str]:
+    """Check the published tables."""
     published = {table: spark.table(f"{database}.{table}") for table in GOLD}
-    report.checks += quality.enforce(quality.run_checks(published, checks))
-    return report
+    return quality.enforce(quality.run_checks(published, checks))
 
 
 def clean_all(raw: Mapping[str, DataFrame], run_ts: datetime) -> dict[str, DataFrame]:
@@ -136,3 +173,11 @@ def _write_together(
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         running = {name: pool.submit(write, name, df) for name, df in tables.items()}
         return {name: job.result() for name, job in running.items()}
+
+
+def _silver_root(lake_root: str) -> str:
+    return f"{lake_root.rstrip('/')}/silver"
+
+
+def _gold_root(lake_root: str) -> str:
+    return f"{lake_root.rstrip('/')}/gold"

@@ -33,15 +33,15 @@ SQL: dict[str, str] = {
         FROM {orders}""",
     "customers": """
         SELECT CAST(o_orderkey AS STRING) AS customer_id,
-               CAST(o_custkey AS STRING) AS customer_unique_id,
+               CASE WHEN o_orderkey % 89 <> 0 THEN CAST(o_custkey AS STRING) END
+                    AS customer_unique_id,
                CAST(c_nationkey AS STRING) AS customer_zip_code_prefix,
                concat('  ', lower(c_mktsegment), ' ', lower(r_name), ' ') AS customer_city,
                concat(' ', lower(substr(r_name, 1, 2)), ' ') AS customer_state
         FROM {orders}
         JOIN {customer} ON o_custkey = c_custkey
         JOIN {nation} ON c_nationkey = n_nationkey
-        JOIN {region} ON n_regionkey = r_regionkey
-        WHERE o_orderkey % 89 <> 0""",
+        JOIN {region} ON n_regionkey = r_regionkey""",
     "order_items": f"""
         SELECT CAST(l_orderkey AS STRING) AS order_id,
                CAST(l_linenumber AS STRING) AS order_item_id,

@@ -84,11 +84,8 @@ def test_a_hot_month_is_split_over_files(spark, tmp_path):
     finally:
         for name in settings:
             spark.conf.unset(name)
-    files = {
-        month: len(list((tmp_path / "t" / "purchase_year=2018").glob(f"purchase_month={month}/*.parquet")))
-        for month in (1, 5)
-    }
-    assert files[5] > 3 and files[1] <= 2
+    month = tmp_path / "t" / "purchase_year=2018" / "purchase_month=5"
+    assert len(list(month.glob("*.parquet"))) > 3
 
 
 def test_overwrite_replaces_the_whole_table(spark, tmp_path):
