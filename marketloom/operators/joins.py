@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+# A heavy key gets four buckets per fair share of rows it holds: small enough buckets
+# that two of them meeting in one partition do not matter.
+_BUCKETS_PER_SHARE = 4
+
 # Sampled rows per shuffle partition, and the smallest sample that tells anything.
 _SAMPLE_PER_PARTITION = 100
 _SAMPLE_FLOOR = 20_000
@@ -44,7 +48,7 @@ def heavy_keys(
     )
     counts = sample.select(F.inline(pairs)).groupBy("column", "key").count()
     for row in counts.filter(F.col("count") > fair_share).collect():
-        found[row["column"]][row["key"]] = ceil(row["count"] / fair_share)
+        found[row["column"]][row["key"]] = ceil(_BUCKETS_PER_SHARE * row["count"] / fair_share)
     return found
 
 
@@ -60,9 +64,10 @@ def lookup_join(
 
     Without heavy keys this is a plain join.  Otherwise the left rows of each heavy
     key are spread over its buckets by a hash of ``spread_by`` and the one right row
-    is repeated per bucket; all other rows stay in bucket 0.  The buckets add up to
-    at most twice the number of shuffle partitions.  The hash, unlike a random salt,
-    gives the same bucket when a lost task is run again.
+    is repeated per bucket; all other rows stay in bucket 0.  The buckets of all heavy
+    keys add up to a few times the number of shuffle partitions, so the repeated rows
+    do not grow with the data.  The hash, unlike a random salt, gives the same bucket
+    when a lost task is run again.
     """
     if not heavy:
         return left.join(right, key, how)
