@@ -1,0 +1,96 @@
+"""Plans: what must reach the scan, and what must never appear."""
+
+import re
+
+import pytest
+from frames import silver
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from marketloom.operators import facts, marts, quality
+from marketloom.operators.quality import MinRows, NoNulls
+from marketloom.schemas import GOLD, PARTITIONS, SILVER, stored
+from marketloom.sources.tables import read_table, write_table
+
+FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|PythonUDF|InPandas")
+
+
+@pytest.fixture
+def plan_of(capsys):
+    def explain(df):
+        capsys.readouterr()
+        df.explain("formatted")
+        return capsys.readouterr().out
+
+    return explain
+
+
+@pytest.fixture(scope="module")
+def stored_tables(spark, tmp_path_factory):
+    """Every silver table and the fact, stored with a single row."""
+    root = tmp_path_factory.mktemp("plans")
+    for name, schema in SILVER.items():
+        write_table(silver(spark, name, {}), f"{root}/{name}", PARTITIONS.get(name, ()))
+    names = GOLD["fact_orders"].fieldNames()
+    empty = spark.createDataFrame([tuple(None for _ in names)], stored(GOLD["fact_orders"]))
+    write_table(empty, f"{root}/fact_orders", PARTITIONS["fact_orders"])
+    tables = {name: read_table(spark, f"{root}/{name}", s) for name, s in SILVER.items()}
+    return tables | {"fact_orders": read_table(spark, f"{root}/fact_orders", GOLD["fact_orders"])}
+
+
+def scanned(plan):
+    """Columns read per scan."""
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^\n]*)>", plan)]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["clean_products", "fact_orders_left", "revenue_by_category", "customer_lifetime_value",
+     "seller_performance", "dq_checks", "category_price_totals", "join_row_loss"],
+)
+def test_no_nested_loops_and_no_python(name, spark, plan_of):
+    assert not FORBIDDEN.search(plan_of(queries()[name](spark, "/root/testdata/sf0.001")))
+
+
+def test_status_filter_and_columns_reach_the_scan(stored_tables, plan_of):
+    revenue = marts.revenue_by_category(stored_tables["fact_orders"], stored_tables["products"])
+    plan = plan_of(revenue)
+    assert "Not(EqualTo(order_status,cancelled))" in plan
+    fact, products = sorted(scanned(plan), key=len, reverse=True)
+    assert products == {"product_id", "category_english"}
+    assert fact == {"order_id", "order_item_id", "product_id", "price", "freight_value",
+                    "gross_revenue", "order_status"}
+
+
+def test_months_are_pruned(stored_tables, plan_of):
+    march = stored_tables["fact_orders"].filter("purchase_year = 2018 AND purchase_month = 3")
+    plan = plan_of(marts.seller_performance(march, stored_tables["sellers"]))
+    assert re.search(r"PartitionFilters: \[[^\n]*purchase_year#\d+ = 2018", plan)
+    assert re.search(r"PartitionFilters: \[[^\n]*purchase_month#\d+ = 3", plan)
+
+
+def test_the_fact_meets_the_items_in_one_join_and_counts_no_methods(stored_tables, plan_of):
+    fact = facts.build_fact_orders(
+        *(stored_tables[name] for name in ("order_items", "orders", "payments", "customers"))
+    )
+    tree = plan_of(fact).split("\n\n")[0]
+    assert len(re.findall(r"Join", tree)) == 3
+    # The unused distinct count would add aggregates beyond partial and final.
+    assert len(re.findall(r"Aggregate", tree)) == 2
+
+
+def test_all_checks_of_a_table_share_one_scan(stored_tables, plan_of):
+    checks = [MinRows("fact_orders", 1), NoNulls("fact_orders", "product_id"),
+              NoNulls("fact_orders", "customer_unique_id")]
+    plan = plan_of(quality.run_checks(stored_tables, checks))
+    assert scanned(plan) == [{"product_id", "customer_unique_id"}]
+
+
+def test_row_minima_read_no_columns(stored_tables, plan_of):
+    assert scanned(plan_of(quality.staging_checks({"fact_orders": stored_tables["fact_orders"]}))) == [set()]
+
+
+def test_distinct_orders_are_spread_before_they_are_counted(stored_tables, plan_of):
+    value = stored_tables["fact_orders"].groupBy("seller_id").agg(F.count_distinct("order_id"))
+    plan = plan_of(value)
+    assert re.search(r"hashpartitioning\(seller_id#\d+, order_id#\d+", plan)
