@@ -47,7 +47,8 @@ def build_fact_orders(
         orders, persons, "customer_id", "left", heavy.get("customer_id"), ["order_id"]
     )
     # An item whose order is missing may still have payments.
-    paid = known.join(payments_per_order(payments), "order_id", "left" if how == "inner" else "full")
+    paid_how = "left" if how == "inner" else "full"
+    paid = known.join(payments_per_order(payments), "order_id", paid_how)
     rows = lookup_join(
         items, paid, "order_id", how, heavy.get("order_id"), ["order_item_id", "product_id"]
     )

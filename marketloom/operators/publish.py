@@ -24,7 +24,10 @@ DATABASE = "warehouse"
 # Sorted files let readers skip row groups.  A partitioned write sorts its rows by the
 # partition columns anyway, so one more column there costs little.
 # Column and direction (True: descending).
-SORT_WITHIN = {"fact_orders": ("order_date_key", False), "revenue_by_category": ("total_revenue", True)}
+SORT_WITHIN = {
+    "fact_orders": ("order_date_key", False),
+    "revenue_by_category": ("total_revenue", True),
+}
 
 
 def version_path(root: str, table: str, run_id: str) -> str:

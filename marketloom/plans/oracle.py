@@ -53,8 +53,10 @@ _CTES |= {
                     CAST(order_delivered_customer_date AS TIMESTAMP)) AS INTEGER)
                     AS delivery_delay_days,
                {_AT} AS processed_at,
-               CAST(year(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER) AS purchase_year,
-               CAST(month(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER) AS purchase_month
+               CAST(year(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
+                    AS purchase_year,
+               CAST(month(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
+                    AS purchase_month
         FROM raw_orders WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
         {_first_per("orders", "order_id")}""",
     "s_customers": f"""
@@ -109,7 +111,8 @@ _CTES |= {
               FROM s_orders) AS days""",
     "g_persons": """
         SELECT * FROM s_customers
-        QUALIFY row_number() OVER (PARTITION BY customer_unique_id ORDER BY customer_id DESC) = 1""",
+        QUALIFY row_number() OVER
+            (PARTITION BY customer_unique_id ORDER BY customer_id DESC) = 1""",
     "g_customers": f"""
         SELECT customer_unique_id, customer_id, customer_zip_code_prefix, customer_city,
                customer_state, {_AT} AS dw_created_at FROM g_persons""",
@@ -166,7 +169,8 @@ _CTES |= {
                    CAST({purchased} AS BIGINT) AS total_items_purchased
             FROM g_live GROUP BY customer_unique_id)
         SELECT s.*, p.customer_id, p.customer_city, p.customer_state,
-               CASE WHEN lifetime_value >= 1000 THEN 'Gold' WHEN lifetime_value >= 500 THEN 'Silver'
+               CASE WHEN lifetime_value >= 1000 THEN 'Gold'
+                    WHEN lifetime_value >= 500 THEN 'Silver'
                     WHEN lifetime_value >= 100 THEN 'Bronze' ELSE 'New' END AS customer_tier,
                total_orders > 1 AS is_repeat_buyer
         FROM spent s LEFT JOIN g_persons p ON s.customer_unique_id = p.customer_unique_id"""

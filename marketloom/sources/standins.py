@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PRICE = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(12,2))"
+_PRICE = (
+    "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.001 AS DECIMAL(4,3))"
+    " AS DECIMAL(12,2))"
+)
 _FREIGHT = (
     "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.001 AS DECIMAL(4,3))"
     " * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2))"
@@ -54,7 +57,8 @@ SQL: dict[str, str] = {
     "products": """
         SELECT CAST(p_partkey AS STRING) AS product_id,
                CASE WHEN p_partkey % 50 <> 0 THEN lower(p_type) END AS product_category_name,
-               CASE WHEN p_partkey % 41 <> 0 THEN CAST(p_size * 250 AS STRING) END AS product_weight_g,
+               CASE WHEN p_partkey % 41 <> 0 THEN CAST(p_size * 250 AS STRING) END
+                    AS product_weight_g,
                CAST(p_size + 10 AS STRING) AS product_length_cm,
                CAST(p_partkey % 30 + 2 AS STRING) AS product_height_cm,
                CAST(p_partkey % 20 + 5 AS STRING) AS product_width_cm,
