@@ -7,6 +7,7 @@ it needs in front as common table expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 from marketloom.plans.queries import CHECKS, MINIMA, RUN_TS
 from marketloom.schemas import GOLD, RAW
@@ -33,7 +34,8 @@ def _ratio(total: str, count: str, digits: int) -> str:
     """total / count rounded half away from zero, in whole-number arithmetic."""
     scale = 10**digits
     part = f"CAST(abs({total}) * {scale} AS HUGEINT)"
-    return f"CAST(sign({total}) * ((2 * {part} + {count}) // (2 * {count})) / {scale}.0 AS DOUBLE)"
+    whole = f"(2 * {part} + {count}) // nullif(2 * {count}, 0)"
+    return f"CAST(sign({total}) * ({whole}) / {scale}.0 AS DOUBLE)"
 
 
 def _avg(amount: str) -> str:
@@ -44,18 +46,18 @@ _CTES: dict[str, str] = {f"raw_{name}": raw_sql(name) for name in SQL}
 _CTES |= {
     "s_orders": f"""
         SELECT order_id, customer_id, order_status,
-               CAST(order_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp,
-               CAST(order_approved_at AS TIMESTAMP) AS order_approved_at,
-               CAST(order_delivered_carrier_date AS TIMESTAMP) AS order_delivered_carrier_date,
-               CAST(order_delivered_customer_date AS TIMESTAMP) AS order_delivered_customer_date,
-               CAST(order_estimated_delivery_date AS TIMESTAMP) AS order_estimated_delivery_date,
-               CAST(date_diff('day', CAST(order_estimated_delivery_date AS TIMESTAMP),
-                    CAST(order_delivered_customer_date AS TIMESTAMP)) AS INTEGER)
+               TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp,
+               TRY_CAST(order_approved_at AS TIMESTAMP) AS order_approved_at,
+               TRY_CAST(order_delivered_carrier_date AS TIMESTAMP) AS order_delivered_carrier_date,
+               TRY_CAST(order_delivered_customer_date AS TIMESTAMP) AS order_delivered_customer_date,
+               TRY_CAST(order_estimated_delivery_date AS TIMESTAMP) AS order_estimated_delivery_date,
+               CAST(date_diff('day', TRY_CAST(order_estimated_delivery_date AS TIMESTAMP),
+                    TRY_CAST(order_delivered_customer_date AS TIMESTAMP)) AS INTEGER)
                     AS delivery_delay_days,
                {_AT} AS processed_at,
-               CAST(year(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
+               CAST(year(TRY_CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
                     AS purchase_year,
-               CAST(month(CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
+               CAST(month(TRY_CAST(order_purchase_timestamp AS TIMESTAMP)) AS INTEGER)
                     AS purchase_month
         FROM raw_orders WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
         {_first_per("orders", "order_id")}""",
@@ -66,10 +68,10 @@ _CTES |= {
         FROM raw_customers WHERE customer_id IS NOT NULL AND customer_unique_id IS NOT NULL
         {_first_per("customers", "customer_id")}""",
     "s_items": f"""
-        SELECT order_id, CAST(order_item_id AS INTEGER) AS order_item_id, product_id, seller_id,
-               CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date,
-               CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value,
-               CAST(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE)
+        SELECT order_id, TRY_CAST(order_item_id AS INTEGER) AS order_item_id, product_id, seller_id,
+               TRY_CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date,
+               TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(freight_value AS DOUBLE) AS freight_value,
+               CAST(TRY_CAST(price AS DECIMAL(18,2)) + TRY_CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE)
                     AS item_total_value,
                {_AT} AS processed_at
         FROM raw_order_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL
@@ -78,20 +80,20 @@ _CTES |= {
         WITH kept AS (SELECT * FROM raw_products WHERE product_id IS NOT NULL
                       {_first_per("products", "product_id")})
         SELECT product_id, k.product_category_name,
-               CAST(product_weight_g AS DOUBLE) AS product_weight_g,
-               CAST(product_length_cm AS DOUBLE) AS product_length_cm,
-               CAST(product_height_cm AS DOUBLE) AS product_height_cm,
-               CAST(product_width_cm AS DOUBLE) AS product_width_cm,
-               CAST(product_photos_qty AS INTEGER) AS product_photos_qty,
+               TRY_CAST(product_weight_g AS DOUBLE) AS product_weight_g,
+               TRY_CAST(product_length_cm AS DOUBLE) AS product_length_cm,
+               TRY_CAST(product_height_cm AS DOUBLE) AS product_height_cm,
+               TRY_CAST(product_width_cm AS DOUBLE) AS product_width_cm,
+               TRY_CAST(product_photos_qty AS INTEGER) AS product_photos_qty,
                coalesce(t.product_category_name_english, k.product_category_name, 'unknown')
                     AS category_english,
                {_AT} AS processed_at
         FROM kept k LEFT JOIN raw_translation t
           ON k.product_category_name = t.product_category_name""",
     "s_payments": f"""
-        SELECT order_id, CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
-               CAST(payment_installments AS INTEGER) AS payment_installments,
-               CAST(payment_value AS DOUBLE) AS payment_value, {_AT} AS processed_at
+        SELECT order_id, TRY_CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
+               TRY_CAST(payment_installments AS INTEGER) AS payment_installments,
+               TRY_CAST(payment_value AS DOUBLE) AS payment_value, {_AT} AS processed_at
         FROM raw_payments WHERE order_id IS NOT NULL
         {_first_per("payments", "order_id", "payment_sequential")}""",
     "s_sellers": f"""
@@ -132,7 +134,8 @@ _CTES |= {
     "g_payments": f"""
         SELECT order_id, {_sum("payment_value")} AS total_payment_value,
                count(DISTINCT payment_type) AS payment_methods_count,
-               min_by(payment_type, payment_sequential) AS primary_payment_type,
+               first(payment_type ORDER BY payment_sequential NULLS LAST, payment_type NULLS FIRST)
+                    AS primary_payment_type,
                max(payment_installments) AS max_installments
         FROM s_payments GROUP BY order_id""",
     **{
@@ -288,22 +291,25 @@ _FINAL: dict[str, str] = {
 }
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, given: Collection[str]) -> list[str]:
     """Names of the intermediate tables a statement uses, in definition order."""
     found: set[str] = set()
     pending = [sql]
     while pending:
         text = pending.pop()
         for name in _CTES:
-            if name not in found and re.search(rf"\b{name}\b", text):
+            if name not in found and name not in given and re.search(rf"\b{name}\b", text):
                 found.add(name)
                 pending.append(_CTES[name])
     return [name for name in _CTES if name in found]
 
 
+def statement(query: str, given: Collection[str] = ()) -> str:
+    """SQL of one query; intermediate tables in ``given`` exist already."""
+    names = _needed(_FINAL[query], given)
+    tables = ",\n".join(f"{name} AS ({_CTES[name]})" for name in names)
+    return f"WITH {tables}\n{_FINAL[query]}" if tables else _FINAL[query]
+
+
 def oracle_sql() -> dict[str, str]:
-    statements = {}
-    for query, final in _FINAL.items():
-        tables = ",\n".join(f"{name} AS ({_CTES[name]})" for name in _needed(final))
-        statements[query] = f"WITH {tables}\n{final}"
-    return statements
+    return {query: statement(query) for query in _FINAL}
