@@ -17,20 +17,24 @@ _BUCKETS_PER_SHARE = 4
 _SAMPLE_PER_PARTITION = 100
 _SAMPLE_FLOOR = 20_000
 
+# Of a stored table, read about this many rows per sampled row and skip all other files.
+_READ_PER_SAMPLED = 1000
+
 Heavy = Mapping[str | None, int]
 """Heavy keys and, for each, over how many buckets to spread its rows."""
 
 
 def heavy_keys(
-    df: DataFrame, *columns: str, smallest: int = 1_000_000
+    df: DataFrame, *columns: str, smallest: int = 1_000_000, stored: bool = False
 ) -> dict[str, dict[str | None, int]]:
     """Find keys that hold more than one shuffle partition's fair share of the rows.
 
     A key is heavy when its share of a row sample exceeds ``1 / partitions``, so no
     column can have more heavy keys than there are shuffle partitions.  The sample
     steers only the balance of a join: a missed or spurious key never changes rows.
-    Give it a stored table: it is scanned once, for the named columns alone.  Tables
-    of fewer than ``smallest`` rows need no balancing.
+    Only the named columns are read and, when ``df`` is ``stored`` (read from files as
+    they are), only a bounded part of a large table's files.  Tables of fewer than
+    ``smallest`` rows need no balancing.
     """
     partitions = _shuffle_partitions(df)
     found: dict[str, dict[str | None, int]] = {column: {} for column in columns}
@@ -38,6 +42,8 @@ def heavy_keys(
     if rows < max(smallest, 1) or partitions < 2:
         return found
     wanted = max(_SAMPLE_FLOOR, _SAMPLE_PER_PARTITION * partitions)
+    if stored:
+        df, rows = _some_files(df, rows, wanted)
     sample = df.select(*columns).sample(min(1.0, wanted / rows), seed=7)
     fair_share = min(rows, wanted) / partitions
     pairs = F.array(
@@ -109,6 +115,19 @@ def join_row_loss(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def _some_files(df: DataFrame, rows: int, wanted: int) -> tuple[DataFrame, int]:
+    """A random choice of whole files, and its rows; all files if the choice is too small.
+
+    Spark drops the other files when it lists the table, without opening them.
+    """
+    one_in = rows // (_READ_PER_SAMPLED * wanted)
+    if one_in < 2:
+        return df, rows
+    some = df.filter(F.pmod(F.xxhash64("_metadata.file_path"), F.lit(one_in)) == 0)
+    chosen = some.count()
+    return (some, chosen) if chosen >= wanted else (df, rows)
+
+
 def _shuffle_partitions(df: DataFrame) -> int:
     conf = df.sparkSession.conf
     initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)

@@ -142,8 +142,8 @@ def stage_gold(
         return publish.stage(df, root, table, run_id)
 
     customers, products, sellers = silver["customers"], silver["products"], silver["sellers"]
-    heavy = heavy_keys(silver["order_items"], "order_id", "product_id")
-    heavy |= heavy_keys(silver["orders"], "customer_id")
+    heavy = heavy_keys(silver["order_items"], "order_id", "product_id", stored=True)
+    heavy |= heavy_keys(silver["orders"], "customer_id", stored=True)
     first = {
         "dim_date": dims.build_dim_date(spark) if dim_date is None else dim_date,
         "dim_customers": dims.build_dim_customers(customers, run_ts),

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.operators import joins
 from marketloom.operators.joins import heavy_keys, join_row_loss, lookup_join
 
 ROWS = 6000
@@ -32,6 +33,20 @@ def test_heavy_keys_are_found(spark, skewed):
     assert found["id"] == {}
 
 
+def test_some_files_tell_the_heavy_keys_of_a_stored_table(spark, skewed, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    skewed.repartition(24, "id").write.parquet(path)
+    stored = spark.read.schema("id long, k string").parquet(path).select("k")
+    monkeypatch.setattr(joins, "_SAMPLE_FLOOR", 100)
+    monkeypatch.setattr(joins, "_SAMPLE_PER_PARTITION", 100)
+    monkeypatch.setattr(joins, "_READ_PER_SAMPLED", 1)
+    some, rows = joins._some_files(stored, ROWS, 800)
+    assert 800 <= rows < ROWS / 2 and some.count() == rows
+    assert set(heavy_keys(stored, "k", smallest=1, stored=True)["k"]) == {"hot", None}
+    none, rows = joins._some_files(stored, ROWS, 1)
+    assert rows in (ROWS, none.count())
+
+
 def test_small_tables_are_not_measured(skewed):
     assert heavy_keys(skewed, "k") == {"k": {}}
 
