@@ -38,8 +38,9 @@ def build_fact_orders(
 
     Persons and payments are attached to the orders first, where each side has one
     row per order, so the items, the largest table, meet a single join.  ``heavy``
-    holds the heavy keys of ``order_id`` (items) and ``customer_id`` (orders).
-    The order's payment total repeats on each of its items: do not add it up.
+    holds the heavy keys of ``order_id`` (items) and ``customer_id`` (orders), as
+    ``heavy_keys`` finds them; adaptive execution cannot split the items' join by
+    itself, because its other side is a join already.  The order's payment total repeats on each of its items: do not add it up.
     """
     heavy = heavy or {}
     persons = customers.select("customer_id", "customer_unique_id")

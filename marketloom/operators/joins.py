@@ -68,12 +68,12 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to the ``right`` row of the same key; ``right`` is unique on ``key``.
 
-    ``how`` is "left" or "inner".  Without heavy keys this is a plain join.  Otherwise the left rows of each heavy
-    key are spread over its buckets by a hash of ``spread_by`` and the one right row
-    is repeated per bucket; all other rows stay in bucket 0.  The buckets of all heavy
-    keys add up to a few times the number of shuffle partitions, so the repeated rows
-    do not grow with the data.  The hash, unlike a random salt, gives the same bucket
-    when a lost task is run again.
+    ``how`` is "left" or "inner".  Without heavy keys this is a plain join.  Otherwise
+    the left rows of each heavy key are spread over its buckets by a hash of
+    ``spread_by`` and the one right row is repeated per bucket; all other rows stay in
+    bucket 0.  The buckets of all heavy keys add up to a few times the number of shuffle
+    partitions, so the repeated rows do not grow with the data.  The hash, unlike a
+    random salt, gives the same bucket when a lost task is run again.
     """
     if not heavy:
         return left.join(right, key, how)

@@ -49,8 +49,10 @@ _CTES |= {
                TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp,
                TRY_CAST(order_approved_at AS TIMESTAMP) AS order_approved_at,
                TRY_CAST(order_delivered_carrier_date AS TIMESTAMP) AS order_delivered_carrier_date,
-               TRY_CAST(order_delivered_customer_date AS TIMESTAMP) AS order_delivered_customer_date,
-               TRY_CAST(order_estimated_delivery_date AS TIMESTAMP) AS order_estimated_delivery_date,
+               TRY_CAST(order_delivered_customer_date AS TIMESTAMP)
+                    AS order_delivered_customer_date,
+               TRY_CAST(order_estimated_delivery_date AS TIMESTAMP)
+                    AS order_estimated_delivery_date,
                CAST(date_diff('day', TRY_CAST(order_estimated_delivery_date AS TIMESTAMP),
                     TRY_CAST(order_delivered_customer_date AS TIMESTAMP)) AS INTEGER)
                     AS delivery_delay_days,
@@ -70,9 +72,10 @@ _CTES |= {
     "s_items": f"""
         SELECT order_id, TRY_CAST(order_item_id AS INTEGER) AS order_item_id, product_id, seller_id,
                TRY_CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date,
-               TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(freight_value AS DOUBLE) AS freight_value,
-               CAST(TRY_CAST(price AS DECIMAL(18,2)) + TRY_CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE)
-                    AS item_total_value,
+               TRY_CAST(price AS DOUBLE) AS price,
+               TRY_CAST(freight_value AS DOUBLE) AS freight_value,
+               CAST(TRY_CAST(price AS DECIMAL(18,2)) + TRY_CAST(freight_value AS DECIMAL(18,2))
+                    AS DOUBLE) AS item_total_value,
                {_AT} AS processed_at
         FROM raw_order_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL
         {_first_per("order_items", "order_id", "order_item_id")}""",
@@ -91,7 +94,8 @@ _CTES |= {
         FROM kept k LEFT JOIN raw_translation t
           ON k.product_category_name = t.product_category_name""",
     "s_payments": f"""
-        SELECT order_id, TRY_CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
+        SELECT order_id, TRY_CAST(payment_sequential AS INTEGER) AS payment_sequential,
+               payment_type,
                TRY_CAST(payment_installments AS INTEGER) AS payment_installments,
                TRY_CAST(payment_value AS DOUBLE) AS payment_value, {_AT} AS processed_at
         FROM raw_payments WHERE order_id IS NOT NULL
@@ -191,7 +195,8 @@ _CTES |= {
     "g_performance": f"""
         WITH months AS (
             SELECT seller_id, purchase_year, purchase_month,
-                   count(DISTINCT order_id) AS total_orders, count(order_item_id) AS total_item_sold,
+                   count(DISTINCT order_id) AS total_orders,
+                   count(order_item_id) AS total_item_sold,
                    {_sum("price")} AS total_revenue, {_avg("price")} AS avg_item_price,
                    {_ratio("sum(delivery_delay_days)", "count(delivery_delay_days)", 1)}
                         AS avg_delivery_delay_days,
@@ -248,6 +253,7 @@ _FINAL: dict[str, str] = {
         table: f"SELECT {', '.join(GOLD[table].fieldNames())} FROM {source}"
         for table, source in _TABLES.items()
     },
+    "dim_date": "SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM g_date",
     "payments_per_order": "SELECT * FROM g_payments",
     "fact_orders_left": "SELECT * FROM g_fact_left",
     "customer_lifetime_value_per_order": "SELECT * FROM g_ltv_per_order",

@@ -100,6 +100,12 @@ def revenue_by_category(shop: Shop) -> DataFrame:
     return marts.by_month_and_revenue(revenue)
 
 
+def dim_date(shop: Shop) -> DataFrame:
+    """The calendar of the purchases, its date as text, which all engines hand out alike."""
+    days = dims.purchase_calendar(shop.orders)
+    return days.withColumn("full_date", F.col("full_date").cast("string"))
+
+
 def dq_checks(shop: Shop) -> DataFrame:
     tables = {
         "fact_orders": shop.fact(),
@@ -154,7 +160,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "clean_products": lambda shop: shop.products,
     "clean_payments": lambda shop: shop.payments,
     "clean_sellers": lambda shop: shop.sellers,
-    "dim_date": lambda shop: dims.purchase_calendar(shop.orders),
+    "dim_date": dim_date,
     "dim_customers": lambda shop: shop.persons,
     "dim_products": lambda shop: dims.build_dim_products(shop.products, RUN_TS),
     "dim_sellers": lambda shop: dims.build_dim_sellers(shop.sellers, RUN_TS),
