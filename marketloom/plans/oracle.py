@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Collection
 
-from marketloom.plans.queries import CHECKS, MINIMA, RUN_TS
+from marketloom.plans.queries import CHECKS, MINIMA, NULLABLE_WHOLE, RUN_TS
 from marketloom.schemas import GOLD, RAW
 from marketloom.sources.standins import SQL, raw_sql
 
@@ -240,10 +240,16 @@ def _integral(table: str, label: str, *columns: str) -> str:
     )
 
 
+def _whole_as_double(table: str, *columns: str) -> str:
+    doubles = ", ".join(f"CAST({column} AS DOUBLE) AS {column}" for column in columns)
+    return f"SELECT * REPLACE ({doubles}) FROM {table}"
+
+
+_ORDER_WHOLE = tuple(name for name in NULLABLE_WHOLE if name != "order_date_key")
 _SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
 _FINAL: dict[str, str] = {
-    "clean_orders": "SELECT * FROM s_orders",
+    "clean_orders": _whole_as_double("s_orders", *_ORDER_WHOLE),
     "clean_customers": "SELECT * FROM s_customers",
     "clean_order_items": "SELECT * FROM s_items",
     "clean_products": "SELECT * FROM s_products",
@@ -255,7 +261,8 @@ _FINAL: dict[str, str] = {
     },
     "dim_date": "SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM g_date",
     "payments_per_order": "SELECT * FROM g_payments",
-    "fact_orders_left": "SELECT * FROM g_fact_left",
+    "fact_orders": _whole_as_double("g_fact", *NULLABLE_WHOLE),
+    "fact_orders_left": _whole_as_double("g_fact_left", *NULLABLE_WHOLE),
     "customer_lifetime_value_per_order": "SELECT * FROM g_ltv_per_order",
     "customer_repeat_counts": """
         SELECT count(customer_id) AS customer_ids, count(DISTINCT customer_unique_id) AS persons,
@@ -288,12 +295,13 @@ _FINAL: dict[str, str] = {
     + " UNION ALL "
     + _integral("s_payments", "payments", "payment_value"),
     "narrow_integral": "SELECT * REPLACE ("
-    + ", ".join(f"CAST({column} AS BIGINT) AS {column}" for column in (*_SIZES, "volume_cm3"))
+    + "CAST(CAST(product_weight_g AS BIGINT) AS VARCHAR) AS product_weight_g, "
+    + ", ".join(f"CAST({column} AS BIGINT) AS {column}" for column in (*_SIZES[1:], "volume_cm3"))
     + ") FROM g_products",
     "nan_to_null": "SELECT product_id, product_weight_g AS weight FROM s_products",
     "raw_csv_roundtrip": "SELECT * FROM raw_customers",
-    "partitioned_roundtrip": "SELECT * FROM s_orders",
-    "publish_roundtrip": "SELECT * FROM g_fact",
+    "partitioned_roundtrip": _whole_as_double("s_orders", *_ORDER_WHOLE),
+    "publish_roundtrip": _whole_as_double("g_fact", *NULLABLE_WHOLE),
 }
 
 

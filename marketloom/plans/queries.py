@@ -142,7 +142,7 @@ def raw_csv_roundtrip(shop: Shop) -> DataFrame:
 def partitioned_roundtrip(shop: Shop) -> DataFrame:
     path = shared_path(shop.spark, "silver_orders")
     write_table(shop.orders, path, BY_MONTH)
-    return read_table(shop.spark, path, SILVER["orders"])
+    return whole_as_double(read_table(shop.spark, path, SILVER["orders"]))
 
 
 def publish_roundtrip(shop: Shop) -> DataFrame:
@@ -150,11 +150,31 @@ def publish_roundtrip(shop: Shop) -> DataFrame:
     publish.publish(
         shop.spark, {"fact_orders": shop.fact()}, root, "run", MINIMA, QUERY_DATABASE
     )
-    return shop.spark.table(f"{QUERY_DATABASE}.fact_orders")
+    return whole_as_double(shop.spark.table(f"{QUERY_DATABASE}.fact_orders"))
+
+
+def narrow_integral(shop: Shop) -> DataFrame:
+    """Whole-number doubles as integers; the weight, which has NULLs, is shown as text."""
+    narrow = conform.narrow_integral(dims.build_dim_products(shop.products, RUN_TS))
+    return narrow.withColumn("product_weight_g", F.col("product_weight_g").cast("string"))
+
+
+# Whole numbers that can be NULL in the registered results.
+NULLABLE_WHOLE = ("delivery_delay_days", "order_date_key", *BY_MONTH)
+
+
+def whole_as_double(df: DataFrame) -> DataFrame:
+    """Hand out nullable whole numbers as doubles, which all engines do alike.
+
+    Taken out through pandas, a NULL turns Spark's integers into floats but not those
+    of other engines.
+    """
+    names = [name for name in NULLABLE_WHOLE if name in df.columns]
+    return df.withColumns({name: F.col(name).cast("double") for name in names})
 
 
 _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
-    "clean_orders": lambda shop: shop.orders,
+    "clean_orders": lambda shop: whole_as_double(shop.orders),
     "clean_customers": lambda shop: shop.customers,
     "clean_order_items": lambda shop: shop.items,
     "clean_products": lambda shop: shop.products,
@@ -165,8 +185,8 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "dim_products": lambda shop: dims.build_dim_products(shop.products, RUN_TS),
     "dim_sellers": lambda shop: dims.build_dim_sellers(shop.sellers, RUN_TS),
     "payments_per_order": lambda shop: facts.payments_per_order(shop.payments),
-    "fact_orders": lambda shop: shop.fact(),
-    "fact_orders_left": lambda shop: shop.fact("left"),
+    "fact_orders": lambda shop: whole_as_double(shop.fact()),
+    "fact_orders_left": lambda shop: whole_as_double(shop.fact("left")),
     "revenue_by_category": revenue_by_category,
     "customer_lifetime_value": lambda shop: marts.customer_lifetime_value(
         shop.fact(), shop.persons
@@ -186,9 +206,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "dq_checks": dq_checks,
     "staging_min_rows": lambda shop: quality.staging_checks(shop.staged_gold(), MINIMA),
     "integral_columns": integral_columns,
-    "narrow_integral": lambda shop: conform.narrow_integral(
-        dims.build_dim_products(shop.products, RUN_TS)
-    ),
+    "narrow_integral": narrow_integral,
     "nan_to_null": nan_to_null,
     "raw_csv_roundtrip": raw_csv_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,

@@ -10,7 +10,7 @@ from compare import assert_same
 
 from marketloom.operators import dims, facts, marts
 from marketloom.plans import daily, oracle
-from marketloom.plans.queries import RUN_TS
+from marketloom.plans.queries import RUN_TS, whole_as_double
 from marketloom.schemas import RAW
 
 START = datetime(2018, 1, 1)
@@ -128,7 +128,7 @@ def test_every_table(spark, seed):
     fact = facts.build_fact_orders(*fact_inputs, heavy=heavy)
     persons = dims.build_dim_customers(silver["customers"], RUN_TS)
     tables = {
-        "clean_orders": silver["orders"],
+        "clean_orders": whole_as_double(silver["orders"]),
         "clean_customers": silver["customers"],
         "clean_order_items": silver["order_items"],
         "clean_products": silver["products"],
@@ -137,8 +137,10 @@ def test_every_table(spark, seed):
         "dim_customers": persons,
         "dim_products": dims.build_dim_products(silver["products"], RUN_TS),
         "payments_per_order": facts.payments_per_order(silver["payments"]),
-        "fact_orders": fact,
-        "fact_orders_left": facts.build_fact_orders(*fact_inputs, how="left", heavy=heavy),
+        "fact_orders": whole_as_double(fact),
+        "fact_orders_left": whole_as_double(
+            facts.build_fact_orders(*fact_inputs, how="left", heavy=heavy)
+        ),
         "revenue_by_category": marts.revenue_by_category(
             fact, silver["products"], heavy_products={"phot": 4} if heavy else None
         ),
