@@ -35,16 +35,24 @@ def test_heavy_keys_are_found(spark, skewed):
 
 def test_some_files_tell_the_heavy_keys_of_a_stored_table(spark, skewed, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    skewed.repartition(24, "id").write.parquet(path)
+    skewed.repartition(60, "id").write.parquet(path)
     stored = spark.read.schema("id long, k string").parquet(path).select("k")
-    monkeypatch.setattr(joins, "_SAMPLE_FLOOR", 100)
-    monkeypatch.setattr(joins, "_SAMPLE_PER_PARTITION", 100)
+    monkeypatch.setattr(joins, "_SAMPLE_FLOOR", 300)
+    monkeypatch.setattr(joins, "_SAMPLE_PER_PARTITION", 1)
+    monkeypatch.setattr(joins, "_READ_PER_SAMPLED", 4)
+    some, rows = joins._some_files(stored, ROWS, 300)
+    assert 300 <= rows < ROWS / 2 and some.count() == rows
+    found = heavy_keys(stored, "k", smallest=1, stored=True)["k"]
+    assert "hot" in found and set(found) <= {"hot", None}
+
+
+def test_too_few_files_are_not_trusted(spark, skewed, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    skewed.coalesce(1).write.parquet(path)
+    stored = spark.read.schema("id long, k string").parquet(path)
     monkeypatch.setattr(joins, "_READ_PER_SAMPLED", 1)
-    some, rows = joins._some_files(stored, ROWS, 800)
-    assert 800 <= rows < ROWS / 2 and some.count() == rows
-    assert set(heavy_keys(stored, "k", smallest=1, stored=True)["k"]) == {"hot", None}
-    none, rows = joins._some_files(stored, ROWS, 1)
-    assert rows in (ROWS, none.count())
+    some, rows = joins._some_files(stored, ROWS, 10)
+    assert rows == some.count() == ROWS
 
 
 def test_small_tables_are_not_measured(skewed):
