@@ -4,24 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm import simhash
+from marketloom.llm import mixing, oracle, packing, simhash
+from marketloom.llm.shipping import ship
+
+#: The mix: domains, to which sources belong by number, and weights by level and name.
+DOMAINS = ("web", "reference", "forum", "news")
+WEIGHTS = {
+    "domain": {"web": 5, "reference": 3, "forum": 1, "news": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+    "source": {"src0": 2, "src5": 3},
+}
+BUDGET_PERCENT = 60
+
+
+def domain() -> Column:
+    """The domain of a document's source; null where the source has no number."""
+    number = F.expr("try_cast(substring(source, 4) as int)")
+    return F.element_at(F.lit(list(DOMAINS)), F.pmod(number, F.lit(len(DOMAINS))) + 1)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"), domain(), WEIGHTS, BUDGET_PERCENT)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op6_simhash": op6_simhash,
+    "op7_packing": op7_packing,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op6_simhash": op6_simhash,
-    }
+    def bind(query: Callable[[SparkSession, str], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {name: bind(query) for name, query in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_mixing": oracle.mixing(DOMAINS, WEIGHTS, BUDGET_PERCENT),
+    }
