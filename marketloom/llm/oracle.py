@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from marketloom.llm import mixing as mix
+from marketloom.llm import secrets as scan
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -75,3 +76,80 @@ def mixing(domains: Sequence[str], weights: Mapping, budget_percent: int) -> str
            (epochs + (tokens_so_far <= prefix)::INT)::INT AS copies
     FROM placed WHERE epochs + (tokens_so_far <= prefix)::INT > 0
     """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _located(pattern: str) -> str:
+    """Texts with a match: the matches, and where each starts and ends."""
+    p = _quoted(pattern)
+    return f"""
+        SELECT doc_id, unnest(found) AS found, unnest(range(len(found))) AS i, found AS all_found,
+               string_split_regex(text, {p}) AS between
+        FROM (SELECT doc_id, text, regexp_extract_all(text, {p}) AS found FROM d)
+        WHERE len(found) > 0"""
+
+
+def _starts(pattern: str) -> str:
+    return f"""
+        SELECT doc_id, found, (list_sum([length(x) for x in between[: i + 1]])
+               + coalesce(list_sum([length(x) for x in all_found[:i]]), 0))::BIGINT AS at
+        FROM ({_located(pattern)})"""
+
+
+def _entropy(kind: int, chars: scan.CharClass) -> str:
+    """Windows of high entropy, joined where they overlap or touch."""
+    units = "[" + ", ".join(map(str, scan.bits_of_counts())) + "]"
+    allowed = " OR ".join(f"regexp_matches(found, {_quoted(x)})" for x in scan.ALLOWED)
+    w = scan.WINDOW
+    return f"""
+        SELECT doc_id, min(start) AS start, {kind} AS kind, max(start) + {w} AS end_
+        FROM (
+            SELECT *, sum(new) OVER (PARTITION BY doc_id, at ORDER BY start) AS run
+            FROM (
+                SELECT *, (start > coalesce(lag(start) OVER (
+                       PARTITION BY doc_id, at ORDER BY start), -9) + {w})::INT AS new
+                FROM (
+                    SELECT doc_id, at, at + o AS start, substr(found, o + 1, {w}) AS part
+                    FROM (SELECT *, unnest(range(length(found) - {w - 1})) AS o
+                          FROM ({_starts(chars.pattern)}) WHERE NOT ({allowed}))
+                )
+                WHERE list_sum([{units}[n + 1] for n in map_values(
+                          list_histogram(string_split(part, '')))]) <= {scan.most_units(chars.bits)}
+            )
+        ) GROUP BY doc_id, at, run"""
+
+
+def secrets() -> str:
+    kinds = [*scan.BASE_KINDS, *(c.kind for c in scan.CLASSES)]
+    names = "[" + ", ".join(map(_quoted, kinds)) + "]"
+    listed = f"{names}[kind + 1] || ':' || start || ':' || end_, ',' ORDER BY start, kind"
+    base = [
+        f"""SELECT doc_id, at AS start, {kind} AS kind, at + length(found) AS end_
+            FROM ({_starts(pattern)}) WHERE {long_enough}"""
+        for kind, pattern, long_enough in (
+            (0, scan.ASSIGN, f"length(regexp_extract(found, {_quoted(scan.ASSIGN)}, 1))"
+                             f" >= {scan.ASSIGN_LEAST}"),
+            (1, scan.ACCESS, f"length(found) >= {scan.ACCESS_LEAST}"),
+            (2, scan.HEX, f"length(found) >= {scan.HEX_LEAST}"),
+        )
+    ]
+    added = [_entropy(len(base) + i, c) for i, c in enumerate(scan.CLASSES)]
+    every = " UNION ALL ".join([*base, *added])
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    s AS ({every}),
+    l AS (
+        SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign,
+               count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+               string_agg({listed}) FILTER (kind < {len(base)}) AS base,
+               string_agg({listed}) AS spans
+        FROM s GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans
+    FROM d LEFT JOIN l USING (doc_id)
+    """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import mixing, oracle, packing, simhash
+from marketloom.llm import mixing, oracle, packing, secrets, simhash
 from marketloom.llm.shipping import ship
 
 #: The mix: domains, to which sources belong by number, and weights by level and name.
@@ -34,6 +34,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), domain(), WEIGHTS, BUDGET_PERCENT)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
 }
@@ -63,4 +68,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mixing": oracle.mixing(DOMAINS, WEIGHTS, BUDGET_PERCENT),
+        "op5_secrets": oracle.secrets(),
     }
