@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
 
@@ -36,6 +37,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def extended(schema: T.StructType, added: str) -> T.StructType:
+    """A schema with more fields, given as DDL; the schema itself stays as it is."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(added).fields])
+
+
 def salt(*columns: Column | str, salts: int = SALTS) -> Column:
     """A number from 0 to salts - 1 that follows from the columns' values."""
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")

@@ -95,7 +95,7 @@ def _located(pattern: str) -> str:
 def _starts(pattern: str) -> str:
     return f"""
         SELECT doc_id, found, (list_sum([length(x) for x in between[: i + 1]])
-               + coalesce(list_sum([length(x) for x in all_found[:i]]), 0))::BIGINT AS at
+               + coalesce(list_sum([length(x) for x in all_found[:i]]), 0))::BIGINT AS pos
         FROM ({_located(pattern)})"""
 
 
@@ -107,19 +107,19 @@ def _entropy(kind: int, chars: scan.CharClass) -> str:
     return f"""
         SELECT doc_id, min(start) AS start, {kind} AS kind, max(start) + {w} AS end_
         FROM (
-            SELECT *, sum(new) OVER (PARTITION BY doc_id, at ORDER BY start) AS run
+            SELECT *, sum(new) OVER (PARTITION BY doc_id, pos ORDER BY start) AS run
             FROM (
                 SELECT *, (start > coalesce(lag(start) OVER (
-                       PARTITION BY doc_id, at ORDER BY start), -9) + {w})::INT AS new
+                       PARTITION BY doc_id, pos ORDER BY start), -9) + {w})::INT AS new
                 FROM (
-                    SELECT doc_id, at, at + o AS start, substr(found, o + 1, {w}) AS part
+                    SELECT doc_id, pos, pos + o AS start, substr(found, o + 1, {w}) AS part
                     FROM (SELECT *, unnest(range(length(found) - {w - 1})) AS o
                           FROM ({_starts(chars.pattern)}) WHERE NOT ({allowed}))
                 )
-                WHERE list_sum([{units}[n + 1] for n in map_values(
+                WHERE list_sum([{units}[n::BIGINT + 1] for n in map_values(
                           list_histogram(string_split(part, '')))]) <= {scan.most_units(chars.bits)}
             )
-        ) GROUP BY doc_id, at, run"""
+        ) GROUP BY doc_id, pos, run"""
 
 
 def secrets() -> str:
@@ -127,7 +127,7 @@ def secrets() -> str:
     names = "[" + ", ".join(map(_quoted, kinds)) + "]"
     listed = f"{names}[kind + 1] || ':' || start || ':' || end_, ',' ORDER BY start, kind"
     base = [
-        f"""SELECT doc_id, at AS start, {kind} AS kind, at + length(found) AS end_
+        f"""SELECT doc_id, pos AS start, {kind} AS kind, pos + length(found) AS end_
             FROM ({_starts(pattern)}) WHERE {long_enough}"""
         for kind, pattern, long_enough in (
             (0, scan.ASSIGN, f"length(regexp_extract(found, {_quoted(scan.ASSIGN)}, 1))"
@@ -153,3 +153,25 @@ def secrets() -> str:
            coalesce(spans, '') AS spans
     FROM d LEFT JOIN l USING (doc_id)
     """
+
+
+def nearest(k: int) -> str:
+    """The exact answer; the operator's recall is high enough to give it on small tables."""
+    return f"""
+    WITH v AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+          AND len([x for x in embedding if x <> 0]) > 0
+    ),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    ),
+    r AS (
+        SELECT query_id, row_number() OVER (
+                   PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+        FROM s
+    )
+    SELECT * FROM r WHERE rank <= {k}
+    """

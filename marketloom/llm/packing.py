@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, salt
+from marketloom.llm.common import Scratch, extended, salt
 
 CAPACITY = 2048
 END_ID = 1
@@ -291,10 +291,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             )
 
     ranked = ranked.select(*columns, (F.col("_rank") - 1 + F.col("_base")).alias("_rank"))
-    schema = pieces.schema
-    for name in extra:
-        schema = schema.add(name, "long")
-    return ranked.mapInArrow(assign, schema)
+    added = ", ".join(f"{name} long" for name in extra)
+    return ranked.mapInArrow(assign, extended(pieces.schema, added))
 
 
 def pack(

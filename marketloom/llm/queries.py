@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import mixing, oracle, packing, secrets, simhash
+from marketloom.llm import ann, mixing, neardup, oracle, packing, secrets, simhash
 from marketloom.llm.shipping import ship
 
 #: The mix: domains, to which sources belong by number, and weights by level and name.
@@ -30,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), domain(), WEIGHTS, BUDGET_PERCENT)
 
@@ -46,11 +50,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 20 = 0"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_neardup": op2_neardup,
     "op3_mixing": op3_mixing,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op8_ann": op8_ann,
 }
 
 
@@ -69,4 +79,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_mixing": oracle.mixing(DOMAINS, WEIGHTS, BUDGET_PERCENT),
         "op5_secrets": oracle.secrets(),
+        "op8_ann": oracle.nearest(ann.K),
     }
