@@ -7,6 +7,23 @@ from collections.abc import Mapping, Sequence
 from marketloom.llm import mixing as mix
 from marketloom.llm import secrets as scan
 
+WARC = """
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+    ),
+    r AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS response_id FROM p)
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+           list_aggregate([
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      1 + (('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT
+                           // (32768 >> 5 * (i % 4))::BIGINT % 32)::INT, 1)
+               for i in range(32)], 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM response_id THEN 'response' ELSE 'revisit' END
+               AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM response_id THEN response_id END AS refers_to
+    FROM r
+    """
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import ann, mixing, neardup, oracle, packing, secrets, simhash
+from marketloom.llm import ann, mixing, neardup, oracle, packing, secrets, simhash, warc
 from marketloom.llm.shipping import ship
 
 #: The mix: domains, to which sources belong by number, and weights by level and name.
@@ -30,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages")).drop("intact")
+
+
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_neardup": op2_neardup,
     "op3_mixing": op3_mixing,
     "op5_secrets": op5_secrets,
@@ -77,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc": oracle.WARC,
         "op3_mixing": oracle.mixing(DOMAINS, WEIGHTS, BUDGET_PERCENT),
         "op5_secrets": oracle.secrets(),
         "op8_ann": oracle.nearest(ann.K),
