@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import ann, mixing, neardup, oracle, packing, secrets, simhash, warc
+from marketloom.llm import (
+    ann,
+    langid,
+    mixing,
+    neardup,
+    oracle,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    warc,
+)
 from marketloom.llm.shipping import ship
 
 #: The mix: domains, to which sources belong by number, and weights by level and name.
@@ -42,6 +54,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), domain(), WEIGHTS, BUDGET_PERCENT)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents")).drop("found")
 
@@ -58,14 +74,25 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 20 = 0"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_neardup": op2_neardup,
     "op3_mixing": op3_mixing,
+    "op4_substrings": op4_substrings,
     "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
+    "op9_quality": op9_quality,
+    "op10_langid": op10_langid,
 }
 
 
