@@ -154,7 +154,7 @@ def select(
         clear.unionByName(last)
         .withColumn("copies", F.col("epochs") + F.col("_in").cast("int"))
         .where("copies > 0")
-        .drop("_order", "_share", "_start", "_end", "_in", "epochs", "prefix")
+        .select(*rows.columns, "copies")
     )
 
 

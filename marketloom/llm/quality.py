@@ -79,8 +79,8 @@ def describe(lines: list[bytes]) -> np.ndarray:
     again = np.zeros(len(starts), dtype=bool)
     again[1:] = (hashes[1:] == hashes[:-1]) & (of[1:] == of[:-1])
     repeated = np.bincount(of, weights=again, minlength=len(lines)) / many
-    marked = np.bincount(of, weights=KIND[data[stops - 1]] < len(PUNCTUATION), minlength=len(lines))
-    marked /= many
+    ends_marked = KIND[data[stops - 1]] < len(PUNCTUATION)
+    marked = np.bincount(of, weights=ends_marked, minlength=len(lines)) / many
     length = (stops - starts).astype(np.float64)
     mean = np.bincount(of, weights=length, minlength=len(lines)) / many
     longest = np.zeros(len(lines))

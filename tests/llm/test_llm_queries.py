@@ -1,0 +1,117 @@
+"""Registered queries with a SQL counterpart, and the pipeline."""
+
+import os
+import zlib
+
+import pytest
+from compare import assert_same, connect
+from corpora import AWKWARD, documents, with_clashes
+
+import corpus_pipeline
+from marketloom.llm import quality, secrets, simhash
+from marketloom.llm.queries import oracle_sql, queries
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_counterpart(name, spark):
+    assert assert_same(queries()[name](spark, SF_DIR), connect(SF_DIR), oracle_sql()[name]) > 0
+
+
+def test_one_query_for_each_operator():
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "simhash near-dedup", "secret scans", "source mix", "packing",
+    ]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    out = [docs]
+    scratch = simhash.Scratch(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(scratch.table(stage(spark, out[-1], SF_DIR)))
+    return out
+
+
+def ids(df):
+    return sorted(r[0] for r in df.select("doc_id").collect())
+
+
+def test_stages_return_documents(stages):
+    assert all(df.columns == stages[0].columns for df in stages[:-1])
+    assert all(df.dtypes == stages[0].dtypes for df in stages[:-1])
+
+
+def test_rejected_documents_go(spark, stages):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = quality.quality(stages[0], labels).where("predicted = 1")
+    assert ids(stages[1]) == ids(scored) and len(ids(stages[1])) < stages[0].count()
+
+
+def test_one_of_each_group_stays(stages):
+    rows = stages[1].select("doc_id", "text").collect()
+    prints = {r["doc_id"]: simhash.fingerprint(r["text"]) for r in rows}
+    left, stay = sorted(prints), []
+    while left:
+        group, todo = set(), {left[0]}
+        while todo:
+            group |= todo
+            todo = {
+                d for d in left
+                if d not in group and any((prints[d] ^ prints[g]).bit_count() <= 2 for g in todo)
+            }
+        stay.append(min(group))
+        left = [d for d in left if d not in group]
+    assert ids(stages[2]) == sorted(stay)
+
+
+def test_secrets_are_hidden(stages):
+    assert ids(stages[3]) == ids(stages[2])
+    before = {r["doc_id"]: r for r in secrets.scan(stages[2]).collect()}
+    texts = {r["doc_id"]: r["text"] for r in stages[2].collect()}
+    for row in stages[3].collect():
+        spans = before[row["doc_id"]]["found"]
+        assert row["n_chars"] == len(row["text"])
+        if not spans:
+            assert row["text"] == texts[row["doc_id"]]
+        else:
+            assert secrets.MARK in row["text"]
+            for s in spans:
+                assert texts[row["doc_id"]][s["start"] : s["end"]] not in row["text"]
+
+
+def test_the_mix_is_packed(stages):
+    mixed, packed = stages[4].collect(), stages[5].collect()
+    assert {r["doc_id"] for r in mixed} <= set(ids(stages[3])) and mixed
+    whole = {}
+    for row in packed:
+        key = row["doc_id"]
+        whole.setdefault(key, [row["doc_tokens"], 0])[1] += row["length"]
+    copies = {}
+    for row in mixed:
+        copies[row["doc_id"]] = copies.get(row["doc_id"], 0) + 1
+    assert {d: n * tokens for (d, n), tokens in
+            ((x, whole[x[0]][0]) for x in copies.items())} == {d: t[1] for d, t in whole.items()}
+
+
+def test_awkward_documents_pass_every_stage(spark, tmp_path):
+    labels = spark.createDataFrame([(3, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = with_clashes(documents(spark, AWKWARD))
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() > 0
+        if n < 4:
+            assert out.columns == docs.columns
+            assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    near = corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path))
+    found = [r["doc_id"] for r in near.collect()]
+    assert None in found and len(found) == len(set(found)) and 5 not in found
+
+
+def test_the_sample_of_a_model_skips_held_out_documents():
+    assert [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert (quality.FOLDS, quality.HELD_OUT) == (5, 0)

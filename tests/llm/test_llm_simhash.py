@@ -1,0 +1,123 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from corpora import AWKWARD, documents, with_clashes
+
+from marketloom.llm import simhash
+from marketloom.llm.common import Scratch, components
+
+
+def slow_fingerprint(text, words=3):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    found = re.findall("[^\x20\x09-\x0d]+", text)
+    if len(found) >= words:
+        shingles = [" ".join(found[i : i + words]) for i in range(len(found) - words + 1)]
+    else:
+        shingles = [" ".join(found)] if found else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(nodes, linked):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a in nodes:
+        for b in nodes:
+            if a < b and linked(a, b):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {n: find(n) for n in nodes}
+
+
+@pytest.mark.parametrize("text", ["", "A b", "One two THREE four é É", "a b c\x0bd", "x " * 50])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_fingerprint_of_a_text_hashed_in_parts(monkeypatch):
+    text = " ".join(random.Random(1).choice("abcdef") * 3 for _ in range(500))
+    monkeypatch.setattr(simhash, "WORDS_AT_ONCE", 7)
+    assert simhash.fingerprint(text) == slow_fingerprint(text)
+
+
+def test_linked_points_share_an_anchor():
+    rng = np.random.default_rng(0)
+    for distance in (1, 2, 3, 4):
+        reach = (distance + 1) // 2
+        for value in rng.integers(0, 1 << 63, 3, dtype=np.uint64):
+            flips = rng.choice(64, distance, replace=False)
+            other = value ^ np.uint64(sum(1 << int(b) for b in flips))
+            near = [set(simhash.anchors(np.array([x]), reach)[1].tolist()) for x in (value, other)]
+            assert near[0] & near[1]
+            radius = sum(block[3] for block in simhash.BLOCKS)
+            assert all((int(value) ^ a).bit_count() <= radius + reach for a in near[0])
+
+
+@pytest.mark.parametrize("group", [1000, 3])
+@pytest.mark.parametrize("distance", [0, 2, 3])
+def test_links(spark, monkeypatch, group, distance):
+    """Dense clusters, with anchors compared by a task and dealt out by midpoint."""
+    monkeypatch.setattr(simhash, "ANCHOR_GROUP", group)
+    rng = random.Random(distance)
+    values = set()
+    for _ in range(6):
+        centre = rng.getrandbits(63)
+        for _ in range(25):
+            values.add(centre ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(4))))
+    rows = [(v,) for v in sorted(values)]
+    scratch = Scratch(spark)
+    classes = spark.createDataFrame(rows, "fingerprint long")
+    found = simhash.links(scratch, classes, distance)
+    for a, b in found.collect():
+        assert (a ^ b).bit_count() <= distance
+    got = {r["node"]: r["root"] for r in components(scratch, found).collect()}
+    want = slow_components([v for (v,) in rows], lambda a, b: (a ^ b).bit_count() <= distance)
+    assert {v: got.get(v, v) for v in want} == want
+
+
+def test_negative_fingerprints_link(spark):
+    rows = [(-1,), (-2,), ((1 << 63) - 1,)]
+    found = simhash.links(Scratch(spark), spark.createDataFrame(rows, "fingerprint long"), 1)
+    assert {frozenset(r) for r in found.collect()} == {
+        frozenset((-1, -2)),
+        frozenset((-1, (1 << 63) - 1)),
+    }
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)]
+    links += [(5, 5), (None, 3), (4, None), (7, 6)]
+    found = components(Scratch(spark), spark.createDataFrame(links, "a long, b long")).collect()
+    want = {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1100)}
+    assert {r["node"]: r["root"] for r in found} == want and len(found) == len(want)
+
+
+def test_awkward_documents(spark):
+    found = simhash.near_duplicates(with_clashes(documents(spark, AWKWARD))).collect()
+    assert len(found) == len(AWKWARD)
+    prints = {row[0]: slow_fingerprint(row[1]) for row in AWKWARD}
+    nodes = sorted(prints, key=lambda x: (x is None, x))
+    for row in found:
+        assert row["fingerprint"] == f"{prints[row['doc_id']]:016x}"
+        reachable = {row["doc_id"]}
+        while True:
+            more = {
+                n for n in nodes for m in reachable if (prints[n] ^ prints[m]).bit_count() <= 2
+            }
+            if more <= reachable:
+                break
+            reachable |= more
+        assert row["component_id"] == min((n for n in reachable if n is not None), default=None)
+
+
+def test_empty_table(spark):
+    found = simhash.near_duplicates(documents(spark, []))
+    assert found.columns == ["doc_id", "fingerprint", "component_id"] and not found.collect()
