@@ -27,16 +27,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, salted_join
+from marketloom.llm.common import Scratch, extended, salted_join
 
 LENGTH = 400
-SEED_LENGTH = 32  # a power of two
+SEED_LENGTH = 64  # a power of two
 #: Distinct contexts of one anchor that a task sorts; beyond it their strings are counted.
 GROUP = 50_000
 #: Contexts that a task sorts together, and bytes in which it looks for anchors at a time.
 SORTED_AT_ONCE = 30_000
 BYTES_AT_ONCE = 1 << 18
 
+#: How texts are packed for a shuffle.
+CODEC, CODEC_LEVEL = "zstd", 1
+
 _PLACE_BITS = 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 END_SYMBOL = 256
@@ -166,45 +169,75 @@ def _all_anchors(docs: DataFrame, width: Width) -> DataFrame:
                     [
                         batch.column(0).take(of_row),
                         batch.column(1).take(of_row),
-                        pa.array(places - begin),
+                        pa.array((places - begin).astype(np.int32)),
                         pa.array(hashes.view(np.int64)),
                         pa.array(contexts.view(np.int64)),
                     ],
                     ["id0", "hash", "place", "anchor", "context"],
                 )
 
-    return docs.mapInArrow(find, "id0 long, hash long, place long, anchor long, context long")
+    columns = docs.select(*KEYS, "data")
+    return columns.mapInArrow(find, "id0 long, hash long, place int, anchor long, context long")
+
 
+def _packed(texts: DataFrame) -> DataFrame:
+    """Texts with `packed` and its whole `bytes` in place of data, so that less is shuffled."""
+    names = [name for name in texts.columns if name != "data"]
 
-def _contexts(docs: DataFrame, wanted: DataFrame, width: Width) -> DataFrame:
-    """Wanted (id0, hash, place, anchor, context, size, rivals) with `left` and `bytes`."""
-    per_text = wanted.groupBy(*KEYS).agg(
-        F.collect_list(F.struct("place", "anchor", "context", "size", "rivals")).alias("wanted")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec(CODEC, compression_level=CODEC_LEVEL)
+        for batch in batches:
+            data = [text.as_py() for text in batch.column("data")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name) for name in names),
+                    pa.array([codec.compress(text, asbytes=True) for text in data], pa.binary()),
+                    pa.array([len(text) for text in data], pa.int32()),
+                ],
+                [*names, "packed", "bytes"],
+            )
+
+    columns = texts.select(*names, "data")
+    return columns.mapInArrow(
+        pack, extended(columns.drop("data").schema, "packed binary, bytes int")
     )
 
+
+def _unpacked(packed: pa.Array, sizes: pa.Array) -> Iterator[bytes]:
+    codec = pa.Codec(CODEC)
+    for data, size in zip(packed, sizes):
+        yield codec.decompress(data.as_py(), size.as_py(), asbytes=True) if size.as_py() else b""
+
+
+def _contexts(texts: DataFrame, wanted: DataFrame, width: Width) -> DataFrame:
+    """Wanted (id0, hash, place, anchor, context, size, crowded) with `left` and `bytes`."""
+    names = ("place", "anchor", "context", "size", "crowded")
+    per_text = wanted.groupBy(*KEYS).agg(F.collect_list(F.struct(*names)).alias("wanted"))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("place", "anchor", "context", "size", "rivals")
         for batch in batches:
-            for row in range(batch.num_rows):
-                data = batch.column(2)[row].as_py()
-                asked = batch.column(3)[row].values
+            texts = _unpacked(batch.column("packed"), batch.column("bytes"))
+            for row, data in enumerate(texts):
+                asked = batch.column("wanted")[row].values
                 count = len(asked)
                 places = asked.field("place").to_pylist()
                 around = [width.around(place, len(data)) for place in places]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([batch.column(0)[row].as_py()] * count, pa.int64()),
-                        pa.array([batch.column(1)[row].as_py()] * count, pa.int64()),
-                        *(asked.field(name) for name in names),
+                        pa.array([batch.column(name)[row].as_py()] * count, pa.int64())
+                        for name in KEYS
+                    ]
+                    + [asked.field(name) for name in names]
+                    + [
                         pa.array([p - a for p, (a, _) in zip(places, around)], pa.int32()),
                         pa.array([data[a:b] for a, b in around], pa.binary()),
                     ],
-                    ["id0", "hash", *names, "left", "bytes"],
+                    [*KEYS, *names, "left", "bytes"],
                 )
 
-    return docs.join(per_text, KEYS).mapInArrow(
+    return _packed(texts.select(*KEYS, "data")).join(per_text, KEYS).mapInArrow(
         cut,
-        "id0 long, hash long, place long, anchor long, context long, size long, rivals long, "
+        "id0 long, hash long, place int, anchor long, context long, size long, crowded boolean, "
         "left int, bytes binary",
     )
 
@@ -338,28 +371,52 @@ def _counted_spans(contexts: DataFrame, width: Width) -> DataFrame:
 def repeated_spans(scratch: Scratch, texts: DataFrame, width: Width) -> DataFrame:
     """(id0, hash, start, end): spans whose union is all that repeated strings cover.
 
-    `texts` has id0, hash and data.
+    `texts` has id0, hash and data. Anchors that occur once are dropped first. Contexts that
+    occur more than once are spans as a whole; of different contexts of an anchor, one of each
+    kind is compared with the others.
     """
     found = scratch.table(_all_anchors(texts, width))
-    size = F.count("*").alias("size")
-    classes = scratch.table(
-        found.groupBy("anchor", "context").agg(size, F.min(F.struct(*KEYS, "place")).alias("one"))
+    often = scratch.table(
+        found.groupBy("anchor")
+        .agg(
+            F.count("*").alias("n"),
+            (F.min("context") == F.max("context")).alias("alike"),
+        )
+        .where("n > 1")
+        .drop("n")
+    )
+    repeated = scratch.table(salted_join(found, often, ["anchor"], [*KEYS, "place"]))
+    # Any one of equal contexts will do; the columns of the first come from one row.
+    kinds = scratch.table(
+        repeated.where("not alike")
+        .groupBy("anchor", "context")
+        .agg(F.count("*").alias("size"), *[F.first(c).alias(c) for c in (*KEYS, "place")])
     )
-    rivals = scratch.table(
-        classes.groupBy("anchor").agg(F.count("*").alias("rivals")).where("rivals > 1")
+    whole = salted_join(
+        repeated.where("not alike"),
+        kinds.where("size > 1").select("anchor", "context"),
+        ["anchor", "context"],
+        [*KEYS, "place"],
     )
-    whole = classes.where("size > 1").select("anchor", "context")
-    start = F.greatest(F.col("place") - width.before, F.lit(0))
+    start = F.greatest(F.col("place") - width.before, F.lit(0)).cast("long")
+    end = (F.col("place") + width.length).cast("long")
     copies = (
-        salted_join(found, whole, ["anchor", "context"], [*KEYS, "place"])
-        .select(*KEYS, start.alias("start"), (F.col("place") + width.length).alias("end"))
+        repeated.where("alike")
+        .select(*KEYS, "place")
+        .union(whole.select(*KEYS, "place"))
+        .select(*KEYS, start.alias("start"), end.alias("end"))
+    )
+    crowds = scratch.table(
+        kinds.groupBy("anchor")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > GROUP)
+        .select("anchor", F.lit(True).alias("crowded"))
     )
-    wanted = salted_join(classes, rivals, ["anchor"], ["context"]).select(
-        "one.id0", "one.hash", "one.place", "anchor", "context", "size", "rivals"
+    wanted = salted_join(kinds, crowds, ["anchor"], ["context"], "left").withColumn(
+        "crowded", F.coalesce("crowded", F.lit(False))
     )
-    contexts = scratch.table(_contexts(texts, wanted, width))
-    few = contexts.where(F.col("rivals") <= GROUP)
-    many = contexts.where(F.col("rivals") > GROUP)
+    contexts = _contexts(texts, wanted, width)
+    few, many = contexts.where("not crowded"), contexts.where("crowded")
     return copies.union(_sorted_spans(few, width)).union(_counted_spans(many, width))
 
 
@@ -408,8 +465,8 @@ def remove_repeats(
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, runs_of, hashes, kept = [], [], [], [], []
-            for data, spans in zip(batch.column(1), batch.column(2)):
-                data = data.as_py()
+            texts = _unpacked(batch.column("packed"), batch.column("bytes"))
+            for data, spans in zip(texts, batch.column("spans")):
                 runs = _merged(spans.as_py() or [], len(data))
                 at, rest = 0, []
                 for start, end in runs:
@@ -423,7 +480,7 @@ def remove_repeats(
                 if keep_text:
                     kept.append(rest)
             columns = [
-                batch.column(0),
+                batch.column("doc_id"),
                 *(pa.array(x, pa.int64()) for x in (sizes, removed, runs_of)),
                 pa.array(hashes, pa.string()),
             ]
@@ -433,5 +490,5 @@ def remove_repeats(
             )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    joined = texts.join(spans, KEYS, "left").select("doc_id", "data", "spans")
+    joined = _packed(texts).join(spans, KEYS, "left").select("doc_id", "packed", "bytes", "spans")
     return joined.mapInArrow(remove, schema + ", kept binary" * keep_text)
