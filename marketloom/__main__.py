@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
+from marketloom.operators.dims import FIRST_DAY, LAST_DAY
 from marketloom.operators.publish import DATABASE
 from marketloom.plans import daily
 
@@ -22,10 +23,18 @@ def main() -> None:
         help="load time recorded in the tables",
     )
     parser.add_argument("--database", default=DATABASE, help="database of the published views")
+    parser.add_argument("--first-day", type=date.fromisoformat, default=FIRST_DAY)
+    parser.add_argument("--last-day", type=date.fromisoformat, default=LAST_DAY)
     options = parser.parse_args()
     spark = SparkSession.builder.appName("marketloom").getOrCreate()
     report = daily.run(
-        spark, options.raw_root, options.lake_root, options.run_ts, database=options.database
+        spark,
+        options.raw_root,
+        options.lake_root,
+        options.run_ts,
+        database=options.database,
+        first_day=options.first_day,
+        last_day=options.last_day,
     )
     for table, rows in (report.silver_rows | report.gold_rows).items():
         print(f"{table}: {rows} rows")

@@ -2,10 +2,15 @@
 
 Adding doubles gives a result that depends on the order in which partitions are
 merged, so a rerun or a lost executor can change the last digits.  Amounts are
-therefore summed as whole 1/10000 units in a ``bigint``: associative, inside
-code generation, and about twice as fast here as summing decimals.  Amounts with up to
-four decimals are exact.  One group can hold 9.2e14 in total; beyond that the sum
-raises (ANSI) instead of wrapping around.  NaN counts as missing.
+therefore summed as whole 1/10000 units: associative, inside code generation, and
+about twice as fast here as summing decimals.  The units are split into two
+``bigint`` sums, of their billions and of the rest, which are joined as one decimal,
+so that a group's total has no limit that data could reach.  Amounts with up to four
+decimals are exact.
+
+An amount beyond ``LARGEST`` either way, infinite or NaN is no amount and counts as
+missing, whatever the session's ANSI setting; so does a sum of more than some billions
+of the largest amounts.
 """
 
 from __future__ import annotations
@@ -15,33 +20,60 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LARGEST = 9e14
 UNITS = 10_000
 _UNIT = Decimal(1) / UNITS
+_BILLION = 10**9
+
+
+def valid(amount: Column) -> Column:
+    """The amount, or NULL for what is none."""
+    return F.when(F.abs(amount) <= LARGEST, amount)  # NaN is above every number
 
 
 def units(amount: Column) -> Column:
-    return F.rint(F.nanvl(amount, F.lit(None).cast("double")) * F.lit(float(UNITS))).cast("bigint")
+    return F.rint(valid(amount) * F.lit(float(UNITS))).cast("bigint")
+
+
+def sum_units(units: Column) -> Column:
+    """The exact sum of whole units, as a decimal."""
+    billions = F.try_sum(F.floor(units / F.lit(_BILLION)).cast("bigint"))
+    rest = F.try_sum(F.pmod(units, F.lit(_BILLION).cast("bigint")))
+    return billions.cast("decimal(19,0)") * F.lit(Decimal(_BILLION)) + rest.cast("decimal(19,0)")
 
 
 def from_units(total: Column) -> Column:
     """A unit total as an exact decimal amount."""
-    return total * F.lit(_UNIT)
+    return total.cast("decimal(30,0)") * F.lit(_UNIT)
 
 
 def sum_amount(amount: Column, digits: int | None = 2) -> Column:
-    total = from_units(F.sum(units(amount)))
-    return (total if digits is None else F.round(total, digits)).cast("double")
+    return rounded(sum_units(units(amount)), digits)
+
+
+def rounded(total: Column, digits: int | None = 2) -> Column:
+    """A unit total as a double amount; unrounded with ``digits`` None."""
+    amount = from_units(total)
+    return (amount if digits is None else F.round(amount, digits)).cast("double")
 
 
 def avg_amount(amount: Column, digits: int = 2) -> Column:
-    return ratio(from_units(F.sum(units(amount))), F.count(units(amount)), digits)
+    return ratio(from_units(sum_units(units(amount))), F.count(units(amount)), digits)
 
 
 def avg_whole(number: Column, digits: int) -> Column:
     """Average of an integer column, rounded half up."""
-    return ratio(F.sum(number.cast("bigint")).cast("decimal(20,0)"), F.count(number), digits)
+    return ratio(F.sum(number.cast("bigint")), F.count(number), digits)
 
 
 def ratio(total: Column, count: Column, digits: int) -> Column:
-    """Decimal quotient rounded half up; NULL when the count is zero."""
-    return F.round(F.try_divide(total, count.cast("decimal(20,0)")), digits).cast("double")
+    """Quotient of an amount and a count rounded half up; NULL when the count is zero.
+
+    In whole numbers, so that no digit of an intermediate quotient is cut off.
+    """
+    units = (F.abs(total).cast("decimal(30,4)") * F.lit(UNITS)).cast("decimal(33,0)")
+    below = count.cast("decimal(20,0)") * F.lit(UNITS)
+    above = units * F.lit(2 * 10**digits) + below
+    whole = F.call_function("div", above, F.nullif(2 * below, F.lit(Decimal(0))))
+    rounded = whole.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return F.when(total < 0, -rounded).otherwise(rounded).cast("double")

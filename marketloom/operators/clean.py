@@ -15,13 +15,17 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.functions.money import valid
 from marketloom.functions.parsing import parse
 from marketloom.functions.text import code_text, or_unknown, title_text
 from marketloom.operators.dedupe import keep_first
-from marketloom.operators.joins import Heavy, lookup_join
+from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import SILVER
 
 
+AMOUNTS = ("price", "freight_value", "payment_value")
+
+
 def clean_orders(raw: DataFrame, run_ts: datetime) -> DataFrame:
     typed = _typed("orders", raw, key=["order_id"], required=["order_id", "customer_id"])
     purchased = F.col("order_purchase_timestamp")
@@ -59,19 +63,17 @@ def clean_order_items(raw: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
-def clean_products(
-    raw: DataFrame, translation: DataFrame, run_ts: datetime, heavy_categories: Heavy | None = None
-) -> DataFrame:
+def clean_products(raw: DataFrame, translation: DataFrame, run_ts: datetime) -> DataFrame:
     """Type the products and add the English category.
 
-    No broadcast is forced: Spark broadcasts the translation when it measures it to
-    be small, and shuffles otherwise.
+    The categories are few and large by nature, so the products of a heavy one are
+    spread.  Spark broadcasts the translation when it measures it to be small.
     """
     typed = _typed("products", raw, key=["product_id"], required=["product_id"])
     name, english = "product_category_name", "product_category_name_english"
     # A repeated translation would multiply products.
     words = keep_first(translation.select(name, english).filter(F.col(name).isNotNull()), [name])
-    joined = lookup_join(typed, words, name, "left", heavy_categories, ["product_id"])
+    joined = lookup_join(typed, words, name, "left", heavy_keys(raw, name), ["product_id"])
     labelled = joined.withColumns(
         {
             "category_english": or_unknown(F.col(english), F.col(name)),
@@ -128,4 +130,5 @@ def _typed(
 ) -> DataFrame:
     rows = keep_first(require(raw, required), key)
     kinds = {f.name: f.dataType for f in SILVER[table].fields if f.name in raw.columns}
-    return rows.withColumns({name: parse(F.col(name), kind) for name, kind in kinds.items()})
+    typed = {name: parse(F.col(name), kind) for name, kind in kinds.items()}
+    return rows.withColumns({n: valid(c) if n in AMOUNTS else c for n, c in typed.items()})

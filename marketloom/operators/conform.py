@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType, VarcharType
 
 
+_BIGINT_END = float(2**63)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the layout's columns by name, cast them, and reject over-long strings.
 
@@ -30,13 +34,16 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def integral_columns(df: DataFrame) -> DataFrame:
     """Which double columns hold whole numbers only: (column_name, all_integral).
 
-    NULL and NaN are ignored; a column with nothing else is not integral.  All
-    columns are tested in one pass.
+    Whole numbers are those that fit ``bigint``.  NULL and NaN are ignored; a column
+    with nothing else is not integral.  All columns are tested in one pass.
     """
     names = double_columns(df)
     if not names:
         raise ValueError("no double columns")
-    tests = [F.bool_and(F.col(name) % 1 == 0).alias(name) for name in names]
+    tests = [
+        F.bool_and((F.col(name) % 1 == 0) & (F.abs(name) < _BIGINT_END)).alias(name)
+        for name in names
+    ]
     tested = nan_to_null(df.select(*names)).agg(*tests)
     rows = [
         F.struct(
@@ -48,13 +55,18 @@ def integral_columns(df: DataFrame) -> DataFrame:
     return tested.select(F.inline(F.array(*rows)))
 
 
-def narrow_integral(df: DataFrame) -> DataFrame:
-    """Cast the double columns that hold whole numbers only to ``bigint``."""
+def narrow_integral(df: DataFrame, whole: Sequence[str] | None = None) -> DataFrame:
+    """Cast the double columns that hold whole numbers only to ``bigint``.
+
+    ``whole`` names them where they are known.  Otherwise they are measured, which
+    reads ``df``: it is then a stored table, not one still to be computed.
+    """
     if not double_columns(df):
         return df
-    whole = integral_columns(df).filter("all_integral").collect()  # one row per column at most
-    names = [row["column_name"] for row in whole]
-    return nan_to_null(df).withColumns({name: F.col(name).cast("bigint") for name in names})
+    if whole is None:
+        rows = integral_columns(df).filter("all_integral").collect()  # one per column at most
+        whole = [row["column_name"] for row in rows]
+    return nan_to_null(df).withColumns({name: F.col(name).cast("bigint") for name in whole})
 
 
 def double_columns(df: DataFrame) -> list[str]:

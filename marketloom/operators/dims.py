@@ -13,7 +13,7 @@ from marketloom.operators.clean import moment
 from marketloom.operators.dedupe import keep_first
 from marketloom.schemas import GOLD
 
-# The default calendar.
+# Days that the calendar has whatever the purchases.
 FIRST_DAY = date(2016, 1, 1)
 LAST_DAY = date(2019, 12, 31)
 
@@ -28,10 +28,16 @@ def build_dim_date(
     return calendar(span)
 
 
-def purchase_calendar(orders: DataFrame) -> DataFrame:
-    """One row per calendar day from the first purchase to the last."""
+def purchase_calendar(
+    orders: DataFrame, first: date = FIRST_DAY, last: date = LAST_DAY
+) -> DataFrame:
+    """One row per calendar day from ``first`` to ``last``, and as far as purchases go beyond."""
     day = F.to_date("order_purchase_timestamp")
-    return calendar(orders.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+    span = orders.agg(
+        F.least(F.lit(first), F.min(day)).alias("first"),
+        F.greatest(F.lit(last), F.max(day)).alias("last"),
+    )
+    return calendar(span)
 
 
 def calendar(span: DataFrame) -> DataFrame:

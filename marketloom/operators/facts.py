@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.dates import date_key
 from marketloom.functions.money import sum_amount
 from marketloom.operators.clean import item_total
-from marketloom.operators.joins import Heavy, lookup_join
+from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import GOLD
 
 
@@ -32,26 +30,37 @@ def build_fact_orders(
     payments: DataFrame,
     customers: DataFrame,
     how: str = "inner",
-    heavy: Mapping[str, Heavy] | None = None,
+    raw_items: DataFrame | None = None,
+    raw_orders: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order item; ``how="left"`` also keeps items without an order.
 
     Persons and payments are attached to the orders first, where each side has one
-    row per order, so the items, the largest table, meet a single join.  ``heavy``
-    holds the heavy keys of ``order_id`` (items) and ``customer_id`` (orders), as
-    ``heavy_keys`` finds them; adaptive execution cannot split the items' join by
-    itself, because its other side is a join already.  The order's payment total repeats on each of its items: do not add it up.
+    row per order, so the items, the largest table, meet a single join.  Both lookups
+    spread their heavy keys, since adaptive execution cannot split a join whose other
+    side is a join already.  The keys are counted on ``raw_items`` and ``raw_orders``
+    where items and orders are no stored tables but computed from these.  The order's
+    payment total repeats on each of its items: do not add it up.
     """
-    heavy = heavy or {}
     persons = customers.select("customer_id", "customer_unique_id")
     known = lookup_join(
-        orders, persons, "customer_id", "left", heavy.get("customer_id"), ["order_id"]
+        orders,
+        persons,
+        "customer_id",
+        "left",
+        heavy_keys(orders if raw_orders is None else raw_orders, "customer_id"),
+        ["order_id"],
     )
     # An item whose order is missing may still have payments.
     paid_how = "left" if how == "inner" else "full"
     paid = known.join(payments_per_order(payments), "order_id", paid_how)
     rows = lookup_join(
-        items, paid, "order_id", how, heavy.get("order_id"), ["order_item_id", "product_id"]
+        items,
+        paid,
+        "order_id",
+        how,
+        heavy_keys(items if raw_items is None else raw_items, "order_id"),
+        ["order_item_id", "product_id"],
     )
     on_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
     return rows.withColumns(

@@ -2,92 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from math import ceil
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-# A heavy key gets four buckets per fair share of rows it holds: small enough buckets
-# that two of them meeting in one partition do not matter.
-_BUCKETS_PER_SHARE = 4
+# A heavy key gets so many buckets per fair share of rows it holds: small enough buckets
+# that some of them meeting in one partition do not matter.
+_BUCKETS_PER_SHARE = 16
 
-# Sampled rows per shuffle partition, and the smallest sample that tells anything.
-_SAMPLE_PER_PARTITION = 100
-_SAMPLE_FLOOR = 20_000
 
-# Of a stored table, read about this many rows per sampled row and skip all other files.
-_READ_PER_SAMPLED = 1000
+def heavy_keys(df: DataFrame, column: str) -> DataFrame:
+    """(column, _buckets): keys with more than one shuffle partition's fair share of the rows.
 
-Heavy = Mapping[str | None, int]
-"""Heavy keys and, for each, over how many buckets to spread its rows."""
-
-
-def heavy_keys(
-    df: DataFrame, *columns: str, smallest: int = 1_000_000, stored: bool = False
-) -> dict[str, dict[str | None, int]]:
-    """Find keys that hold more than one shuffle partition's fair share of the rows.
-
-    A key is heavy when its share of a row sample exceeds ``1 / partitions``, so no
-    column can have more heavy keys than there are shuffle partitions.  The sample
-    steers only the balance of a join: a missed or spurious key never changes rows.
-    Only the named columns are read and, when ``df`` is ``stored`` (read from files as
-    they are), only a bounded part of a large table's files.  Tables of fewer than
-    ``smallest`` rows need no balancing.
+    A part of the plan that uses it: all rows are counted by key, combined within map
+    tasks first, and nothing runs before the plan does.  There are fewer such keys than
+    shuffle partitions, whatever the data size.  They steer only the balance of a join,
+    so they may be counted on rows as delivered, before these are cleaned.
     """
-    partitions = _shuffle_partitions(df)
-    found: dict[str, dict[str | None, int]] = {column: {} for column in columns}
-    rows = df.count()
-    if rows < max(smallest, 1) or partitions < 2:
-        return found
-    wanted = max(_SAMPLE_FLOOR, _SAMPLE_PER_PARTITION * partitions)
-    if stored:
-        df, rows = _some_files(df, rows, wanted)
-    sample = df.select(*columns).sample(min(1.0, wanted / rows), seed=7)
-    fair_share = min(rows, wanted) / partitions
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key"))
-            for c in columns
-        ]
-    )
-    counts = sample.select(F.inline(pairs)).groupBy("column", "key").count()
-    for row in counts.filter(F.col("count") > fair_share).collect():
-        found[row["column"]][row["key"]] = ceil(_BUCKETS_PER_SHARE * row["count"] / fair_share)
-    return found
+    share = df.agg(F.count(F.lit(1)) / _shuffle_partitions(df)).scalar()
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    buckets = F.ceil(_BUCKETS_PER_SHARE * F.col("n") / share).cast("int")
+    return counts.filter(F.col("n") > share).select(column, buckets.alias("_buckets"))
 
 
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    how: str = "left",
-    heavy: Heavy | None = None,
-    spread_by: Sequence[str] = (),
+    how: str,
+    heavy: DataFrame,
+    spread_by: Sequence[str],
 ) -> DataFrame:
     """Join ``left`` to the ``right`` row of the same key; ``right`` is unique on ``key``.
 
-    ``how`` is "left" or "inner".  Without heavy keys this is a plain join.  Otherwise
-    the left rows of each heavy key are spread over its buckets by a hash of
-    ``spread_by`` and the one right row is repeated per bucket; all other rows stay in
-    bucket 0.  The buckets of all heavy keys add up to a few times the number of shuffle
-    partitions, so the repeated rows do not grow with the data.  The hash, unlike a
-    random salt, gives the same bucket when a lost task is run again.
+    ``how`` is "left" or "inner".  The left rows of each heavy key are spread over its
+    buckets by a hash of ``spread_by``, and the one right row is repeated per bucket; rows
+    without a key, which match nothing, are spread as well; all other rows stay in
+    bucket 0.  The buckets of all heavy keys add up to
+    a few times the number of shuffle partitions, so the repeated rows do not grow with
+    the data.  The hash, unlike a random salt, gives the same bucket when a lost task is
+    run again.  The plan is the same whether or not there are heavy keys.
     """
-    if not heavy:
-        return left.join(right, key, how)
     bucket = "_bucket"
-    spread = left.sparkSession.createDataFrame(
-        sorted(((k, n) for k, n in heavy.items() if k is not None)),
-        StructType([StructField(key, StringType()), StructField("_buckets", IntegerType())]),
-    )
-    spread = F.broadcast(spread)  # at most one row per shuffle partition
+    spread = F.broadcast(heavy)  # fewer rows than shuffle partitions
     hashed = F.xxhash64(*spread_by)
-    null_buckets = F.lit(heavy.get(None, 1))
-    left_bucket = F.pmod(
-        hashed, F.coalesce("_buckets", F.when(F.col(key).isNull(), null_buckets), F.lit(1))
-    )
+    keyless = F.when(F.col(key).isNull(), F.lit(_BUCKETS_PER_SHARE * _shuffle_partitions(left)))
+    left_bucket = F.pmod(hashed, F.coalesce(keyless, F.col("_buckets"), F.lit(1)))
     last_bucket = F.coalesce("_buckets", F.lit(1)) - 1
     spread_left = left.join(spread, key, "left").withColumn(bucket, left_bucket.cast("int"))
     spread_right = right.join(spread, key, "left").withColumn(
@@ -115,19 +76,6 @@ def join_row_loss(items: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def _some_files(df: DataFrame, rows: int, wanted: int) -> tuple[DataFrame, int]:
-    """A random choice of whole files, and its rows; all files if the choice is too small.
-
-    Spark drops the other files when it lists the table, without opening them.
-    """
-    one_in = rows // (_READ_PER_SAMPLED * wanted)
-    if one_in < 2:
-        return df, rows
-    some = df.filter(F.pmod(F.xxhash64("_metadata.file_path"), F.lit(one_in)) == 0)
-    chosen = some.count()
-    return (some, chosen) if chosen >= wanted else (df, rows)
-
-
 def _shuffle_partitions(df: DataFrame) -> int:
     conf = df.sparkSession.conf
     initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)

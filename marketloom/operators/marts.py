@@ -13,8 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.buckets import LOWEST, VALUE_TIERS, at_least
-from marketloom.functions.money import avg_amount, avg_whole, from_units, ratio, sum_amount, units
-from marketloom.operators.joins import Heavy, lookup_join
+from marketloom.functions.money import (
+    avg_amount,
+    avg_whole,
+    from_units,
+    ratio,
+    rounded,
+    sum_amount,
+    sum_units,
+    units,
+)
+from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import BY_MONTH, GOLD
 
 CANCELLED = ("cancelled",)
@@ -29,15 +38,19 @@ def revenue_by_category(
     fact: DataFrame,
     products: DataFrame,
     excluded: Sequence[str] = CANCELLED,
-    heavy_products: Heavy | None = None,
+    raw_items: DataFrame | None = None,
 ) -> DataFrame:
+    """Revenue per month and category; the heavy products are spread over tasks.
+
+    They are counted on ``raw_items`` where the fact is no stored table.
+    """
     categories = products.select("product_id", "category_english")
     rows = lookup_join(
         live_rows(fact, excluded),
         categories,
         "product_id",
         "left",
-        heavy_products,
+        heavy_keys(fact if raw_items is None else raw_items, "product_id"),
         ["order_id", "order_item_id"],
     )
     price = F.col("price")
@@ -76,7 +89,7 @@ def customer_lifetime_value(
     gross, item = F.col("gross_revenue"), F.col("order_item_id")
     average = {
         "item": avg_amount(gross),
-        "order": ratio(from_units(F.sum(units(gross))), F.count_distinct("order_id"), 2),
+        "order": ratio(from_units(sum_units(units(gross))), F.count_distinct("order_id"), 2),
     }[average_per]
     purchased = {"sequence_sum": F.sum(item), "row_count": F.count(item)}[items_as]
     value = (
@@ -127,8 +140,8 @@ def seller_performance(
             F.count(item).alias("total_deliveries"),
         )
     )
-    on_time_share = F.try_divide(F.col("on_time_deliveries"), F.col("total_deliveries"))
-    rated = months.withColumn("on_time_delivery_rate", F.round(on_time_share * 100, 2))
+    rate = ratio(F.col("on_time_deliveries") * 100, F.col("total_deliveries"), 2)
+    rated = months.withColumn("on_time_delivery_rate", rate)
     return rated.join(sellers, "seller_id", "left")
 
 
@@ -138,9 +151,15 @@ def price_totals(rows: DataFrame) -> DataFrame:
 
 
 def category_price_totals(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Total item price per English category, summed per product before the join."""
-    per_product = items.groupBy("product_id").agg(
-        sum_amount(F.col("price"), digits=None).alias("price")
-    )
+    """Total item price per English category, summed per product before the join.
+
+    The sums stay whole units until the end.
+    """
+    per_product = items.groupBy("product_id").agg(sum_units(units(F.col("price"))).alias("units"))
     names = products.select("product_id", F.col("category_english").alias("category"))
-    return price_totals(per_product.join(names, "product_id", "left"))
+    total = F.try_sum("units").cast("decimal(38,0)")
+    return (
+        per_product.join(names, "product_id", "left")
+        .groupBy("category")
+        .agg(rounded(total).alias("total_revenue"))
+    )

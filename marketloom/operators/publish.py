@@ -1,15 +1,18 @@
-"""Publishing: stage a version, validate what was staged, then swap a view onto it.
-
-Each run writes its own ``<root>/<table>/v=<run_id>`` folder.  Readers use a catalog
-view, which is replaced in one metadata operation, so they see the old or the new
-version and never a part of either.  A version that fails validation is left unused.
-Views outlast the session when the session's catalog does (a metastore).
+"""Publishing: stage a version, validate what was staged, then point readers to it.
+
+Each run writes its own ``<root>/<table>/v=<run_id>`` folder.  A manifest beside the
+tables, one small row per publication, says which version of each table is the
+published one.  The row is appended in one commit for all tables, so readers see the
+old or the new set of versions and never a part of either.  It needs no catalog and
+outlasts every session.  A version that fails validation is never in it.  Catalog views
+of the published versions can be made for convenience.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,6 +24,9 @@ from marketloom.sources.tables import read_table, write_table
 
 DATABASE = "warehouse"
 
+# The manifest: a rising number, and the version of each published table.
+_MANIFEST = "number long, versions map<string,string>"
+
 # Sorted files let readers skip row groups.  A partitioned write sorts its rows by the
 # partition columns anyway, so one more column there costs little.
 # Column and direction (True: descending).
@@ -61,14 +67,38 @@ def validate(
     return enforce(staging_checks(frames, minima))
 
 
-def swap(
-    spark: SparkSession, root: str, table: str, run_id: str, database: str = DATABASE
+def versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """The published version of each table, from the latest row of the manifest."""
+    return _latest(spark, root)[1]
+
+
+def announce(spark: SparkSession, root: str, tables: Iterable[str], run_id: str) -> None:
+    """Make the staged versions the published ones, all at once; other tables keep theirs."""
+    last, current = _latest(spark, root)
+    row = (last + 1, current | {table: run_id for table in tables})
+    spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("append").parquet(
+        _manifest_path(root)
+    )
+
+
+def published(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The published version of a table, found through the manifest."""
+    found = versions(spark, root)
+    if table not in found:
+        raise LookupError(f"{table} has not been published under {root}")
+    return staged(spark, root, table, found[table])
+
+
+def make_views(
+    spark: SparkSession, root: str, tables: Iterable[str], database: str = DATABASE
 ) -> None:
-    """Point the published view of the table at the staged version."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_{database}'")
-    columns = ", ".join(_typed_columns(GOLD[table]))
-    source = f"parquet.`{version_path(root, table, run_id)}`"
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {columns} FROM {source}")
+    """Replace the catalog's views of the tables by ones of their published versions."""
+    current = versions(spark, root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table in tables:
+        columns = ", ".join(_typed_columns(GOLD[table]))
+        source = f"parquet.`{version_path(root, table, current[table])}`"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {columns} FROM {source}")
 
 
 def publish(
@@ -77,17 +107,34 @@ def publish(
     root: str,
     run_id: str,
     minima: Mapping[str, int] = STAGING_MINIMA,
-    database: str = DATABASE,
+    database: str | None = None,
 ) -> list[str]:
-    """Stage all tables, validate all of them, then swap all views."""
+    """Stage all tables, validate all of them, publish them, and make views in ``database``."""
     for table, df in frames.items():
         stage(df, root, table, run_id)
     lines = validate(spark, root, frames, run_id, minima)
-    for table in frames:
-        swap(spark, root, table, run_id, database)
+    announce(spark, root, frames, run_id)
+    if database:
+        make_views(spark, root, frames, database)
     return lines
 
 
+def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
+    """Number and versions of the last publication; 0 and nothing before the first."""
+    try:
+        rows = spark.read.schema(_MANIFEST).parquet(_manifest_path(root))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0, {}
+        raise
+    last = rows.orderBy(F.desc("number")).first()
+    return (last["number"], dict(last["versions"])) if last else (0, {})
+
+
+def _manifest_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_published"
+
+
 def _typed_columns(schema: StructType) -> list[str]:
     """Casts keep the view's types when a partition column is inferred from the folders."""
     return [

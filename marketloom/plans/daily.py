@@ -6,14 +6,13 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.operators import clean, dims, facts, marts, publish, quality
-from marketloom.operators.joins import heavy_keys
 from marketloom.schemas import GOLD, PARTITIONS, RAW, SILVER
-from marketloom.sources.tables import read_raw_csv, read_table, write_table
+from marketloom.sources.tables import one_delivery, read_raw_csv, read_table, write_table
 
 # The names under which raw files are delivered.
 RAW_FILES = {
@@ -44,10 +43,14 @@ def run(
     raw_files: Mapping[str, str] = RAW_FILES,
     minima: Mapping[str, int] = quality.STAGING_MINIMA,
     checks: Sequence[quality.Check] = quality.WAREHOUSE_CHECKS,
-    database: str = publish.DATABASE,
+    database: str | None = publish.DATABASE,
+    first_day: date = dims.FIRST_DAY,
+    last_day: date = dims.LAST_DAY,
 ) -> Report:
     """Run the four steps in order and stop at the first failure.
 
+    The calendar goes from ``first_day`` to ``last_day``, and as far as the purchases go
+    beyond.  ``database`` names the catalog's views, which are made only if it is given.
     Each step reads what the step before it wrote, so no lineage is computed twice
     and a lost executor costs at most the tasks of one step.  A scheduler may also
     call the steps one by one.
@@ -55,9 +58,9 @@ def run(
     # A run repeated after a failure must not meet the version it left behind.
     run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     silver_rows = to_silver(spark, raw_root, lake_root, run_ts, raw_files)
-    gold_rows = to_gold(spark, lake_root, run_id, run_ts)
+    gold_rows = to_gold(spark, lake_root, run_id, run_ts, first_day, last_day)
     lines = load(spark, lake_root, run_id, minima, database)
-    return Report(silver_rows, gold_rows, lines + check(spark, checks, database))
+    return Report(silver_rows, gold_rows, lines + check(spark, lake_root, checks))
 
 
 def to_silver(
@@ -68,17 +71,24 @@ def to_silver(
     raw_files: Mapping[str, str] = RAW_FILES,
 ) -> dict[str, int]:
     """Clean the raw CSV files into the silver tables."""
-    raw = {
-        name: read_raw_csv(spark, f"{raw_root.rstrip('/')}/{pattern}", RAW[name])
-        for name, pattern in raw_files.items()
-    }
+    paths = {name: f"{raw_root.rstrip('/')}/{file}" for name, file in raw_files.items()}
+    for path in paths.values():
+        one_delivery(spark, path)
+    raw = {name: read_raw_csv(spark, path, RAW[name]) for name, path in paths.items()}
     return write_silver(raw, _silver_root(lake_root), run_ts)
 
 
-def to_gold(spark: SparkSession, lake_root: str, run_id: str, run_ts: datetime) -> dict[str, int]:
+def to_gold(
+    spark: SparkSession,
+    lake_root: str,
+    run_id: str,
+    run_ts: datetime,
+    first_day: date = dims.FIRST_DAY,
+    last_day: date = dims.LAST_DAY,
+) -> dict[str, int]:
     """Stage a version of every gold table from the silver tables."""
     silver = read_silver(spark, _silver_root(lake_root))
-    return stage_gold(spark, silver, _gold_root(lake_root), run_id, run_ts)
+    return stage_gold(spark, silver, gold_root(lake_root), run_id, run_ts, first_day, last_day)
 
 
 def load(
@@ -86,24 +96,26 @@ def load(
     lake_root: str,
     run_id: str,
     minima: Mapping[str, int] = quality.STAGING_MINIMA,
-    database: str = publish.DATABASE,
+    database: str | None = publish.DATABASE,
 ) -> list[str]:
-    """Validate the staged version of every table, then publish them all."""
-    root = _gold_root(lake_root)
+    """Validate the staged version of every table, then publish them all at once."""
+    root = gold_root(lake_root)
     lines = publish.validate(spark, root, GOLD, run_id, minima)
-    for table in GOLD:
-        publish.swap(spark, root, table, run_id, database)
+    publish.announce(spark, root, GOLD, run_id)
+    if database:
+        publish.make_views(spark, root, GOLD, database)
     return lines
 
 
 def check(
     spark: SparkSession,
+    lake_root: str,
     checks: Sequence[quality.Check] = quality.WAREHOUSE_CHECKS,
-    database: str = publish.DATABASE,
 ) -> list[str]:
-    """Check the published tables."""
-    published = {table: spark.table(f"{database}.{table}") for table in GOLD}
-    return quality.enforce(quality.run_checks(published, checks))
+    """Check the published tables, which any later session finds through their manifest."""
+    root = gold_root(lake_root)
+    tables = {table: publish.published(spark, root, table) for table in GOLD}
+    return quality.enforce(quality.run_checks(tables, checks))
 
 
 def clean_all(raw: Mapping[str, DataFrame], run_ts: datetime) -> dict[str, DataFrame]:
@@ -134,7 +146,8 @@ def stage_gold(
     root: str,
     run_id: str,
     run_ts: datetime,
-    dim_date: DataFrame | None = None,
+    first_day: date = dims.FIRST_DAY,
+    last_day: date = dims.LAST_DAY,
 ) -> dict[str, int]:
     """Write a version of every gold table; the marts read what was just written."""
 
@@ -142,24 +155,20 @@ def stage_gold(
         return publish.stage(df, root, table, run_id)
 
     customers, products, sellers = silver["customers"], silver["products"], silver["sellers"]
-    heavy = heavy_keys(silver["order_items"], "order_id", "product_id", stored=True)
-    heavy |= heavy_keys(silver["orders"], "customer_id", stored=True)
     first = {
-        "dim_date": dims.build_dim_date(spark) if dim_date is None else dim_date,
+        "dim_date": dims.purchase_calendar(silver["orders"], first_day, last_day),
         "dim_customers": dims.build_dim_customers(customers, run_ts),
         "dim_products": dims.build_dim_products(products, run_ts),
         "dim_sellers": dims.build_dim_sellers(sellers, run_ts),
         "fact_orders": facts.build_fact_orders(
-            silver["order_items"], silver["orders"], silver["payments"], customers, heavy=heavy
+            silver["order_items"], silver["orders"], silver["payments"], customers
         ),
     }
     rows = _write_together(first, stage)
     fact = publish.staged(spark, root, "fact_orders", run_id)
     persons = publish.staged(spark, root, "dim_customers", run_id)
     then = {
-        "revenue_by_category": marts.revenue_by_category(
-            fact, products, heavy_products=heavy["product_id"]
-        ),
+        "revenue_by_category": marts.revenue_by_category(fact, products),
         "customer_lifetime_value": marts.customer_lifetime_value(fact, persons),
         "seller_performance": marts.seller_performance(fact, sellers),
     }
@@ -179,5 +188,5 @@ def _silver_root(lake_root: str) -> str:
     return f"{lake_root.rstrip('/')}/silver"
 
 
-def _gold_root(lake_root: str) -> str:
+def gold_root(lake_root: str) -> str:
     return f"{lake_root.rstrip('/')}/gold"

@@ -9,9 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Collection
 
+from marketloom.functions.money import LARGEST
+from marketloom.operators.quality import Check, KnownKeys, NoNulls
 from marketloom.plans.queries import CHECKS, MINIMA, NULLABLE_WHOLE, RUN_TS
-from marketloom.schemas import GOLD, RAW
-from marketloom.sources.standins import SQL, raw_sql
+from marketloom.schemas import BY_MONTH, GOLD, RAW
+from marketloom.sources.standins import EXTREME, SKEWED, SQL, raw_sql
 
 _AT = f"TIMESTAMP '{RUN_TS.isoformat(sep=' ')}'"
 _TITLE = (
@@ -43,6 +45,12 @@ def _avg(amount: str) -> str:
 
 
 _CTES: dict[str, str] = {f"raw_{name}": raw_sql(name) for name in SQL}
+_CTES["raw_extreme_items"] = raw_sql("order_items", EXTREME)
+_CTES["x_priced"] = f"""
+    SELECT seller_id, CASE WHEN abs(TRY_CAST(price AS DOUBLE)) <= {LARGEST}
+                           THEN CAST(TRY_CAST(price AS DOUBLE) AS DECIMAL(30,2)) END AS price
+    FROM (SELECT * FROM raw_extreme_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL
+          {_first_per("order_items", "order_id", "order_item_id")}) AS kept"""
 _CTES |= {
     "s_orders": f"""
         SELECT order_id, customer_id, order_status,
@@ -112,8 +120,10 @@ _CTES |= {
                CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayname(d) AS day_name,
                dayofweek(d) IN (0, 6) AS is_weekend, CAST(year(d) AS INTEGER) AS fiscal_year,
                CAST(quarter(d) AS INTEGER) AS fiscal_quarter, strftime(d, '%Y-%m') AS year_month
-        FROM (SELECT CAST(unnest(generate_series(min(order_purchase_timestamp),
-                          max(order_purchase_timestamp), INTERVAL 1 DAY)) AS DATE) AS d
+        FROM (SELECT CAST(unnest(generate_series(
+                         least(TIMESTAMP '2016-01-01', min(order_purchase_timestamp)),
+                         greatest(TIMESTAMP '2019-12-31', max(order_purchase_timestamp)),
+                         INTERVAL 1 DAY)) AS DATE) AS d
               FROM s_orders) AS days""",
     "g_persons": """
         SELECT * FROM s_customers
@@ -232,6 +242,21 @@ def _no_nulls(table: str, column: str) -> str:
         count(*) FILTER ({column} IS NULL) = 0 AS passed FROM {_TABLES[table]}"""
 
 
+def _known_keys(table: str, column: str, other: str, other_column: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}_without_{other}' AS check_name,
+        count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed
+        FROM {_TABLES[table]}
+        WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {other_column} FROM {_TABLES[other]})"""
+
+
+def _check(check: Check) -> str:
+    if isinstance(check, KnownKeys):
+        return _known_keys(check.table, check.column, check.other, check.other_column)
+    if isinstance(check, NoNulls):
+        return _no_nulls(check.table, check.column)
+    return _minimum(check.table, check.least)
+
+
 def _integral(table: str, label: str, *columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS table_name, '{column}' AS column_name,"
@@ -282,12 +307,12 @@ _FINAL: dict[str, str] = {
     "category_fill_unknown": """
         SELECT * REPLACE (coalesce(product_category_name, 'unknown') AS product_category_name)
         FROM raw_products""",
-    "dq_checks": " UNION ALL ".join(
-        _no_nulls(check.table, check.column)
-        if hasattr(check, "column")
-        else _minimum(check.table, check.least)
-        for check in CHECKS
-    ),
+    "dq_checks": " UNION ALL ".join(map(_check, CHECKS)),
+    "money_extremes": f"""
+        SELECT seller_id, CAST(sum(price) AS DOUBLE) AS total_revenue,
+               {_ratio("sum(price)", "count(price)", 2)} AS avg_item_price,
+               count(price) AS priced, count(*) - count(price) AS unpriced
+        FROM x_priced GROUP BY seller_id""",
     "staging_min_rows": " UNION ALL ".join(
         _minimum(table, MINIMA.get(table, 1)) for table in _TABLES
     ),
@@ -303,6 +328,12 @@ _FINAL: dict[str, str] = {
     "partitioned_roundtrip": _whole_as_double("s_orders", *_ORDER_WHOLE),
     "publish_roundtrip": _whole_as_double("g_fact", *NULLABLE_WHOLE),
 }
+_FINAL |= {f"daily_{table}": _FINAL[table] for table in GOLD}
+_FINAL["daily_revenue_by_category"] = _whole_as_double("g_revenue", *BY_MONTH)
+_FINAL["daily_seller_performance"] = _whole_as_double("g_performance", *BY_MONTH)
+
+# Queries over variants of the raw tables.
+_SKEWED = {f"{query}_skewed": query for query in ("fact_orders", "revenue_by_category")}
 
 
 def _needed(sql: str, given: Collection[str]) -> list[str]:
@@ -320,10 +351,12 @@ def _needed(sql: str, given: Collection[str]) -> list[str]:
 
 def statement(query: str, given: Collection[str] = ()) -> str:
     """SQL of one query; intermediate tables in ``given`` exist already."""
-    names = _needed(_FINAL[query], given)
-    tables = ",\n".join(f"{name} AS ({_CTES[name]})" for name in names)
-    return f"WITH {tables}\n{_FINAL[query]}" if tables else _FINAL[query]
+    plain = _SKEWED.get(query, query)
+    variant = {f"raw_{n}": raw_sql(n, SKEWED) for n in SKEWED} if query in _SKEWED else {}
+    names = _needed(_FINAL[plain], given)
+    tables = ",\n".join(f"{name} AS ({variant.get(name, _CTES[name])})" for name in names)
+    return f"WITH {tables}\n{_FINAL[plain]}" if tables else _FINAL[plain]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {query: statement(query) for query in _FINAL}
+    return {query: statement(query) for query in [*_FINAL, *_SKEWED]}

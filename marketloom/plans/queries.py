@@ -9,10 +9,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.functions import money
 from marketloom.operators import clean, conform, dims, facts, joins, marts, publish, quality
 from marketloom.plans import daily
 from marketloom.schemas import BY_MONTH, GOLD, RAW, SILVER
-from marketloom.sources.standins import Standins
+from marketloom.sources.standins import EXTREME, SKEWED, Standins
 from marketloom.sources.tables import (
     read_raw_csv,
     read_table,
@@ -22,26 +23,30 @@ from marketloom.sources.tables import (
 )
 
 RUN_TS = datetime(2024, 1, 1)
-QUERY_DATABASE = "marketloom_queries"
 
 # Small enough for the test data; the last of each kind is meant to fail there.
 MINIMA = {"dim_date": 1400, "dim_customers": 100, "fact_orders": 1000, "dim_sellers": 10_000_000}
+DAILY_CHECKS = (
+    quality.NoNulls("fact_orders", "product_id"),
+    quality.KnownKeys("fact_orders", "order_date_key", "dim_date", "date_key"),
+)
 CHECKS: tuple[quality.Check, ...] = (
     quality.MinRows("fact_orders", 1000),
     quality.MinRows("dim_customers", 10_000_000),
     quality.NoNulls("fact_orders", "customer_unique_id"),
     quality.NoNulls("fact_orders", "product_id"),
     quality.MinRows("dim_date", 1400),
+    quality.KnownKeys("fact_orders", "order_date_key", "dim_date", "date_key"),
 )
 
 
 class Shop:
     """Raw, silver and gold tables of one data folder, each planned when first used."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, variant: dict[str, str] | None = None):
         self.spark = spark
-        self.standins = Standins(spark, sf_dir)
-        self.raw = self.standins.raw
+        self.sf_dir = sf_dir
+        self.raw = Standins(spark, sf_dir, variant).raw
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -71,16 +76,15 @@ class Shop:
     def sellers(self) -> DataFrame:
         return clean.clean_sellers(self.raw("sellers"), RUN_TS)
 
-    @cached_property
-    def heavy(self) -> dict[str, dict[str | None, int]]:
-        """Heavy join keys, measured on the source tables rather than on cleaned ones."""
-        items = self.raw("order_items", spread=False)
-        found = joins.heavy_keys(items, "order_id", "product_id")
-        return found | joins.heavy_keys(self.raw("orders", spread=False), "customer_id")
-
     def fact(self, how: str = "inner") -> DataFrame:
         return facts.build_fact_orders(
-            self.items, self.orders, self.payments, self.customers, how, self.heavy
+            self.items,
+            self.orders,
+            self.payments,
+            self.customers,
+            how,
+            self.raw("order_items"),
+            self.raw("orders"),
         )
 
     def staged_gold(self) -> dict[str, DataFrame]:
@@ -88,24 +92,67 @@ class Shop:
         root = shared_path(self.spark, "gold")
         daily.write_silver({name: self.raw(name) for name in RAW}, f"{root}/silver", RUN_TS)
         silver = daily.read_silver(self.spark, f"{root}/silver")
-        calendar = dims.purchase_calendar(silver["orders"])
-        daily.stage_gold(self.spark, silver, f"{root}/gold", "run", RUN_TS, calendar)
+        daily.stage_gold(self.spark, silver, f"{root}/gold", "run", RUN_TS)
         return {t: publish.staged(self.spark, f"{root}/gold", t, "run") for t in GOLD}
 
 
 def revenue_by_category(shop: Shop) -> DataFrame:
     revenue = marts.revenue_by_category(
-        shop.fact(), shop.products, heavy_products=shop.heavy["product_id"]
+        shop.fact(), shop.products, raw_items=shop.raw("order_items")
     )
     return marts.by_month_and_revenue(revenue)
 
 
-def dim_date(shop: Shop) -> DataFrame:
-    """The calendar of the purchases, its date as text, which all engines hand out alike."""
-    days = dims.purchase_calendar(shop.orders)
+def date_as_text(days: DataFrame) -> DataFrame:
+    """Hand out the calendar's date as text, which all engines do alike."""
     return days.withColumn("full_date", F.col("full_date").cast("string"))
 
 
+def money_extremes(shop: Shop) -> DataFrame:
+    """Sales per seller where some prices are infinite, no number, too large or very large."""
+    items = Shop(shop.spark, shop.sf_dir, EXTREME).items
+    price = F.col("price")
+    return items.groupBy("seller_id").agg(
+        money.sum_amount(price).alias("total_revenue"),
+        money.avg_amount(price).alias("avg_item_price"),
+        F.count(price).alias("priced"),
+        F.count_if(price.isNull()).alias("unpriced"),
+    )
+
+
+# The daily run of one data folder, made once in a session; its result is a lake on disk.
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def daily_lake(shop: Shop) -> str:
+    """Root of the gold tables of a whole daily run: raw CSV, silver, staged gold, published."""
+    key = (shop.spark.sparkContext.applicationId, shop.sf_dir)
+    if key not in _LAKES:
+        root = shared_path(shop.spark, "daily")
+        for name, file in daily.RAW_FILES.items():
+            write_raw_csv(shop.raw(name), f"{root}/raw/{file.replace('*', 'shop')}")
+        daily.run(
+            shop.spark, f"{root}/raw", root, RUN_TS, minima={}, checks=DAILY_CHECKS, database=None
+        )
+        _LAKES[key] = daily.gold_root(root)
+    return _LAKES[key]
+
+
+def daily_table(table: str) -> Callable[[Shop], DataFrame]:
+    """A table as the daily run published it, found through the manifest."""
+
+    def read(shop: Shop) -> DataFrame:
+        df = publish.published(shop.spark, daily_lake(shop), table)
+        return date_as_text(df) if table == "dim_date" else whole_as_double(df)
+
+    return read
+
+
+def skewed(query: Callable[[Shop], DataFrame]) -> Callable[[Shop], DataFrame]:
+    """The query where one order, one product and one customer have a third of the rows each."""
+    return lambda shop: query(Shop(shop.spark, shop.sf_dir, SKEWED))
+
+
 def dq_checks(shop: Shop) -> DataFrame:
     tables = {
         "fact_orders": shop.fact(),
@@ -147,15 +194,15 @@ def partitioned_roundtrip(shop: Shop) -> DataFrame:
 
 def publish_roundtrip(shop: Shop) -> DataFrame:
     root = shared_path(shop.spark, "published")
-    publish.publish(
-        shop.spark, {"fact_orders": shop.fact()}, root, "run", MINIMA, QUERY_DATABASE
-    )
-    return whole_as_double(shop.spark.table(f"{QUERY_DATABASE}.fact_orders"))
+    publish.publish(shop.spark, {"fact_orders": shop.fact()}, root, "run", MINIMA)
+    return whole_as_double(publish.published(shop.spark, root, "fact_orders"))
 
 
 def narrow_integral(shop: Shop) -> DataFrame:
     """Whole-number doubles as integers; the weight, which has NULLs, is shown as text."""
-    narrow = conform.narrow_integral(dims.build_dim_products(shop.products, RUN_TS))
+    path = shared_path(shop.spark, "dim_products")
+    publish.stage(dims.build_dim_products(shop.products, RUN_TS), path, "dim_products", "run")
+    narrow = conform.narrow_integral(publish.staged(shop.spark, path, "dim_products", "run"))
     return narrow.withColumn("product_weight_g", F.col("product_weight_g").cast("string"))
 
 
@@ -180,14 +227,17 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "clean_products": lambda shop: shop.products,
     "clean_payments": lambda shop: shop.payments,
     "clean_sellers": lambda shop: shop.sellers,
-    "dim_date": dim_date,
+    "dim_date": lambda shop: date_as_text(dims.purchase_calendar(shop.orders)),
     "dim_customers": lambda shop: shop.persons,
     "dim_products": lambda shop: dims.build_dim_products(shop.products, RUN_TS),
     "dim_sellers": lambda shop: dims.build_dim_sellers(shop.sellers, RUN_TS),
     "payments_per_order": lambda shop: facts.payments_per_order(shop.payments),
     "fact_orders": lambda shop: whole_as_double(shop.fact()),
     "fact_orders_left": lambda shop: whole_as_double(shop.fact("left")),
+    "fact_orders_skewed": skewed(lambda shop: whole_as_double(shop.fact())),
     "revenue_by_category": revenue_by_category,
+    "revenue_by_category_skewed": skewed(revenue_by_category),
+    "money_extremes": money_extremes,
     "customer_lifetime_value": lambda shop: marts.customer_lifetime_value(
         shop.fact(), shop.persons
     ),
@@ -211,7 +261,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "raw_csv_roundtrip": raw_csv_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "publish_roundtrip": publish_roundtrip,
-}
+} | {f"daily_{table}": daily_table(table) for table in GOLD}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -92,6 +92,41 @@ SQL: dict[str, str] = {
         JOIN {region} ON n_regionkey = r_regionkey""",
 }
 
+# Keys that a third of the rows gets in the skewed tables; both exist in all test data.
+HOT_ORDER, HOT_PRODUCT, HOT_CUSTOMER = "4", "3", "5"
+
+# Variants of raw tables, as SQL over the plain ones.
+SKEWED: dict[str, str] = {
+    "orders": f"""
+        SELECT order_id,
+               CASE WHEN customer_id IS NOT NULL AND CAST(order_id AS BIGINT) % 3 = 1
+                    THEN '{HOT_CUSTOMER}' ELSE customer_id END AS customer_id,
+               order_status, order_purchase_timestamp, order_approved_at,
+               order_delivered_carrier_date, order_delivered_customer_date,
+               order_estimated_delivery_date
+        FROM {{plain}}""",
+    "order_items": f"""
+        SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '{HOT_ORDER}' ELSE order_id END
+                    AS order_id,
+               CASE WHEN CAST(order_id AS BIGINT) % 3 = 0
+                    THEN CAST(CAST(order_id AS BIGINT) * 8 + CAST(order_item_id AS BIGINT) AS STRING)
+                    ELSE order_item_id END AS order_item_id,
+               CASE WHEN CAST(seller_id AS BIGINT) % 3 = 0 THEN '{HOT_PRODUCT}' ELSE product_id END
+                    AS product_id,
+               seller_id, shipping_limit_date, price, freight_value
+        FROM {{plain}}""",
+}
+EXTREME: dict[str, str] = {
+    "order_items": """
+        SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+               CASE WHEN CAST(order_id AS BIGINT) % 50 > 0 THEN price
+                    WHEN order_item_id = '1' THEN 'inf' WHEN order_item_id = '2' THEN '1e20'
+                    WHEN order_item_id = '3' THEN 'NaN' WHEN order_item_id = '4' THEN '-1e308'
+                    ELSE '900000000000000' END AS price,
+               freight_value
+        FROM {plain}""",
+}
+
 # The source tables that are read, as declared in the test data.
 SOURCES = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
@@ -108,39 +143,35 @@ SOURCES = {
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
 }
 
-# The tables that grow fastest, with the columns to spread them by.
-_SPREAD_BY = {"orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber")}
-
 
 class Standins:
     """The raw tables derived from the Parquet files of one folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, variant: dict[str, str] | None = None):
+        self._variant = variant or {}
         self._spark = spark
         self._sf_dir = sf_dir
-        self._cores = spark.sparkContext.defaultParallelism
-        self._sources: dict[tuple[str, bool], DataFrame] = {}
+        self._sources: dict[str, DataFrame] = {}
 
-    def raw(self, name: str, spread: bool = True) -> DataFrame:
-        """The raw table ``name``; ``spread=False`` leaves the scan as it is."""
+    def raw(self, name: str) -> DataFrame:
+        """The raw table ``name``."""
         used = [source for source in SOURCES if f"{{{source}}}" in SQL[name]]
-        for key in [(source, spread) for source in used]:
-            if key not in self._sources:
-                self._sources[key] = self._source(*key)
-        return self._spark.sql(SQL[name], **{s: self._sources[s, spread] for s in used})
-
-    def _source(self, name: str, spread: bool) -> DataFrame:
-        """A source table, spread over the cores when its file cannot be split.
+        plain = self._spark.sql(SQL[name], **{source: self.source(source) for source in used})
+        if name not in self._variant:
+            return plain
+        return self._spark.sql(self._variant[name], plain=plain)
 
-        A file with a single row group is read by one task, which would then also do
-        all the work up to the first shuffle.  A scan with a task per core stays as is.
-        """
-        table = self._spark.read.schema(SOURCES[name]).parquet(f"{self._sf_dir}/{name}.parquet")
-        if spread and name in _SPREAD_BY and table.rdd.getNumPartitions() < self._cores:
-            table = table.repartition(self._cores, *_SPREAD_BY[name])
-        return table
+    def source(self, name: str) -> DataFrame:
+        """A source table as declared in the test data."""
+        if name not in self._sources:
+            reader = self._spark.read.schema(SOURCES[name])
+            self._sources[name] = reader.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._sources[name]
 
 
-def raw_sql(name: str) -> str:
+def raw_sql(name: str, variant: dict[str, str] | None = None) -> str:
     """The same table as SQL over views named like the source tables."""
-    return SQL[name].format(**{source: source for source in SOURCES})
+    plain = SQL[name].format(**{source: source for source in SOURCES})
+    if not variant or name not in variant:
+        return plain
+    return variant[name].format(plain=f"({plain}) AS plain")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Iterable, Sequence
 
@@ -27,6 +27,20 @@ def read_raw_csv(spark: SparkSession, path: str, required: Iterable[str] = ()) -
     return reader.csv(path)
 
 
+def one_delivery(spark: SparkSession, pattern: str) -> None:
+    """Raise if the pattern of a path meets files or folders of more than one name.
+
+    A stray second delivery would otherwise be merged in silently.  Only names are listed.
+    """
+    name = re.escape(pattern.rpartition("/")[2]).replace(r"\*", "[^/]*")
+    listed = spark.read.format("binaryFile").load(pattern).select(
+        F.regexp_extract("path", f"/({name})(/|$)", 1).alias("name")
+    )
+    names = [row["name"] for row in listed.distinct().limit(2).collect()]
+    if len(names) > 1:
+        raise ValueError(f"{pattern} meets more than one delivery: {sorted(names)}")
+
+
 def write_raw_csv(df: DataFrame, path: str) -> None:
     """Write header CSV that ``read_raw_csv`` reads back unchanged, padding included."""
     writer = df.write.mode("errorifexists").option("header", True)
@@ -73,11 +87,9 @@ def write_table(
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table, in the folder all executors share.
 
-    The folder is ``spark.checkpoint.dir``.  Only a local session may go without it.
+    The folder is ``spark.checkpoint.dir``, or the warehouse where that is unset.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.gettempdir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (
+        f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

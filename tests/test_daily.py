@@ -1,10 +1,21 @@
-from datetime import datetime
+import os
+import subprocess
+import sys
+from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
-from marketloom.operators.quality import MinRows, NoNulls, QualityError
+from marketloom.operators import publish
+from marketloom.operators.quality import (
+    WAREHOUSE_CHECKS,
+    KnownKeys,
+    MinRows,
+    NoNulls,
+    QualityError,
+)
 from marketloom.plans import daily
-from marketloom.schemas import GOLD, SILVER
+from marketloom.schemas import GOLD, SILVER, stored
 from marketloom.sources.standins import SQL, Standins
 from marketloom.sources.tables import write_raw_csv
 
@@ -22,8 +33,10 @@ def delivered(spark, tmp_path_factory):
     return str(root)
 
 
-def snapshot(spark, database):
-    return {t: sorted(map(repr, spark.table(f"{database}.{t}").collect())) for t in GOLD}
+def snapshot(spark, lake):
+    root = daily.gold_root(str(lake))
+    tables = {t: publish.published(spark, root, t) for t in GOLD}
+    return {t: sorted(map(repr, df.collect())) for t, df in tables.items()}
 
 
 def test_the_run_publishes_every_table_and_reruns_agree(spark, delivered, tmp_path):
@@ -32,19 +45,26 @@ def test_the_run_publishes_every_table_and_reruns_agree(spark, delivered, tmp_pa
     )
     assert set(report.silver_rows) == set(SILVER)
     assert set(report.gold_rows) == set(GOLD)
-    first = snapshot(spark, "daily_a")
+    first = snapshot(spark, tmp_path)
     assert {t: len(rows) for t, rows in first.items()} == report.gold_rows
     assert len(report.checks) == len(GOLD) + len(CHECKS)
+    views = {t: sorted(map(repr, spark.table(f"daily_a.{t}").collect())) for t in GOLD}
+    assert views == first
+    for table in GOLD:
+        found = publish.published(spark, daily.gold_root(str(tmp_path)), table)
+        assert [(f.name, f.dataType) for f in found.schema] == [
+            (f.name, f.dataType) for f in stored(GOLD[table])
+        ]
 
     again = daily.run(
         spark, delivered, str(tmp_path), RUN_TS, minima={}, checks=CHECKS, database="daily_a"
     )
     assert again == report
-    assert snapshot(spark, "daily_a") == first
+    assert snapshot(spark, tmp_path) == first
 
     with pytest.raises(QualityError, match="dim_sellers min_rows"):
         daily.run(spark, delivered, str(tmp_path), RUN_TS, checks=CHECKS, database="daily_a")
-    assert snapshot(spark, "daily_a") == first
+    assert snapshot(spark, tmp_path) == first
 
 
 def test_failed_checks_after_publishing_are_reported(spark, delivered, tmp_path):
@@ -55,3 +75,57 @@ def test_failed_checks_after_publishing_are_reported(spark, delivered, tmp_path)
         )
     assert "nulls_in_customer_unique_id" in str(error.value)
     assert "dim_customers min_rows" in str(error.value)
+
+
+def test_another_process_finds_and_checks_what_was_published(spark, delivered, tmp_path):
+    daily.run(spark, delivered, str(tmp_path), RUN_TS, minima={}, checks=CHECKS, database=None)
+    expected = spark.read.parquet(f"{tmp_path}/gold/fact_orders").count()
+    script = f"""
+from pyspark.sql import SparkSession
+from marketloom.operators import publish
+from marketloom.operators.quality import MinRows
+from marketloom.plans import daily
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print(daily.check(spark, {str(tmp_path)!r}, [MinRows("fact_orders", 1000)]))
+root = daily.gold_root({str(tmp_path)!r})
+print("rows", publish.published(spark, root, "fact_orders").count())
+"""
+    repo = Path(__file__).resolve().parent.parent
+    found = subprocess.run(
+        [sys.executable, "-c", script],
+        cwd=tmp_path,
+        env=os.environ | {"PYTHONPATH": str(repo)},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert f"rows {expected}" in found.stdout, found.stderr[-2000:]
+    assert "fact_orders min_rows: observed" in found.stdout
+
+
+def test_the_calendar_reaches_every_purchase(spark, delivered, tmp_path):
+    check = KnownKeys("fact_orders", "order_date_key", "dim_date", "date_key")
+    assert check in WAREHOUSE_CHECKS
+    report = daily.run(
+        spark, delivered, str(tmp_path), RUN_TS, minima={}, checks=(check,), database=None,
+        first_day=date(2000, 1, 1), last_day=date(2030, 12, 31),
+    )
+    assert "observed 0" in report.checks[-1]
+    days = publish.published(spark, daily.gold_root(str(tmp_path)), "dim_date")
+    keys = sorted(row["date_key"] for row in days.select("date_key").collect())
+    assert keys[0] < 20000101 and keys[-1] == 20301231
+
+
+def test_two_deliveries_of_one_table_are_refused(spark, delivered, tmp_path):
+    write_raw_csv(
+        Standins(spark, "/root/testdata/sf0.001").raw("sellers"),
+        f"{tmp_path}/old_sellers_dataset.csv",
+    )
+    write_raw_csv(
+        Standins(spark, "/root/testdata/sf0.001").raw("sellers"),
+        f"{tmp_path}/shop_sellers_dataset.csv",
+    )
+    with pytest.raises(ValueError, match="more than one delivery"):
+        daily.to_silver(
+            spark, str(tmp_path), str(tmp_path), RUN_TS, {"sellers": daily.RAW_FILES["sellers"]}
+        )

@@ -15,7 +15,7 @@ from marketloom.functions.buckets import (
     at_most,
 )
 from marketloom.functions.dates import date_key
-from marketloom.functions.money import avg_amount, avg_whole, sum_amount
+from marketloom.functions.money import LARGEST, avg_amount, avg_whole, sum_amount
 from marketloom.functions.parsing import parse
 from marketloom.functions.text import code_text, title_text
 
@@ -36,8 +36,8 @@ def one(spark, aggregate, rows, kind="double"):
         (DoubleType(), ["1.5", " 2 ", "abc", "", None], [1.5, 2.0, None, None, None]),
         (
             IntegerType(),
-            ["4", "4.0", "4.9", "-3.2", " 7 ", "1e2", "x", "99999999999", "", None],
-            [4, 4, 4, -3, 7, None, None, None, None, None],
+            ["4", "4.0", "4.9", "-3.2", " 7 ", "1e2", "x", "99999999999", "", ".5", "-.5", ".", None],
+            [4, 4, 4, -3, 7, None, None, None, None, 0, 0, None, None],
         ),
     ],
 )
@@ -83,6 +83,23 @@ def test_sum_is_exact_and_ignores_missing(spark):
     assert one(spark, sum_amount(F.col("x")), [None]) is None
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_extreme_amounts_count_as_missing(spark, ansi):
+    """Nothing raises and nothing wraps around, whatever the ANSI setting."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        big = LARGEST
+        assert one(spark, sum_amount(F.col("x")), [big, big, 0.25]) == 2 * big + 0.25
+        assert one(spark, sum_amount(F.col("x")), [math.inf, 1e20, -1e308, 1.5]) == 1.5
+        assert one(spark, avg_amount(F.col("x")), [math.inf, 2.0, 4.0]) == 3.0
+        assert one(spark, avg_amount(F.col("x")), [-big, -big]) == -big
+        assert one(spark, sum_amount(F.col("x")), [math.inf]) is None
+        assert one(spark, sum_amount(F.col("x")), [-0.1] * 7 + [-big]) == -big - 0.7
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_averages_round_half_up(spark):
     assert one(spark, avg_amount(F.col("x")), [0.01, 0.02]) == 0.02
     assert one(spark, avg_amount(F.col("x")), [1.0, None]) == 1.0

@@ -1,9 +1,11 @@
 from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from frames import columns, silver
 from pyspark.sql import functions as F
 
+from marketloom.functions import money
 from marketloom.operators import dims, facts, marts
 from marketloom.plans.queries import Shop
 from marketloom.schemas import GOLD, stored
@@ -23,11 +25,14 @@ def declared(table):
 
 
 def test_calendar_covers_every_day(spark):
-    assert dims.build_dim_date(spark, date(2021, 1, 1), date(2021, 1, 7)).count() == 7
+    days = dims.build_dim_date(spark, date(2024, 2, 27), date(2024, 3, 2))
+    assert columns(days, "date_key") == [
+        (20240227,), (20240228,), (20240229,), (20240301,), (20240302,),
+    ]
 
 
 def test_calendar_has_the_declared_columns(spark):
-    assert layout(dims.build_dim_date(spark, date(2021, 1, 1), date(2021, 1, 3))) == declared("dim_date")
+    assert layout(dims.build_dim_date(spark, date(2019, 12, 30), date(2020, 1, 1))) == declared("dim_date")
 
 
 def test_default_calendar(spark):
@@ -51,7 +56,11 @@ def test_calendar_of_the_purchases(spark):
         {"order_purchase_timestamp": datetime(2018, 3, 1, 1)},
         {},
     )
-    assert columns(dims.purchase_calendar(orders), "date_key") == [(20180227,), (20180228,), (20180301,)]
+    days = dims.purchase_calendar(orders, date(2018, 2, 28), date(2018, 2, 28))
+    assert columns(days, "date_key") == [(20180227,), (20180228,), (20180301,)]
+    inside = dims.purchase_calendar(orders, date(2018, 2, 26), date(2018, 3, 2))
+    assert inside.count() == 5
+    assert dims.purchase_calendar(orders.limit(0)).count() == 1461
 
 
 # other dimensions
@@ -143,12 +152,18 @@ def shop_frames(spark):
     return items, orders, payments, customers
 
 
-HEAVY = ({}, {"order_id": {"o1": 3, "o3": 2}, "customer_id": {"c2": 4}})
+@pytest.fixture(params=[False, True])
+def raw_rows(request, spark):
+    """Rows to count heavy keys on: none of their own, or ones with a heavy key each."""
+    if not request.param:
+        return {}
+    items = spark.createDataFrame([("o1",)] * 20 + [("o3",)] * 9, "order_id string")
+    orders = spark.createDataFrame([("c2",)] * 9, "customer_id string")
+    return {"raw_items": items, "raw_orders": orders}
 
 
-@pytest.mark.parametrize("heavy", HEAVY)
-def test_left_fact_keeps_every_item(shop_frames, heavy):
-    fact = facts.build_fact_orders(*shop_frames, how="left", heavy=heavy)
+def test_left_fact_keeps_every_item(shop_frames, raw_rows):
+    fact = facts.build_fact_orders(*shop_frames, how="left", **raw_rows)
     names = ("order_id", "customer_unique_id", "total_payment_value", "order_status")
     assert columns(fact, *names) == [
         ("o1", "u1", 101.0, "delivered"),
@@ -157,9 +172,8 @@ def test_left_fact_keeps_every_item(shop_frames, heavy):
     ]
 
 
-@pytest.mark.parametrize("heavy", HEAVY)
-def test_inner_fact_loses_items_without_order(shop_frames, heavy):
-    fact = facts.build_fact_orders(*shop_frames, heavy=heavy)
+def test_inner_fact_loses_items_without_order(shop_frames, raw_rows):
+    fact = facts.build_fact_orders(*shop_frames, **raw_rows)
     assert layout(fact) == declared("fact_orders")
     names = ("order_id", "order_date_key", "gross_revenue", "was_delivered_on_time")
     assert columns(fact, *names) == [
@@ -203,15 +217,17 @@ def fact(spark):
     return spark.createDataFrame(data, stored(GOLD["fact_orders"]))
 
 
-@pytest.mark.parametrize("heavy", [None, {"p1": 3, "p9": 2}])
+@pytest.mark.parametrize("heavy", [(), ("p1", "p9")])
 def test_revenue_by_category(spark, fact, heavy):
+    rows = [(product,) for product in heavy for _ in range(9)]
+    raw_items = spark.createDataFrame(rows, "product_id string")
     products = silver(
         spark,
         "products",
         {"product_id": "p1", "category_english": "toys"},
         {"product_id": "p2", "category_english": "toys"},
     )
-    revenue = marts.revenue_by_category(fact, products, heavy_products=heavy)
+    revenue = marts.revenue_by_category(fact, products, raw_items=raw_items)
     assert layout(revenue) == declared("revenue_by_category")
     assert [tuple(row) for row in marts.by_month_and_revenue(revenue).collect()] == [
         (2018, 3, "toys", 43.01, 3.0, 40.01, 2, 3, 13.34),
@@ -254,9 +270,36 @@ def test_status_set_is_a_parameter(fact):
 
 
 def test_price_totals(spark):
-    rows = [("electronics", 100.0), ("electronics", 200.0), ("furniture", 50.0)]
+    rows = [("garden", 0.1), ("garden", 0.2), (None, 7.25), ("tools", None), ("garden", 9e14)]
     totals = marts.price_totals(spark.createDataFrame(rows, "category string, price double"))
-    assert sorted(map(tuple, totals.collect())) == [("electronics", 300.0), ("furniture", 50.0)]
+    assert columns(totals, "category", "total_revenue") == [
+        ("garden", 900000000000000.3),
+        ("tools", None),
+        (None, 7.25),
+    ]
+
+
+def test_category_totals_keep_every_cent(spark):
+    items = silver(
+        spark,
+        "order_items",
+        {"order_id": "o1", "product_id": "p1", "price": 9e14},
+        {"order_id": "o1", "product_id": "p2", "price": 0.01},
+        {"order_id": "o1", "product_id": "p3", "price": -9e14},
+    )
+    names = [{"product_id": f"p{n}", "category_english": "toys"} for n in (1, 2, 3)]
+    totals = marts.category_price_totals(items, silver(spark, "products", *names))
+    assert columns(totals, "category", "total_revenue") == [("toys", 0.01)]
+
+
+def test_on_time_rate_is_exact(spark):
+    """All counts up to 120, and one that doubles round the other way."""
+    pairs = [(late, total) for total in range(1, 121) for late in range(total + 1)] + [(23, 160)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    rate = money.ratio(F.col("a") * 100, F.col("b"), 2).alias("r")
+    for a, b, r in df.select("a", "b", rate).collect():
+        exact = (Decimal(a * 100) / b).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert Decimal(repr(r)) == exact, (a, b)
 
 
 # invariants over the test data

@@ -3,7 +3,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import joins
 from marketloom.operators.joins import heavy_keys, join_row_loss, lookup_join
 
 ROWS = 6000
@@ -26,53 +25,41 @@ def lookup(spark):
     return numbered.unionByName(spark.createDataFrame([("hot", -1), ("absent", -2)], "k string, v long"))
 
 
-def test_heavy_keys_are_found(spark, skewed):
-    found = heavy_keys(skewed, "k", "id", smallest=1)
-    assert set(found["k"]) == {"hot", None}
-    assert found["k"]["hot"] >= 2
-    assert found["id"] == {}
+def given(spark, **buckets):
+    return spark.createDataFrame(list(buckets.items()), "k string, _buckets int")
 
 
-def test_some_files_tell_the_heavy_keys_of_a_stored_table(spark, skewed, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    skewed.repartition(60, "id").write.parquet(path)
-    stored = spark.read.schema("id long, k string").parquet(path).select("k")
-    monkeypatch.setattr(joins, "_SAMPLE_FLOOR", 300)
-    monkeypatch.setattr(joins, "_SAMPLE_PER_PARTITION", 1)
-    monkeypatch.setattr(joins, "_READ_PER_SAMPLED", 4)
-    some, rows = joins._some_files(stored, ROWS, 300)
-    assert 300 <= rows < ROWS / 2 and some.count() == rows
-    found = heavy_keys(stored, "k", smallest=1, stored=True)["k"]
-    assert "hot" in found and set(found) <= {"hot", None}
+def test_heavy_keys_are_found(skewed):
+    found = {row["k"]: row["_buckets"] for row in heavy_keys(skewed, "k").collect()}
+    assert found == {"hot": 43}  # a third of the rows in shares of an eighth, 16 buckets each
+    assert heavy_keys(skewed, "id").collect() == []
 
 
-def test_too_few_files_are_not_trusted(spark, skewed, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    skewed.coalesce(1).write.parquet(path)
-    stored = spark.read.schema("id long, k string").parquet(path)
-    monkeypatch.setattr(joins, "_READ_PER_SAMPLED", 1)
-    some, rows = joins._some_files(stored, ROWS, 10)
-    assert rows == some.count() == ROWS
-
+def test_heavy_keys_of_an_empty_table(spark):
+    assert heavy_keys(spark.createDataFrame([], "k string"), "k").collect() == []
 
-def test_small_tables_are_not_measured(skewed):
-    assert heavy_keys(skewed, "k") == {"k": {}}
 
+def test_nothing_runs_while_a_join_is_planned(spark, skewed, lookup):
+    def jobs():
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
 
-def test_heavy_keys_of_an_empty_table(spark):
-    assert heavy_keys(spark.createDataFrame([], "k string"), "k", smallest=0) == {"k": {}}
+    before = jobs()
+    lookup_join(skewed, lookup, "k", "left", heavy_keys(skewed, "k"), ["id"])
+    assert jobs() == before
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("heavy", [{"hot": 5}, {None: 4}, {"hot": 3, None: 6, "7": 2, "gone": 2}])
-def test_spreading_changes_no_row(skewed, lookup, how, heavy):
-    plain = lookup_join(skewed, lookup, "k", how)
-    spread = lookup_join(skewed, lookup, "k", how, heavy, ["id"])
+@pytest.mark.parametrize("heavy", [{}, {"hot": 5}, {"hot": 3, "7": 2, "gone": 2}, None])
+def test_spreading_changes_no_row(spark, skewed, lookup, how, heavy):
+    plain = skewed.join(lookup, "k", how)
+    buckets = heavy_keys(skewed, "k") if heavy is None else given(spark, **heavy)
+    spread = lookup_join(skewed, lookup, "k", how, buckets, ["id"])
     assert spread.columns == plain.columns
     assert Counter(map(tuple, spread.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_the_hot_key_meets_many_tasks(spark, skewed, lookup):
+@pytest.fixture
+def shuffled_joins(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -80,18 +67,20 @@ def test_the_hot_key_meets_many_tasks(spark, skewed, lookup):
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        heavy = heavy_keys(skewed, "k", smallest=1)["k"]
-        largest = {}
-        for label, keys in (("plain", None), ("spread", heavy)):
-            joined = lookup_join(skewed, lookup, "k", "left", keys, ["id"])
-            sizes = joined.groupBy(F.spark_partition_id().alias("p")).count()
-            largest[label] = max(row["count"] for row in sizes.collect())
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    assert largest["plain"] > ROWS / 3
-    assert largest["spread"] < 2.5 * ROWS / 8
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_partition(df):
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).count()
+    return max(row["count"] for row in sizes.collect())
+
+
+def test_hot_and_missing_keys_meet_many_tasks(skewed, lookup, shuffled_joins):
+    assert largest_partition(skewed.join(lookup, "k", "left")) > ROWS / 3
+    spread = lookup_join(skewed, lookup, "k", "left", heavy_keys(skewed, "k"), ["id"])
+    assert largest_partition(spread) < 2 * ROWS / 8
 
 
 def test_row_loss(spark):

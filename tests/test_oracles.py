@@ -5,7 +5,9 @@ import os
 import pytest
 from compare import assert_same, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from marketloom.plans.oracle import oracle_sql
+from marketloom.plans.queries import queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 

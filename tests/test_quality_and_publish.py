@@ -35,17 +35,24 @@ def test_conform_rejects_missing_columns_and_wide_strings(spark):
 
 
 def test_nan_and_integral_columns(spark):
-    rows = [(1.0, 1.5, None, math.nan), (math.nan, 2.0, None, 3.0), (None, 2.0, None, 4.0)]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    rows = [
+        (1.0, 1.5, None, math.nan, 1e30),
+        (math.nan, 2.0, None, 3.0, 2.0),
+        (None, 2.0, None, 4.0, None),
+    ]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
     assert columns(nan_to_null(df), "a") == [(1.0,), (None,), (None,)]
     assert dict(map(tuple, integral_columns(df).collect())) == {
         "a": True,
         "b": False,
         "c": False,
         "d": True,
+        "e": False,
     }
     narrow = narrow_integral(df)
-    assert narrow.dtypes == [("a", "bigint"), ("b", "double"), ("c", "double"), ("d", "bigint")]
+    assert narrow.dtypes == [("a", "bigint"), ("b", "double"), ("c", "double"), ("d", "bigint"),
+                             ("e", "double")]
+    assert narrow_integral(df, ["d"]).dtypes[0] == ("a", "double")
     assert columns(narrow, "a", "d") == [(1, None), (None, 3), (None, 4)]
 
 
@@ -78,6 +85,18 @@ def test_every_failure_is_named_in_one_error(tables):
     assert passed == ["t min_rows: observed 2, expected 1"]
 
 
+def test_keys_without_a_row_in_the_other_table(spark):
+    tables = {
+        "f": spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int"),
+        "d": spark.createDataFrame([(1,), (3,)], "k int"),
+    }
+    checks = [quality.KnownKeys("f", "k", "d", "k"), MinRows("f", 1)]
+    assert sorted(map(tuple, quality.run_checks(tables, checks).collect())) == [
+        ("f", "k_without_d", 2, 0, False),
+        ("f", "min_rows", 4, 1, True),
+    ]
+
+
 def test_a_table_without_minimum_needs_one_row(tables):
     rows = quality.staging_checks(tables, {"t": 3}).collect()
     assert sorted(map(tuple, rows)) == [
@@ -91,15 +110,31 @@ def sellers(spark, *names):
     return spark.createDataFrame(rows, stored(GOLD["dim_sellers"]))
 
 
-def test_a_failed_validation_leaves_the_view_alone(spark, tmp_path):
+def test_a_failed_validation_leaves_the_published_version_alone(spark, tmp_path):
     root, minima = str(tmp_path / "gold"), {"dim_sellers": 2}
+
+    def seen():
+        assert columns(spark.table("shop_a.dim_sellers"), "seller_id") == columns(
+            publish.published(spark, root, "dim_sellers"), "seller_id"
+        )
+        return columns(publish.published(spark, root, "dim_sellers"), "seller_id")
+
+    with pytest.raises(LookupError):
+        publish.published(spark, root, "dim_sellers")
     publish.publish(spark, {"dim_sellers": sellers(spark, "a", "b")}, root, "r1", minima, "shop_a")
-    assert columns(spark.table("shop_a.dim_sellers"), "seller_id") == [("a",), ("b",)]
+    assert seen() == [("a",), ("b",)]
     with pytest.raises(quality.QualityError, match="dim_sellers min_rows"):
         publish.publish(spark, {"dim_sellers": sellers(spark, "c")}, root, "r2", minima, "shop_a")
-    assert columns(spark.table("shop_a.dim_sellers"), "seller_id") == [("a",), ("b",)]
+    assert seen() == [("a",), ("b",)]
     publish.publish(spark, {"dim_sellers": sellers(spark, "d", "e")}, root, "r3", minima, "shop_a")
-    assert columns(spark.table("shop_a.dim_sellers"), "seller_id") == [("d",), ("e",)]
+    assert seen() == [("d",), ("e",)]
+
+
+def test_a_publication_keeps_the_other_tables(spark, tmp_path):
+    root = str(tmp_path)
+    publish.announce(spark, root, ["dim_sellers", "dim_date"], "r1")
+    publish.announce(spark, root, ["dim_date"], "r2")
+    assert publish.versions(spark, root) == {"dim_sellers": "r1", "dim_date": "r2"}
 
 
 def test_a_version_is_never_overwritten(spark, tmp_path):
@@ -115,6 +150,8 @@ def test_views_keep_declared_types_and_order(spark, tmp_path):
         [tuple(row.get(n) for n in names)], stored(GOLD["revenue_by_category"])
     )
     publish.publish(spark, {"revenue_by_category": df}, str(tmp_path), "r1", {}, "shop_b")
+    found = publish.published(spark, str(tmp_path), "revenue_by_category")
+    assert found.columns == names and dict(found.dtypes)["purchase_year"] == "int"
     view = spark.table("shop_b.revenue_by_category")
     assert view.columns == names
     assert dict(view.dtypes)["purchase_year"] == "int"

@@ -1,4 +1,4 @@
-"""All tables over random dirty raw data, against SQL, with and without heavy keys."""
+"""All tables over random dirty raw data with heavy keys, against SQL."""
 
 import random
 from datetime import datetime, timedelta
@@ -121,11 +121,8 @@ def test_every_table(spark, seed):
         raw[name] = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
         raw[name] = raw[name].repartition(1 + seed)
     silver = daily.clean_all(raw, RUN_TS)
-    heavy = {}
-    if seed % 2:
-        heavy = {"order_id": {"ohot": 5}, "customer_id": {"chot": 3, "c1": 2}}
     fact_inputs = [silver[n] for n in ("order_items", "orders", "payments", "customers")]
-    fact = facts.build_fact_orders(*fact_inputs, heavy=heavy)
+    fact = facts.build_fact_orders(*fact_inputs)
     persons = dims.build_dim_customers(silver["customers"], RUN_TS)
     tables = {
         "clean_orders": whole_as_double(silver["orders"]),
@@ -138,12 +135,8 @@ def test_every_table(spark, seed):
         "dim_products": dims.build_dim_products(silver["products"], RUN_TS),
         "payments_per_order": facts.payments_per_order(silver["payments"]),
         "fact_orders": whole_as_double(fact),
-        "fact_orders_left": whole_as_double(
-            facts.build_fact_orders(*fact_inputs, how="left", heavy=heavy)
-        ),
-        "revenue_by_category": marts.revenue_by_category(
-            fact, silver["products"], heavy_products={"phot": 4} if heavy else None
-        ),
+        "fact_orders_left": whole_as_double(facts.build_fact_orders(*fact_inputs, how="left")),
+        "revenue_by_category": marts.revenue_by_category(fact, silver["products"]),
         "customer_lifetime_value": marts.customer_lifetime_value(fact, persons),
         "seller_performance": marts.seller_performance(fact, silver["sellers"]),
         "category_price_totals": marts.category_price_totals(
