@@ -15,7 +15,7 @@ from marketloom.functions.buckets import (
     at_most,
 )
 from marketloom.functions.dates import date_key
-from marketloom.functions.money import LARGEST, avg_amount, avg_whole, sum_amount
+from marketloom.functions.money import LARGEST, avg_amount, avg_whole, sum_amount, sum_units
 from marketloom.functions.parsing import parse
 from marketloom.functions.text import code_text, title_text
 
@@ -95,6 +95,8 @@ def test_extreme_amounts_count_as_missing(spark, ansi):
         assert one(spark, avg_amount(F.col("x")), [math.inf, 2.0, 4.0]) == 3.0
         assert one(spark, avg_amount(F.col("x")), [-big, -big]) == -big
         assert one(spark, sum_amount(F.col("x")), [math.inf]) is None
+        exact = one(spark, sum_units(F.col("x")), [9 * 10**18 - 1, -1, 10**9, -(10**9) - 1], "long")
+        assert exact == 9 * 10**18 - 3
         assert one(spark, sum_amount(F.col("x")), [-0.1] * 7 + [-big]) == -big - 0.7
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
