@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketloom.sources.tables import shared_path
+
 SALTS = 16
 
 
 class Scratch:
-    """A folder of its own for intermediate tables, in the folder that the cluster shares.
-
-    The folder is the one `spark.checkpoint.dir` names. Only where that is unset, as in a
-    local session, a temporary one is made.
-    """
+    """A folder of its own for intermediate tables, in the folder that the cluster shares."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-        self.folder = f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
+        self.folder = shared_path(spark, "llm")
         self._tables = 0
 
     def path(self) -> str:

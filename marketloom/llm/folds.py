@@ -12,6 +12,22 @@ def held_out(id_column: str, folds: int, fold: int) -> Column:
     return F.coalesce(hashed % folds == fold, F.lit(False))
 
 
+#: A sample is thinned to about this many times its size before it is put in order.
+SPARE = 5
+_STEPS = 1 << 30
+
+
+def thinned(rows: DataFrame, order: Column, total: Column | int, wanted: int) -> DataFrame:
+    """Rows from which the first `wanted` of `total` in `order`, a hash, can be taken.
+
+    Only rows whose hash is small enough stay, about SPARE * `wanted` of them however many there
+    are, so that no task has to put more than that in order. Which rows these are follows from
+    the rows alone. With up to SPARE * `wanted` rows all stay.
+    """
+    share = F.lit(float(SPARE * wanted)) / total
+    return rows.where(F.pmod(order, F.lit(_STEPS)) < share * _STEPS)
+
+
 def sample_texts(
     docs: DataFrame, chosen: DataFrame, id_column: str, text_column: str
 ) -> DataFrame:

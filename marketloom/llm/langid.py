@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm import folds
+from marketloom.llm.common import salted_join
 
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
@@ -218,11 +219,19 @@ def train(
         & F.col(text_column).isNotNull()
         & ~folds.held_out("doc_id", FOLDS, HELD_OUT)
     )
-    rank = F.row_number().over(Window.partitionBy("target").orderBy(order, "doc_id"))
+    totals = known.groupBy("target").agg(F.count("*").alias("total"))
+    some = folds.thinned(
+        salted_join(known, totals, ["target"], ["doc_id"]),
+        order,
+        F.col("total"),
+        FIT_PER_LANGUAGE,
+    )
+    steps = F.pmod(order, F.lit(1 << 30))
+    rank = F.row_number().over(Window.partitionBy("target").orderBy(steps, order, "doc_id"))
     chosen = (
-        known.withColumn("_rank", rank)
-        .where(F.col("_rank") <= FIT_PER_LANGUAGE)
-        .orderBy("_rank", order, "doc_id", "target")
+        some.select("doc_id", "target", rank.alias("rank"))
+        .where(F.col("rank") <= FIT_PER_LANGUAGE)
+        .orderBy("rank", order, "doc_id", "target")
         .limit(FIT_DOCS)
         .select("doc_id", "target")
         .distinct()

@@ -286,7 +286,8 @@ def train(
     FIT_CHAINS chains of FIT_LINES lines, evenly spread. Labels other than 0 and 1 and documents
     with both do not count. Without any label all scores will be 0.5.
     """
-    chosen = (
+    order = F.xxhash64("doc_id", F.lit(SEED))
+    known = (
         labels.select(
             F.col(id_column).cast("long").alias("doc_id"), F.col(label_column).alias("target")
         )
@@ -296,9 +297,9 @@ def train(
         .agg(F.min("target").alias("target"), F.max("target").alias("most"))
         .where("target = most")
         .select("doc_id", F.col("target").cast("int").alias("target"))
-        .orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
-        .limit(FIT_DOCS)
     )
+    some = folds.thinned(known, order, max(1, known.count()), FIT_DOCS)
+    chosen = some.orderBy(F.pmod(order, F.lit(1 << 30)), order, "doc_id").limit(FIT_DOCS)
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,9 @@ import pyarrow.parquet as pq
 import pytest
 from corpora import AWKWARD, documents, with_clashes
 
-from marketloom.llm import langid, quality
+from pyspark.sql import functions as F
+
+from marketloom.llm import folds, langid, quality
 from marketloom.llm.queries import queries
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -101,6 +103,17 @@ def test_quality_of_awkward_documents(spark):
     assert texts[0] == texts[1]  # a null text counts as an empty one
 
 
+def test_samples_are_thinned_before_they_are_put_in_order(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"))
+    order = F.xxhash64("doc_id")
+    some = folds.thinned(rows, order, 40_000, 100)
+    assert 400 < some.count() < 600
+    assert folds.thinned(rows, order, 40_000, 8000).count() == 40_000
+    first = [F.pmod(order, F.lit(1 << 30)), order]
+    want = [r[0] for r in rows.orderBy(*first).limit(100).collect()]
+    assert [r[0] for r in some.orderBy(*first).limit(100).collect()] == want
+
+
 def test_quality_without_labels_and_without_documents(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents(spark, [(1, "a"), (2, None)])
