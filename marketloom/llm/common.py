@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from marketloom.sources.tables import shared_path
 
 SALTS = 16
+#: Rows of a lookup that is broadcast, at most.
+BROADCAST_ROWS = 50_000
 
 
 class Scratch:
@@ -48,17 +50,39 @@ def salted_join(
     by: list[str],
     how: str = "inner",
     salts: int = SALTS,
+    hint: str | None = None,
 ) -> DataFrame:
     """Join with a lookup that has one row for each key, a hot key dealt to several tasks.
 
     Each key of the lookup is repeated once per salt, and the columns `by` spread the rows of
-    one key over the salts. The key is compared with equality: null keys find nothing.
+    one key over the salts. The key is compared with equality: null keys find nothing. The lookup
+    is one still to be computed, which Spark broadcasts only if it measures it to be small.
     """
     spread = lookup.withColumn("_salt", F.explode(F.lit(list(range(salts)))))
+    if hint:
+        spread = spread.hint(hint)
     salted = rows.withColumn("_salt", salt(*by, salts=salts))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
 
 
+def table_join(
+    rows: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    by: list[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Join with a lookup that is a written table, with one row for each key.
+
+    Its rows are counted, which reads the files' footers. Up to BROADCAST_ROWS it is broadcast,
+    and the rows stay where they are; a larger one is shuffled and a hot key's rows are dealt to
+    several tasks.
+    """
+    if table.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), on, how)
+    return salted_join(rows, table, on, by, how, hint="merge")
+
+
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     """Connected components of links (a long, b long): (node, root), root the smallest node.
 

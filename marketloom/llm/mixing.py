@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, salted_join
+from marketloom.llm.common import Scratch, table_join
 
 LEVELS = ("domain", "lang", "source")
 SEED = 17
@@ -123,12 +123,14 @@ def select(
 ) -> DataFrame:
     """Rows with `copies`, how often the mix has them; rows it leaves out are dropped.
 
+    `plan` is a written table.
+
     `rows` has doc_id, domain, lang, source and n_tokens, and any others. The prefix ends before
     the first document that would pass it. A leaf is never sorted as a whole: shares of it, by
     the leading digits of the order, are summed, and only the share in which the prefix ends is
     gone through row by row. Documents with one doc_id follow each other by n_tokens.
     """
-    budgeted = salted_join(rows, plan, list(LEVELS), ["doc_id"])
+    budgeted = table_join(rows, plan, list(LEVELS), ["doc_id"])
     ordered = budgeted.withColumn("_order", _order("doc_id", F.col("epochs") + 1, seed)).withColumn(
         "_share", F.substring("_order", 1, SHARE_DIGITS)
     )

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, components, salted_join
+from marketloom.llm.common import Scratch, components, salted_join, table_join
 
 BITS = 64
 SEED = 42
@@ -233,12 +233,8 @@ def links(scratch: Scratch, classes: DataFrame, max_distance: int = MAX_DISTANCE
     pairs = crowded.where("size = 2").where(
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
     )
-    members = salted_join(
-        replicas,
-        crowded.where("size > 2").select("anchor", "size"),
-        ["anchor"],
-        ["fingerprint"],
-    )
+    larger = scratch.table(crowded.where("size > 2").select("anchor", "size"))
+    members = table_join(replicas, larger, ["anchor"], ["fingerprint"])
     groups = (
         members.where(F.col("size") <= ANCHOR_GROUP)
         .groupBy("anchor")

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, salted_join
+from marketloom.llm.common import Scratch, table_join
 
 #: Payload bytes after which a task closes a package and begins another.
 PACKAGE_BYTES = 32 << 20
@@ -392,7 +392,7 @@ def with_types(scratch: Scratch, pages: DataFrame, least_bytes: int = 0) -> Data
         .where("n > 1")
         .select("digest", "response_id", F.lit(True).alias("found"))
     )
-    joined = salted_join(keyed, repeated, ["digest"], ["page_id", "url"], "left")
+    joined = table_join(keyed, repeated, ["digest"], ["page_id", "url"], "left")
     revisit = (
         F.coalesce("found", F.lit(False))
         & (F.col("payload_bytes") >= least_bytes)

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from corpora import AWKWARD, documents, with_clashes
 
-from marketloom.llm import simhash
+from marketloom.llm import common, simhash
 from marketloom.llm.common import Scratch, components
 
 
@@ -92,6 +92,20 @@ def test_negative_fingerprints_link(spark):
     }
 
 
+@pytest.mark.parametrize("most", [0, 50_000])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_in_a_table_with_a_hot_key(spark, monkeypatch, most, how):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+    rows = spark.range(900).selectExpr("id", "if(id % 3 = 0, 7, if(id % 3 = 1, id, null)) AS k")
+    table = Scratch(spark).table(spark.range(500).selectExpr("id AS k", "id * 2 AS v"))
+    joined = common.table_join(rows, table, ["k"], ["id"], how)
+    assert ("BroadcastHashJoin" in joined._jdf.queryExecution().toString()) == (most > 0)
+    found = {r["id"]: r["v"] for r in joined.collect()}
+    keys = {i: 7 if i % 3 == 0 else i if i % 3 == 1 else None for i in range(900)}
+    want = {i: 2 * k if k is not None and k < 500 else None for i, k in keys.items()}
+    assert found == (want if how == "left" else {i: v for i, v in want.items() if v is not None})
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)]
     links += [(5, 5), (None, 3), (4, None), (7, 6)]
