@@ -97,7 +97,8 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             frames.append(_check_keys(tables[check.table], tables[check.other], check))
         else:
             by_table.setdefault(check.table, []).append(check)
-    return stack_rows([_check_table(tables[name], group) for name, group in by_table.items()] + frames)
+    frames += [_check_table(tables[name], group) for name, group in by_table.items()]
+    return stack_rows(frames)
 
 
 def staging_checks(

@@ -246,7 +246,8 @@ def _known_keys(table: str, column: str, other: str, other_column: str) -> str:
     return f"""SELECT '{table}' AS table_name, '{column}_without_{other}' AS check_name,
         count(*) AS observed, CAST(0 AS BIGINT) AS expected, count(*) = 0 AS passed
         FROM {_TABLES[table]}
-        WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {other_column} FROM {_TABLES[other]})"""
+        WHERE {column} IS NOT NULL
+          AND {column} NOT IN (SELECT {other_column} FROM {_TABLES[other]})"""
 
 
 def _check(check: Check) -> str:

@@ -109,7 +109,8 @@ SKEWED: dict[str, str] = {
         SELECT CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN '{HOT_ORDER}' ELSE order_id END
                     AS order_id,
                CASE WHEN CAST(order_id AS BIGINT) % 3 = 0
-                    THEN CAST(CAST(order_id AS BIGINT) * 8 + CAST(order_item_id AS BIGINT) AS STRING)
+                    THEN CAST(CAST(order_id AS BIGINT) * 8 + CAST(order_item_id AS BIGINT)
+                              AS STRING)
                     ELSE order_item_id END AS order_item_id,
                CASE WHEN CAST(seller_id AS BIGINT) % 3 = 0 THEN '{HOT_PRODUCT}' ELSE product_id END
                     AS product_id,
