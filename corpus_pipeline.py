@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import mixing, packing, quality, secrets, simhash
-from marketloom.llm.common import Scratch, salted_join
+from marketloom.llm.common import Scratch, table_join
 from marketloom.llm.queries import BUDGET_PERCENT, WEIGHTS, domain
-from marketloom.llm.shipping import ship
+from marketloom.llm.shipping import prepare
 
 
 def _packed(docs: DataFrame) -> Column:
@@ -26,7 +26,7 @@ def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    ship(spark)
+    prepare(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _unpacked(
         quality.classify(docs, model, keep=True).where("predicted = 1"), docs.columns
@@ -38,7 +38,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     A document without a doc_id stays. Of rows that repeat a doc_id the smallest row stays.
     """
-    ship(spark)
+    prepare(spark)
     found = simhash.near_duplicates(docs)
     told = (
         found.where("doc_id is not null")
@@ -50,7 +50,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         .where("gone or repeated")
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _packed(docs))
-    joined = salted_join(rows, Scratch(spark).table(told), ["doc_id"], ["doc_id"], "left")
+    joined = table_join(rows, Scratch(spark).table(told), ["doc_id"], ["doc_id"], "left")
     kept = joined.where("not coalesce(gone, false)")
     alone = kept.where("not coalesce(repeated, false)").select("row")
     one = kept.where("repeated").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
@@ -85,7 +85,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences."""
-    ship(spark)
+    prepare(spark)
     return packing.pack(docs)
 
 

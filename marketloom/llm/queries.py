@@ -20,7 +20,7 @@ from marketloom.llm import (
     substrings,
     warc,
 )
-from marketloom.llm.shipping import ship
+from marketloom.llm.shipping import prepare
 
 #: The mix: domains, to which sources belong by number, and weights by level and name.
 DOMAINS = ("web", "reference", "forum", "news")
@@ -99,7 +99,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(query: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
+            prepare(spark)
             return query(spark, sf_dir)
 
         return run

@@ -27,14 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, extended, salted_join
+from marketloom.llm.common import Scratch, extended, salted_join, table_join
 
 LENGTH = 400
 SEED_LENGTH = 64  # a power of two
 #: Distinct contexts of one anchor that a task sorts; beyond it their strings are counted.
 GROUP = 50_000
 #: Contexts that a task sorts together, and bytes in which it looks for anchors at a time.
-SORTED_AT_ONCE = 30_000
+SORTED_AT_ONCE = 12_000
 BYTES_AT_ONCE = 1 << 18
 
 #: How texts are packed for a shuffle.
@@ -345,7 +345,8 @@ def _counted_spans(contexts: DataFrame, width: Width) -> DataFrame:
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("id0", "hash", "place", "left", "bytes")]
+            names = ("id0", "hash", "place", "left", "bytes")
+            columns = [batch.column(name).to_pylist() for name in names]
             for id0, text, place, left, data in zip(*columns):
                 starts = range(len(data) - width.length + 1)
                 found = [hashlib.md5(data[i : i + width.length]).digest() for i in starts]
@@ -385,16 +386,16 @@ def repeated_spans(scratch: Scratch, texts: DataFrame, width: Width) -> DataFram
         .where("n > 1")
         .drop("n")
     )
-    repeated = scratch.table(salted_join(found, often, ["anchor"], [*KEYS, "place"]))
+    repeated = scratch.table(table_join(found, often, ["anchor"], [*KEYS, "place"]))
     # Any one of equal contexts will do; the columns of the first come from one row.
     kinds = scratch.table(
         repeated.where("not alike")
         .groupBy("anchor", "context")
         .agg(F.count("*").alias("size"), *[F.first(c).alias(c) for c in (*KEYS, "place")])
     )
-    whole = salted_join(
+    whole = table_join(
         repeated.where("not alike"),
-        kinds.where("size > 1").select("anchor", "context"),
+        scratch.table(kinds.where("size > 1").select("anchor", "context")),
         ["anchor", "context"],
         [*KEYS, "place"],
     )
@@ -412,7 +413,7 @@ def repeated_spans(scratch: Scratch, texts: DataFrame, width: Width) -> DataFram
         .where(F.col("n") > GROUP)
         .select("anchor", F.lit(True).alias("crowded"))
     )
-    wanted = salted_join(kinds, crowds, ["anchor"], ["context"], "left").withColumn(
+    wanted = table_join(kinds, crowds, ["anchor"], ["context"], "left").withColumn(
         "crowded", F.coalesce("crowded", F.lit(False))
     )
     contexts = _contexts(texts, wanted, width)

@@ -1,10 +1,10 @@
 import pytest
 
-from marketloom.llm.shipping import ship
+from marketloom.llm.shipping import prepare
 
 
 @pytest.fixture(scope="session")
 def spark(spark):
     """The session, with the package handed to its workers."""
-    ship(spark)
+    prepare(spark)
     return spark
