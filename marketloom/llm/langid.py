@@ -93,7 +93,8 @@ def read(model: Model, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     states = []
     state = np.zeros((hidden, len(lengths)), dtype=np.float32)
     for position in range(steps):
-        state = _step(model.forward, data[position, : reach[position]], state[:, : reach[position]])[0]
+        now = data[position, : reach[position]]
+        state = _step(model.forward, now, state[:, : reach[position]])[0]
         states.append(state)
     total = np.zeros((len(model.languages), len(lengths)))
     state = np.zeros((hidden, 0), dtype=np.float32)

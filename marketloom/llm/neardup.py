@@ -244,7 +244,9 @@ def near_duplicates(
         F.col(label_column).alias("label"),
     )
     valid = rows.where(
-        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & vectors.usable(F.col("embedding"))
+        F.col("vec_id").isNotNull()
+        & F.col("label").isNotNull()
+        & vectors.usable(F.col("embedding"))
     )
     classes = scratch.table(
         valid.groupBy("label", "embedding")
@@ -267,9 +269,8 @@ def near_duplicates(
             F.coalesce("root", "rep").alias("component_id"),
         )
     )
-    keyed = rows.withColumn(
-        "label", F.when(F.col("vec_id").isNotNull() & vectors.usable(F.col("embedding")), F.col("label"))
-    )
+    taking_part = F.col("vec_id").isNotNull() & vectors.usable(F.col("embedding"))
+    keyed = rows.withColumn("label", F.when(taking_part, F.col("label")))
     joined = salted_join(keyed, told, ["label", "embedding"], ["vec_id"], "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select(

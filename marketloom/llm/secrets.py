@@ -77,7 +77,8 @@ def _matches(text: Column, pattern: str) -> Column:
     The text between matches gives the positions. They are added up in blocks, since an array
     grows by copying.
     """
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    between = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
     whole = F.struct(between.alias("between"), found.alias("found"), F.size(found).alias("n"))
 

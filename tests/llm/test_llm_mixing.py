@@ -29,7 +29,7 @@ def share(budget, nodes):
     return out | {name: left * w // total for name, (_, w) in open_.items()}
 
 
-def slow_budgets(leaves, percent, epochs):
+def slow_budgets(leaves, percent, epochs, weights=WEIGHTS):
     leaves = {leaf: n for leaf, n in leaves.items() if n}
     grants = {(): sum(leaves.values()) * percent // 100}
     for depth, level in enumerate(mixing.LEVELS):
@@ -38,7 +38,7 @@ def slow_budgets(leaves, percent, epochs):
             capacity[leaf[: depth + 1]] += tokens * epochs
         for parent in [g for g in grants if len(g) == depth]:
             nodes = {
-                n: (c, WEIGHTS[level].get(n[-1], 1)) for n, c in capacity.items() if n[:-1] == parent
+                n: (c, weights[level].get(n[-1], 1)) for n, c in capacity.items() if n[:-1] == parent
             }
             grants |= share(grants[parent], nodes)
     return {leaf: (grants[leaf] // n, grants[leaf] % n) for leaf, n in leaves.items()}
@@ -61,13 +61,13 @@ def test_budgets(spark, seed):
     assert got == slow_budgets(leaves, percent, 4)
 
 
-def slow_mix(rows, percent, epochs, seed=mixing.SEED):
+def slow_mix(rows, percent, epochs, weights=WEIGHTS, seed=mixing.SEED):
     """rows: (doc_id, leaf, tokens); how often each document is in the mix."""
     leaves = defaultdict(int)
     for _, leaf, tokens in rows:
         leaves[leaf] += tokens
     out = []
-    for leaf, (whole, prefix) in slow_budgets(leaves, percent, epochs).items():
+    for leaf, (whole, prefix) in slow_budgets(leaves, percent, epochs, weights).items():
         def order(row, epoch=whole + 1):
             key = f"{seed}:{epoch}" + ("" if row[0] is None else f":{row[0]}")
             return md5(key.encode()).hexdigest(), row[0] is not None, row[0] or 0, row[2]

@@ -1,15 +1,18 @@
 """Registered queries with a SQL counterpart, and the pipeline."""
 
 import os
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from compare import assert_same, connect
 from corpora import AWKWARD, documents, with_clashes
+from test_llm_mixing import slow_mix
 
 import corpus_pipeline
-from marketloom.llm import quality, secrets, simhash
-from marketloom.llm.queries import oracle_sql, queries
+from marketloom.llm import mixing, quality, secrets, simhash
+from marketloom.llm.queries import BUDGET_PERCENT, DOMAINS, WEIGHTS, oracle_sql, queries
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
@@ -83,18 +86,24 @@ def test_secrets_are_hidden(stages):
                 assert texts[row["doc_id"]][s["start"] : s["end"]] not in row["text"]
 
 
+def test_documents_are_in_the_mix_as_often_as_weights_and_budget_say(stages):
+    rows = [
+        (r["doc_id"], (DOMAINS[int(r["source"][3:]) % 4], r["lang"], r["source"]),
+         len(re.findall("[^\x20\x09-\x0d]+", r["text"])))
+        for r in stages[3].collect()
+    ]
+    want = slow_mix(rows, BUDGET_PERCENT, mixing.MAX_EPOCHS, WEIGHTS)
+    copies = Counter(r["doc_id"] for r in stages[4].collect())
+    assert {int(row[0]): row[-1] for row in want} == copies
+
+
 def test_the_mix_is_packed(stages):
-    mixed, packed = stages[4].collect(), stages[5].collect()
-    assert {r["doc_id"] for r in mixed} <= set(ids(stages[3])) and mixed
-    whole = {}
-    for row in packed:
-        key = row["doc_id"]
-        whole.setdefault(key, [row["doc_tokens"], 0])[1] += row["length"]
-    copies = {}
-    for row in mixed:
-        copies[row["doc_id"]] = copies.get(row["doc_id"], 0) + 1
-    assert {d: n * tokens for (d, n), tokens in
-            ((x, whole[x[0]][0]) for x in copies.items())} == {d: t[1] for d, t in whole.items()}
+    copies = Counter(r["doc_id"] for r in stages[4].collect())
+    tokens, packed = {}, Counter()
+    for row in stages[5].collect():
+        tokens[row["doc_id"]] = row["doc_tokens"]
+        packed[row["doc_id"]] += row["length"]
+    assert packed == {d: n * tokens[d] for d, n in copies.items()}
 
 
 def test_awkward_documents_pass_every_stage(spark, tmp_path):
