@@ -116,10 +116,17 @@ def _starts(pattern: str) -> str:
         FROM ({_located(pattern)})"""
 
 
+# The allow-list for an engine without possessive quantifiers and lookahead.
+_WORD = "([A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+ALLOWED = tuple(
+    f"^[-_/+=]*{_WORD}([-_/+=]+{_WORD})*[-_/+=]*$" if "(?=" in x else x for x in scan.ALLOWED
+)
+
+
 def _entropy(kind: int, chars: scan.CharClass) -> str:
     """Windows of high entropy, joined where they overlap or touch."""
     units = "[" + ", ".join(map(str, scan.bits_of_counts())) + "]"
-    allowed = " OR ".join(f"regexp_matches(found, {_quoted(x)})" for x in scan.ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(found, {_quoted(x)})" for x in ALLOWED)
     w = scan.WINDOW
     return f"""
         SELECT doc_id, min(start) AS start, {kind} AS kind, max(start) + {w} AS end_

@@ -53,10 +53,11 @@ CLASSES = (
 BASE_KINDS = ("assign", "access", "hex")
 
 #: Strings that are no secrets however mixed they look: numbers, UUIDs, words and slugs, examples.
+#: Repeated groups are possessive, as Java goes through others by recursion.
 ALLOWED = (
     r"^[0-9]+$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[-_/+=]*([A-Z]?[a-z]+|[A-Z]+|[0-9]+)([-_/+=]+([A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[-_/+=]*$",
+    r"^(?:[-_/+=]*+(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]++)(?=[-_/+=]|$))++[-_/+=]*$",
     r"(?i)example|dummy|placeholder|sample",
 )
 

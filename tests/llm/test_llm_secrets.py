@@ -82,6 +82,27 @@ def test_random_texts(spark, seed):
         assert tuple(row)[1:6] == expected(text), text
 
 
+def test_very_long_candidates(spark):
+    """A slug of many parts is allowed; a long mixed string is one span."""
+    rng = random.Random(4)
+    slug = "-".join(["word", "Other", "17", "ABC"] * 30_000)
+    mixed = "".join(rng.choices("ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/", k=20_000))
+    for text in (slug, f"x {mixed} y"):
+        row = secrets.scan(documents(spark, [(1, text)])).first()
+        assert tuple(row)[1:6] == expected(text)
+
+
+def test_slugs_are_allowed_part_by_part():
+    fine = ["some-slug_of/words", "HTML-Parser", "--a--", "12-34-56", "A/B/C", "x"]
+    other = ["HTMLParser", "abc1-def", "a1", "aB-c", "", "---", "é"]
+    plain = r"^[-_/+=]*([A-Z]?[a-z]+|[A-Z]+|[0-9]+)([-_/+=]+([A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[-_/+=]*$"
+    rng = random.Random(8)
+    more = ["".join(rng.choices("aBc1-/", k=rng.randrange(9))) for _ in range(3000)]
+    for text in fine + other + more:
+        assert bool(re.search(secrets.ALLOWED[2], text)) == bool(re.search(plain, text)), text
+    assert all(re.search(secrets.ALLOWED[2], x) for x in fine)
+
+
 def test_many_matches_in_one_text(spark, monkeypatch):
     monkeypatch.setattr(secrets, "BLOCK", 4)
     text = "token=abcdef " * 60
