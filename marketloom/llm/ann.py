@@ -67,7 +67,8 @@ def estimate(
     signs = bits.astype(np.float32) * 2 - 1
     turned = (queries @ turn).astype(np.float32)
     scale = (length / (along * math.sqrt(size))).astype(np.float32)
-    inner = turned @ signs.T * scale + (queries @ centroid).astype(np.float32)[:, None]
+    with np.errstate(over="ignore", invalid="ignore"):
+        inner = turned @ signs.T * scale + (queries @ centroid).astype(np.float32)[:, None]
     spread = np.sqrt(np.maximum(0, 1 - along**2)) / along / math.sqrt(max(1, size - 1))
     norms = np.sqrt((queries**2).sum(axis=1))
     return inner, DEVIATIONS * norms + 1e-6 * norms, length * spread + 1e-6 * (length + 1)
@@ -97,6 +98,7 @@ def search_block(
         inner[own] = -np.inf
         ahead = np.argpartition(inner, len(ids) - first, axis=1)[:, len(ids) - first :]
         reach = inner + wide[:, None] * spread[None, :]
+        reach[~np.isfinite(inner)] = np.inf  # an estimate that overflowed says nothing
         for n, query in enumerate(part):
             start = rows[ahead[n]] @ query
             start[own[n, ahead[n]]] = -np.inf

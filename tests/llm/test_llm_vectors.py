@@ -123,6 +123,14 @@ def test_nearest(spark, monkeypatch):
     assert len(got) == len(want) and len(got & want) >= 0.99 * len(want)
 
 
+def test_very_large_components_do_not_hide_neighbours(spark):
+    rng = np.random.default_rng(9)
+    rows = [(n, v.tolist(), 1) for n, v in enumerate(rng.standard_normal((400, 8)))]
+    rows += [(1001, [3e38] * 8, 1), (1002, [-3e38] * 8, 1)]
+    found = ann.nearest(table(spark, rows), F.expr("vec_id % 20 = 0"))
+    assert {tuple(r) for r in found.collect()} == set(slow_nearest(rows, ann.K))
+
+
 def test_few_and_awkward_candidates(spark):
     rows = [(n if n is None or n != 8 else 20, v, lab) for n, v, lab in AWKWARD] + [(40, [1.0], 1)]
     found = ann.nearest(table(spark, rows), F.expr("vec_id % 20 = 0")).collect()
