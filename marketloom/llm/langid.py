@@ -217,7 +217,6 @@ def train(
     ).where(
         F.col("doc_id").isNotNull()
         & F.col("target").isNotNull()
-        & F.col(text_column).isNotNull()
         & ~folds.held_out("doc_id", FOLDS, HELD_OUT)
     )
     totals = known.groupBy("target").agg(F.count("*").alias("total"))
