@@ -39,7 +39,8 @@ class Encoder:
     With the same vocabulary as a list of ranks too, texts of Latin-1 characters go through
     `tiktoken`, which gives the same ids several times as fast. The two libraries could only
     differ in what they hold for a letter, which for these characters is settled; all other
-    texts go through `tokenizers`, and without ranks every text does.
+    texts go through `tokenizers`, and without ranks every text does. So do texts with runs of
+    white space of a million characters, which are beyond the stack of `tiktoken`'s pattern.
     """
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None):
@@ -67,7 +68,11 @@ class Encoder:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        return self._ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        try:
+            ids = self._ranks.encode_to_numpy(text, disallowed_special=())
+        except ValueError:
+            return None
+        return ids.astype("<u4").tobytes()
 
 
 def _ranked(path: str):

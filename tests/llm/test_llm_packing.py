@@ -70,6 +70,14 @@ def test_both_libraries_give_the_same_ids(tokenizer):
             assert np.frombuffer(ids, "<u4").tolist() == encoding.ids, text
 
 
+@pytest.mark.parametrize("space", [" ", "\n"])
+def test_very_long_white_space(tokenizer, space):
+    texts = ["before", "word" + space * 1_200_000 + "x", "after"]
+    want = tokenizer.encode_batch(texts, add_special_tokens=False)
+    found = packing.encoder(None).encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [e.ids for e in want]
+
+
 def expected_ids(tokenizer, text):
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
