@@ -86,7 +86,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences."""
     prepare(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, special_as_text=False)
 
 
 STAGES = [

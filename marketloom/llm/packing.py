@@ -41,14 +41,22 @@ class Encoder:
     differ in what they hold for a letter, which for these characters is settled; all other
     texts go through `tokenizers`, and without ranks every text does. So do texts with runs of
     white space of a million characters, which are beyond the stack of `tiktoken`'s pattern.
+
+    Strings of the tokenizer's special tokens are plain text, or with `special_as_text` False
+    the tokens themselves, as a tokenizer gives them that is used as its file has it. Texts that
+    hold one go through `tokenizers` then.
     """
 
-    def __init__(self, tokenizer_path: str, ranks_path: str | None):
+    def __init__(
+        self, tokenizer_path: str, ranks_path: str | None, special_as_text: bool = True
+    ):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._apart = [t.content for t in added if not (t.special and special_as_text)]
         self._ranks = _ranked(ranks_path) if ranks_path else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -62,7 +70,7 @@ class Encoder:
         return out
 
     def _quick(self, text: str) -> bytes | None:
-        if self._ranks is None:
+        if self._ranks is None or any(token in text for token in self._apart):
             return None
         try:
             text.encode("latin-1")
@@ -84,20 +92,21 @@ def _ranked(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-_ENCODERS: dict[str | None, Encoder] = {}
+_ENCODERS: dict[tuple[str | None, bool], Encoder] = {}
 
 
-def encoder(tokenizer_path: str | None) -> Encoder:
+def encoder(tokenizer_path: str | None, special_as_text: bool = True) -> Encoder:
     """The worker's encoder for a tokenizer file, by default the public one with its ranks."""
-    if tokenizer_path not in _ENCODERS:
+    key = tokenizer_path, special_as_text
+    if key not in _ENCODERS:
         if tokenizer_path is None:
             import public_tokenizers
 
-            made = Encoder(public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS))
+            paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(RANKS)
         else:
-            made = Encoder(tokenizer_path, None)
-        _ENCODERS[tokenizer_path] = made
-    return _ENCODERS[tokenizer_path]
+            paths = tokenizer_path, None
+        _ENCODERS[key] = Encoder(*paths, special_as_text)
+    return _ENCODERS[key]
 
 
 def pieces(
@@ -108,6 +117,7 @@ def pieces(
     tokenizer_path: str | None = None,
     end_id: int = END_ID,
     keep_ids: bool = False,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): each document's ids in pieces.
 
@@ -116,7 +126,7 @@ def pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, special_as_text).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for ids, texts in _portions(batch):
@@ -308,17 +318,21 @@ def pack(
     tokenizer_path: str | None = None,
     end_id: int = END_ID,
     keep_ids: bool = False,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Documents in sequences of at most `capacity` ids, one row per piece.
 
     doc_id, start, length, ids_crc32, doc_tokens, [ids,] sequence_id, offset, sequence_tokens
     (ids in the sequence) and padded_tokens (its length with padding: `capacity`, but a sequence
     whose length is a power of two stays as it is). Null and empty texts are the end id alone.
+    With `special_as_text` False a special token's string in a text is that token.
     Null ids and repeated rows are packed like any other row. Other columns are not read. An
     empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession)
-    cut = pieces(docs, id_column, text_column, capacity, tokenizer_path, end_id, keep_ids)
+    cut = pieces(
+        docs, id_column, text_column, capacity, tokenizer_path, end_id, keep_ids, special_as_text
+    )
     return place(scratch.table(cut), capacity)
 
 

@@ -67,7 +67,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    return packing.pack(_table(spark, sf_dir, "documents"), special_as_text=False)
 
 
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

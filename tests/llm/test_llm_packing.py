@@ -9,7 +9,8 @@ import pytest
 from corpora import AWKWARD, documents, with_clashes
 from tokenizers import Tokenizer
 
-from marketloom.llm import packing
+import corpus_pipeline
+from marketloom.llm import packing, queries
 
 
 @pytest.fixture(scope="module")
@@ -78,6 +79,22 @@ def test_very_long_white_space(tokenizer, space):
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [e.ids for e in want]
 
 
+def test_special_tokens_as_the_file_has_them(spark, tmp_path):
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 3, "漢 <|endoftext|>", "no <|endoftext", ""]
+    want = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    for path in (None, public_tokenizers.path(packing.TOKENIZER)):
+        found = packing.encoder(path, special_as_text=False).encode(texts)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == want
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    crcs = {i: zlib.crc32(np.array([*ids, 1], "<u4").tobytes()) for i, ids in enumerate(want)}
+    packed = queries.queries()["op7_packing"](spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for rows in (packed, corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {r["doc_id"]: r["ids_crc32"] for r in rows.collect()} == crcs
+
+
 def expected_ids(tokenizer, text):
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
