@@ -59,7 +59,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark, and n_chars counted anew where one was."""
-    found = secrets.scan(docs, keep=True).select(
+    classes = secrets.CLASSES + secrets.SINGLE_CASE
+    found = secrets.scan(docs, classes=classes, keep=True).select(
         "row",
         secrets.redacted(F.col("row.text"), F.col("found")).alias("text"),
         (F.size("found") > 0).alias("hit"),

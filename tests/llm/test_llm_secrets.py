@@ -8,6 +8,7 @@ import pytest
 from corpora import AWKWARD, documents, with_clashes
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketloom.llm import secrets
 
 KINDS = [*secrets.BASE_KINDS, *(c.kind for c in secrets.CLASSES)]
@@ -137,6 +138,26 @@ def test_redaction(spark):
     assert secrets.MARK in rows.first()[2]
 
 
+@pytest.mark.parametrize(
+    "letters, lengths, least",
+    [
+        ("0123456789ABCDEF", (32, 40, 64), 0.99),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", (20, 24), 0.95),
+        ("abcdefghijklmnopqrstuvwxyz0123456789", (20, 24), 0.95),
+    ],
+)
+def test_pipeline_hides_random_keys_of_one_case(spark, letters, lengths, least):
+    rng = random.Random(6)
+    keys = ["".join(rng.choices(letters, k=k)) for k in lengths for _ in range(300)]
+    docs = documents(spark, [(i, f"see {key} there") for i, key in enumerate(keys)])
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.hide_secrets(spark, docs, "").collect()}
+    hidden = sum(secrets.MARK in texts[i] for i in range(len(keys)))
+    assert hidden >= least * len(keys)
+    plain = documents(spark, [(1, "A" * 40 + " internationalization THEQUICKBROWNFOXJUMPSOVER")])
+    text = plain.first()["text"]
+    assert corpus_pipeline.hide_secrets(spark, plain, "").first()["text"] == text
+
+
 def test_only_dataframe_functions(spark):
     plan = secrets.scan(documents(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
