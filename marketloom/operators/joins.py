@@ -3,27 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 # A heavy key gets so many buckets per fair share of rows it holds: small enough buckets
 # that some of them meeting in one partition do not matter.
 _BUCKETS_PER_SHARE = 16
+# Keys that a summary follows, per shuffle partition: its counts are then off by less than
+# half a fair share.  The function takes a million at most.
+_TRACKED_PER_PARTITION = 8
+_TRACKED_AT_MOST = 1_000_000
+# With more shuffle partitions than this the tasks' summaries are merged in two steps.
+_MERGED_AT_ONCE = 64
 
 
 def heavy_keys(df: DataFrame, column: str) -> DataFrame:
     """(column, _buckets): keys with more than one shuffle partition's fair share of the rows.
 
-    A part of the plan that uses it: all rows are counted by key, combined within map
-    tasks first, and nothing runs before the plan does.  There are fewer such keys than
-    shuffle partitions, whatever the data size.  They steer only the balance of a join,
-    so they may be counted on rows as delivered, before these are cleaned.
+    A part of the plan that uses it: nothing runs before the plan does.  Each map task
+    keeps a frequent-items summary of bounded size, whatever the number of keys, and the
+    summaries are merged, in two steps where there are many.  No row is shuffled by key.
+    There are fewer heavy keys than shuffle partitions, whatever the data size.  They steer
+    only the balance of a join, so a summary's error cannot change a result, and they may
+    be counted on rows as delivered, before these are cleaned.
     """
-    share = df.agg(F.count(F.lit(1)) / _shuffle_partitions(df)).scalar()
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    buckets = F.ceil(_BUCKETS_PER_SHARE * F.col("n") / share).cast("int")
-    return counts.filter(F.col("n") > share).select(column, buckets.alias("_buckets"))
+    partitions = _shuffle_partitions(df)
+    kind = df.schema[column].dataType
+    tracked = min(_TRACKED_PER_PARTITION * partitions, _TRACKED_AT_MOST)
+    rows = df.select(F.col(column).alias("key"))
+    if partitions > _MERGED_AT_ONCE:
+        merger = F.pmod(F.spark_partition_id(), F.lit(isqrt(partitions))).alias("merger")
+        rows = _summaries(rows.select("*", merger).groupBy("merger"), "accumulate(key", tracked)
+        total = F.sum("n")
+        merged = "combine(summary"
+    else:
+        total = F.count(F.lit(1))
+        merged = "accumulate(key"
+    # Grouped, since the functions fail on a partition without rows otherwise.
+    whole = _summaries(rows.groupBy(F.lit("all")), merged, tracked, total)
+    found = F.expr(f"approx_top_k_estimate(summary, {min(partitions, tracked)})")
+    counts = whole.select((F.col("n") / partitions).alias("share"), F.explode(found).alias("found"))
+    buckets = F.ceil(_BUCKETS_PER_SHARE * F.col("found.count") / F.col("share")).cast("int")
+    heavy = (F.col("found.count") > F.col("share")) & F.col("found.item").isNotNull()
+    item = F.col("found.item").cast(kind)
+    return counts.filter(heavy).select(item.alias(column), buckets.alias("_buckets"))
+
+
+def _summaries(
+    groups: GroupedData, function: str, tracked: int, rows: Column | None = None
+) -> DataFrame:
+    n = F.count(F.lit(1)) if rows is None else rows
+    return groups.agg(F.expr(f"approx_top_k_{function}, {tracked})").alias("summary"), n.alias("n"))
 
 
 def lookup_join(
