@@ -199,3 +199,28 @@ def nearest(k: int) -> str:
     )
     SELECT * FROM r WHERE rank <= {k}
     """
+
+
+def lines(least_docs: int, least_chars: int) -> str:
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = f"translate(trim(l, {blanks}), '{upper}', '{upper.lower()}')"
+    return f"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents
+        ), line AS (
+            SELECT r, doc_id, unnest(lines) AS l, generate_subscripts(lines, 1) AS place FROM split
+        ), keyed AS (SELECT *, {key} AS key FROM line),
+        common AS (
+            SELECT key FROM keyed WHERE length(key) >= {least_chars}
+            GROUP BY key HAVING count(DISTINCT r) >= {least_docs}
+        ), told AS (
+            SELECT keyed.*, common.key IS NOT NULL AS gone FROM keyed LEFT JOIN common USING (key)
+        )
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+               count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(l, chr(10) ORDER BY place) FILTER (NOT gone), ''))
+                   AS kept_sha256
+        FROM told GROUP BY r"""

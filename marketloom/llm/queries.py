@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import (
     ann,
     langid,
+    lines,
     mixing,
     neardup,
     oracle,
@@ -82,6 +83,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_common_lines(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_neardup": op2_neardup,
@@ -93,6 +98,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
+    "op12_lines": op12_lines,
 }
 
 
@@ -113,4 +119,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": oracle.mixing(DOMAINS, WEIGHTS, BUDGET_PERCENT),
         "op5_secrets": oracle.secrets(),
         "op8_ann": oracle.nearest(ann.K),
+        "op12_lines": oracle.lines(lines.LEAST_DOCS, lines.LEAST_CHARS),
     }

@@ -23,7 +23,7 @@ def test_counterpart(name, spark):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "simhash near-dedup", "secret scans", "source mix", "packing",
     ]
