@@ -16,6 +16,7 @@ from marketloom.llm import (
     oracle,
     packing,
     quality,
+    runs,
     secrets,
     simhash,
     substrings,
@@ -87,6 +88,10 @@ def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_common_lines(_table(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.collapse_runs(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_neardup": op2_neardup,
@@ -99,6 +104,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
     "op12_lines": op12_lines,
+    "op13_runs": op13_runs,
 }
 
 
