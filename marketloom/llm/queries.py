@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import (
+    alignment,
     ann,
     langid,
     lines,
@@ -84,6 +85,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_counts(_table(spark, sf_dir, "documents"))
+
+
 def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_common_lines(_table(spark, sf_dir, "documents"))
 
@@ -103,6 +108,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
+    "op11_alignment": op11_alignment,
     "op12_lines": op12_lines,
     "op13_runs": op13_runs,
 }
