@@ -65,6 +65,7 @@ def lookup_join(
     how: str,
     heavy: DataFrame,
     spread_by: Sequence[str],
+    hint: str | None = None,
 ) -> DataFrame:
     """Join ``left`` to the ``right`` row of the same key; ``right`` is unique on ``key``.
 
@@ -74,7 +75,8 @@ def lookup_join(
     bucket 0.  The buckets of all heavy keys add up to
     a few times the number of shuffle partitions, so the repeated rows do not grow with
     the data.  The hash, unlike a random salt, gives the same bucket when a lost task is
-    run again.  The plan is the same whether or not there are heavy keys.
+    run again.  The plan is the same whether or not there are heavy keys.  ``hint`` names
+    a join strategy for ``right``; without one Spark chooses.
     """
     bucket = "_bucket"
     spread = F.broadcast(heavy)  # fewer rows than shuffle partitions
@@ -86,7 +88,9 @@ def lookup_join(
     spread_right = right.join(spread, key, "left").withColumn(
         bucket, F.explode(F.sequence(F.lit(0), last_bucket))
     )
-    joined = spread_left.drop("_buckets").join(spread_right.drop("_buckets"), [key, bucket], how)
+    found = spread_right.drop("_buckets")
+    found = found.hint(hint) if hint else found
+    joined = spread_left.drop("_buckets").join(found, [key, bucket], how)
     return joined.drop(bucket)
 
 
