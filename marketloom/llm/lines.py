@@ -1,7 +1,7 @@
 """Dropping lines that many documents share, by levelled sorted runs of line hashes.
 
 The documents come in batches. Each batch's line hashes, with the number of its documents that
-hold them, are one sorted run. Runs are kept in levels: when a level is full its runs are merged
+hold them, are one run, dealt by hash and sorted. Runs are kept in levels: when a level is full its runs are merged
 into one of the next level, and hashes that have reached the number of documents wanted move to
 the runs of settled hashes. A new batch is merge-anti-joined with those first, so that the lines
 seen most often stop being written, and what is left of it is added as a run of its own.
@@ -62,7 +62,7 @@ class LineRuns:
         self.done: list[list[DataFrame]] = []
 
     def add(self, batch: DataFrame) -> None:
-        """Add a batch: (key string), a row for each document that holds the line."""
+        """Add a batch: (key binary), a row for each document that holds the line."""
         fresh = self.unsettled(batch.groupBy("key").agg(F.count("*").alias("docs")))
         self._place(self.open, 0, self._run(fresh))
         level = 0
@@ -71,16 +71,23 @@ class LineRuns:
             level += 1
 
     def unsettled(self, rows: DataFrame) -> DataFrame:
-        """Rows whose key has not been settled."""
-        settled = _all(self.done)
-        return rows if settled is None else rows.join(settled.hint("merge"), "key", "left_anti")
+        """Rows, one for each key, whose key has not been settled: a merge-anti-join.
+
+        Written as an outer join, since Spark would carry out an anti-join before the rows
+        have been combined by key.
+        """
+        runs = _all(self.done)
+        if runs is None:
+            return rows
+        settled = runs.withColumn("_settled", F.lit(True)).hint("merge")
+        return rows.join(settled, "key", "left").where("_settled is null").drop("_settled")
 
     def settled(self) -> DataFrame:
         """(key): hashes in at least `settled_at` documents of all batches, a written table."""
         runs = _all(self.open)
         known = _all(self.done)
         if runs is None:
-            return self.scratch.spark.createDataFrame([], "key string")
+            return self.scratch.spark.createDataFrame([], "key binary")
         late = self.unsettled(_merged([runs])).where(F.col("docs") >= self.settled_at)
         late = late.select("key")
         return self._run(late if known is None else late.unionByName(known))
@@ -98,8 +105,8 @@ class LineRuns:
                 self._place(self.done, place + 1, self._run(reduce(DataFrame.unionByName, runs)))
 
     def _run(self, rows: DataFrame) -> DataFrame:
-        """Write rows in the order of their hashes."""
-        return self.scratch.table(rows.orderBy("key"))
+        """Write rows, dealt by hash already, with each file in the order of the hashes."""
+        return self.scratch.table(rows.sortWithinPartitions("key"))
 
     @staticmethod
     def _place(levels: list[list[DataFrame]], level: int, run: DataFrame) -> None:
@@ -154,27 +161,28 @@ def drop_common_lines(
         ).cast("binary")
     )
     hashes = F.transform(
-        line_keys(F.col("text")), lambda key: F.when(F.length(key) >= least_chars, F.md5(key))
+        line_keys(F.col("text")),
+        lambda key: F.when(F.length(key) >= least_chars, F.unhex(F.md5(key))),
     )
     hashed = rows.select(name.alias("row"), hashes.alias("keys"))
     path = scratch.path()
     batch = F.pmod(F.xxhash64("row"), F.lit(batches)).cast("int")
     hashed.withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    hashed = spark.read.schema("row string, keys array<string>, batch int").parquet(path)
+    hashed = spark.read.schema("row string, keys array<binary>, batch int").parquet(path)
 
     runs = LineRuns(spark, least_docs, fanout)
     for n in range(batches):
-        held = hashed.where(F.col("batch") == n).select(F.array_distinct("keys").alias("keys"))
-        runs.add(held.select(F.explode("keys").alias("key")).where("key is not null"))
+        # As text, since Spark finds equal strings of an array by hash, but not equal bytes.
+        each = F.array_distinct(F.transform("keys", F.hex))
+        held = hashed.where(F.col("batch") == n).select(F.explode(each).alias("key"))
+        runs.add(held.where("key is not null").select(F.unhex("key").alias("key")))
     dropped = _dropped(scratch, hashed, runs.settled())
 
     named = rows.withColumn("row", name)
-    if dropped.count() <= BROADCAST_ROWS:
-        joined = named.join(F.broadcast(dropped), "row", "left")
-    else:
-        # Rows of one name are equal, so only where they lie can spread them.
-        named = named.withColumn("part", F.spark_partition_id())
-        joined = lookup_join(named, dropped, "row", "left", heavy_keys(hashed, "row"), ["part"])
+    # Rows of one name are equal, so only where they lie can spread them.
+    named = named.withColumn("part", F.spark_partition_id())
+    heavy = heavy_keys(hashed, "row")
+    joined = lookup_join(named, dropped, "row", "left", heavy, ["part"], hint="merge")
     lines = split_lines(F.col("text"))
     kept = F.when(F.col("gone").isNull(), lines).otherwise(_without(lines, F.col("gone")))
     result = joined.select(
@@ -195,6 +203,8 @@ def _dropped(scratch: Scratch, hashed: DataFrame, settled: DataFrame) -> DataFra
     if settled.count() <= BROADCAST_ROWS:
         found = lines.join(F.broadcast(settled), "key")
     else:
+        # As text, whose heavy values Spark can count.
+        lines, settled = (rows.withColumn("key", F.hex("key")) for rows in (lines, settled))
         found = lookup_join(
             lines, settled, "key", "inner", heavy_keys(lines, "key"), ["row", "at"]
         )

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from corpora import AWKWARD, documents, with_clashes
+from pyspark.sql import functions as F
 
 from marketloom.llm import lines
 
@@ -93,9 +94,12 @@ def test_runs_are_sorted_and_levelled(spark):
     runs = lines.LineRuns(spark, settled_at=3, fanout=2)
     for n in range(7):
         keys = ["every", f"own{n}", f"pair{n // 2}", "twice" if n in (1, 4) else "odd"]
-        runs.add(spark.createDataFrame([(k,) for k in keys], "key string"))
+        runs.add(spark.createDataFrame([(k.encode(),) for k in keys], "key binary"))
     assert [len(level) for level in runs.open] == [1, 1, 1]
     for run in [run for level in runs.open for run in level]:
-        keys = [row["key"] for row in run.collect()]
-        assert keys == sorted(keys) and len(keys) == len(set(keys)) and "every" not in keys
-    assert {row["key"] for row in runs.settled().collect()} == {"every", "odd"}
+        files = run.groupBy(F.input_file_name()).agg(F.collect_list("key").alias("keys"))
+        keys = [row["keys"] for row in files.collect()]
+        assert all(each == sorted(each) for each in keys)
+        keys = sum(keys, [])
+        assert len(keys) == len(set(map(bytes, keys))) and b"every" not in keys
+    assert {bytes(row["key"]) for row in runs.settled().collect()} == {b"every", b"odd"}
