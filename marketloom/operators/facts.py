@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.dates import date_key
-from marketloom.functions.money import sum_amount
+from marketloom.functions.money import grouped, rounded
 from marketloom.operators.clean import item_total
 from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import GOLD
@@ -16,12 +16,18 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     """One row per order; the primary type is the type of the first payment."""
     sequence = F.col("payment_sequential")
     first = F.struct(sequence.isNull(), sequence, "payment_type")
-    return payments.groupBy("order_id").agg(
-        sum_amount(F.col("payment_value")).alias("total_payment_value"),
-        F.count_distinct("payment_type").alias("payment_methods_count"),
-        F.min_by("payment_type", first).alias("primary_payment_type"),
-        F.max("payment_installments").alias("max_installments"),
+    orders = grouped(
+        payments,
+        ["order_id"],
+        {"total": "payment_value"},
+        {
+            "payment_methods_count": F.count_distinct("payment_type"),
+            "primary_payment_type": F.min_by("payment_type", first),
+            "max_installments": F.max("payment_installments"),
+        },
     )
+    total = rounded("total").alias("total_payment_value")
+    return orders.select("order_id", total, *orders.columns[2:])
 
 
 def build_fact_orders(

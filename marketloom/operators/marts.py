@@ -13,16 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.buckets import LOWEST, VALUE_TIERS, at_least
-from marketloom.functions.money import (
-    avg_amount,
-    avg_whole,
-    from_units,
-    ratio,
-    rounded,
-    sum_amount,
-    sum_units,
-    units,
-)
+from marketloom.functions.money import average, avg_whole, grouped, ratio, rounded, valid
 from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import BY_MONTH, GOLD
 
@@ -54,18 +45,24 @@ def revenue_by_category(
         ["order_id", "order_item_id"],
     )
     price = F.col("price")
-    return (
-        rows.groupBy(*BY_MONTH, "category_english")
-        .agg(
-            sum_amount(F.col("gross_revenue")).alias("total_revenue"),
-            sum_amount(F.col("freight_value")).alias("total_freight"),
-            sum_amount(price, digits=None).alias("total_product_revenue"),
-            F.count_distinct("order_id").alias("order_count"),
-            F.count("order_item_id").alias("item_sold"),
-            avg_amount(price).alias("avg_item_price"),
-        )
-        .select(*GOLD["revenue_by_category"].fieldNames())
+    months = grouped(
+        rows,
+        [*BY_MONTH, "category_english"],
+        {"gross": "gross_revenue", "freight": "freight_value", "product": "price"},
+        {
+            "order_count": F.count_distinct("order_id"),
+            "item_sold": F.count("order_item_id"),
+            "priced": F.count(valid(price)),
+        },
     )
+    return months.withColumns(
+        {
+            "total_revenue": rounded("gross"),
+            "total_freight": rounded("freight"),
+            "total_product_revenue": rounded("product", digits=None),
+            "avg_item_price": average("product", "priced"),
+        }
+    ).select(*GOLD["revenue_by_category"].fieldNames())
 
 
 def by_month_and_revenue(revenue: DataFrame) -> DataFrame:
@@ -87,23 +84,25 @@ def customer_lifetime_value(
     average order and the number of items instead.
     """
     gross, item = F.col("gross_revenue"), F.col("order_item_id")
-    average = {
-        "item": avg_amount(gross),
-        "order": ratio(from_units(sum_units(units(gross))), F.count_distinct("order_id"), 2),
-    }[average_per]
     purchased = {"sequence_sum": F.sum(item), "row_count": F.count(item)}[items_as]
-    value = (
-        live_rows(fact, excluded)
-        .groupBy("customer_unique_id")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            sum_amount(gross).alias("lifetime_value"),
-            average.alias("avg_order_value"),
-            sum_amount(F.col("freight_value")).alias("total_freight_paid"),
-            F.min("order_date_key").cast("string").alias("first_order_date"),
-            F.max("order_date_key").cast("string").alias("last_order_date"),
-            purchased.alias("total_items_purchased"),
-        )
+    per = {"item": "items", "order": "total_orders"}[average_per]
+    value = grouped(
+        live_rows(fact, excluded),
+        ["customer_unique_id"],
+        {"gross": "gross_revenue", "freight": "freight_value"},
+        {
+            "total_orders": F.count_distinct("order_id"),
+            "items": F.count(valid(gross)),
+            "first_order_date": F.min("order_date_key").cast("string"),
+            "last_order_date": F.max("order_date_key").cast("string"),
+            "total_items_purchased": purchased,
+        },
+    ).withColumns(
+        {
+            "lifetime_value": rounded("gross"),
+            "avg_order_value": average("gross", per),
+            "total_freight_paid": rounded("freight"),
+        }
     )
     person = persons.select("customer_unique_id", "customer_id", "customer_city", "customer_state")
     return (
@@ -127,39 +126,53 @@ def seller_performance(
     The join follows the aggregate, so a seller has one row per month in it.
     """
     price, item = F.col("price"), F.col("order_item_id")
-    months = (
-        live_rows(fact, excluded)
-        .groupBy("seller_id", *BY_MONTH)
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count(item).alias("total_item_sold"),
-            sum_amount(price).alias("total_revenue"),
-            avg_amount(price).alias("avg_item_price"),
-            avg_whole(F.col("delivery_delay_days"), 1).alias("avg_delivery_delay_days"),
-            F.count_if("was_delivered_on_time").alias("on_time_deliveries"),
-            F.count(item).alias("total_deliveries"),
-        )
+    months = grouped(
+        live_rows(fact, excluded),
+        ["seller_id", *BY_MONTH],
+        {"total": "price"},
+        {
+            "total_orders": F.count_distinct("order_id"),
+            "total_item_sold": F.count(item),
+            "priced": F.count(valid(price)),
+            "avg_delivery_delay_days": avg_whole("delivery_delay_days", 1),
+            "on_time_deliveries": F.count_if("was_delivered_on_time"),
+            "total_deliveries": F.count(item),
+        },
+    ).withColumns(
+        {
+            "total_revenue": rounded("total"),
+            "avg_item_price": average("total", "priced"),
+        }
+    )
+    rate = ratio("on_time_deliveries * 100", "total_deliveries", 2)
+    rated = months.select(
+        "seller_id",
+        *BY_MONTH,
+        "total_orders",
+        "total_item_sold",
+        "total_revenue",
+        "avg_item_price",
+        "avg_delivery_delay_days",
+        "on_time_deliveries",
+        "total_deliveries",
+        rate.alias("on_time_delivery_rate"),
     )
-    rate = ratio(F.col("on_time_deliveries") * 100, F.col("total_deliveries"), 2)
-    rated = months.withColumn("on_time_delivery_rate", rate)
     return rated.join(sellers, "seller_id", "left")
 
 
 def price_totals(rows: DataFrame) -> DataFrame:
     """Total price per category."""
-    return rows.groupBy("category").agg(sum_amount(F.col("price")).alias("total_revenue"))
+    totals = grouped(rows, ["category"], {"total": "price"})
+    return totals.select("category", rounded("total").alias("total_revenue"))
 
 
 def category_price_totals(items: DataFrame, products: DataFrame) -> DataFrame:
     """Total item price per English category, summed per product before the join.
 
-    The sums stay whole units until the end.
+    The sums stay exact until the end.
     """
-    per_product = items.groupBy("product_id").agg(sum_units(units(F.col("price"))).alias("units"))
+    per_product = grouped(items, ["product_id"], {"total": "price"})
     names = products.select("product_id", F.col("category_english").alias("category"))
-    total = F.try_sum("units").cast("decimal(38,0)")
-    return (
-        per_product.join(names, "product_id", "left")
-        .groupBy("category")
-        .agg(rounded(total).alias("total_revenue"))
-    )
+    named = per_product.join(names, "product_id", "left")
+    totals = grouped(named, ["category"], {"sum": "total"}, sums=True)
+    return totals.select("category", rounded("sum").alias("total_revenue"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 from collections.abc import Collection
 
-from marketloom.functions.money import LARGEST
 from marketloom.operators.quality import Check, KnownKeys, NoNulls
 from marketloom.plans.queries import CHECKS, MINIMA, NULLABLE_WHOLE, RUN_TS
 from marketloom.schemas import BY_MONTH, GOLD, RAW
@@ -47,10 +46,18 @@ def _avg(amount: str) -> str:
 _CTES: dict[str, str] = {f"raw_{name}": raw_sql(name) for name in SQL}
 _CTES["raw_extreme_items"] = raw_sql("order_items", EXTREME)
 _CTES["x_priced"] = f"""
-    SELECT seller_id, CASE WHEN abs(TRY_CAST(price AS DOUBLE)) <= {LARGEST}
-                           THEN CAST(TRY_CAST(price AS DOUBLE) AS DECIMAL(30,2)) END AS price
+    SELECT seller_id, TRY_CAST(price AS DOUBLE) AS price
     FROM (SELECT * FROM raw_extreme_items WHERE order_id IS NOT NULL AND product_id IS NOT NULL
           {_first_per("order_items", "order_id", "order_item_id")}) AS kept"""
+# Whole units of any size: doubles from 2^53 on have no fraction, those here none from 1e12 on.
+_CTES["x_sums"] = """
+    SELECT seller_id, count(price) FILTER (isfinite(price)) AS priced,
+           count(*) - count(price) FILTER (isfinite(price)) AS unpriced,
+           CAST(sum(CASE WHEN NOT isfinite(price) THEN NULL WHEN abs(price) < 1e12
+                         THEN CAST(CAST(round(price * 10000) AS HUGEINT) AS BIGNUM)
+                         ELSE CAST(CAST(CAST(price AS BIGNUM) AS VARCHAR) || '0000' AS BIGNUM)
+                    END) AS VARCHAR) AS units
+    FROM x_priced GROUP BY seller_id"""
 _CTES |= {
     "s_orders": f"""
         SELECT order_id, customer_id, order_status,
@@ -310,10 +317,14 @@ _FINAL: dict[str, str] = {
         FROM raw_products""",
     "dq_checks": " UNION ALL ".join(map(_check, CHECKS)),
     "money_extremes": f"""
-        SELECT seller_id, CAST(sum(price) AS DOUBLE) AS total_revenue,
-               {_ratio("sum(price)", "count(price)", 2)} AS avg_item_price,
-               count(price) AS priced, count(*) - count(price) AS unpriced
-        FROM x_priced GROUP BY seller_id""",
+        SELECT seller_id, CAST(units || 'e-4' AS DOUBLE) AS total_revenue,
+               CASE WHEN abs(CAST(units || 'e-4' AS DOUBLE)) < 9e14 * priced
+                    THEN CAST(sign(TRY_CAST(units AS HUGEINT))
+                              * ((2 * abs(TRY_CAST(units AS HUGEINT)) + 100 * priced)
+                                 // nullif(200 * priced, 0)) / 100.0 AS DOUBLE)
+                    ELSE CAST(units || 'e-4' AS DOUBLE) / nullif(priced, 0)
+               END AS avg_item_price, priced, unpriced
+        FROM x_sums""",
     "staging_min_rows": " UNION ALL ".join(
         _minimum(table, MINIMA.get(table, 1)) for table in _TABLES
     ),

@@ -112,11 +112,18 @@ def money_extremes(shop: Shop) -> DataFrame:
     """Sales per seller where some prices are infinite, no number, too large or very large."""
     items = Shop(shop.spark, shop.sf_dir, EXTREME).items
     price = F.col("price")
-    return items.groupBy("seller_id").agg(
-        money.sum_amount(price).alias("total_revenue"),
-        money.avg_amount(price).alias("avg_item_price"),
-        F.count(price).alias("priced"),
-        F.count_if(price.isNull()).alias("unpriced"),
+    sums = money.grouped(
+        items,
+        ["seller_id"],
+        {"total": "price"},
+        {"priced": F.count(price), "unpriced": F.count_if(price.isNull())},
+    )
+    return sums.select(
+        "seller_id",
+        money.rounded("total").alias("total_revenue"),
+        money.average("total", "priced").alias("avg_item_price"),
+        "priced",
+        "unpriced",
     )
 
 

@@ -122,7 +122,7 @@ EXTREME: dict[str, str] = {
         SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
                CASE WHEN CAST(order_id AS BIGINT) % 50 > 0 THEN price
                     WHEN order_item_id = '1' THEN 'inf' WHEN order_item_id = '2' THEN '1e20'
-                    WHEN order_item_id = '3' THEN 'NaN' WHEN order_item_id = '4' THEN '-1e308'
+                    WHEN order_item_id = '3' THEN 'NaN' WHEN order_item_id = '4' THEN '-1e300'
                     ELSE '900000000000000' END AS price,
                freight_value
         FROM {plain}""",

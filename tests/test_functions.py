@@ -1,4 +1,6 @@
 import math
+import random
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -15,7 +17,14 @@ from marketloom.functions.buckets import (
     at_most,
 )
 from marketloom.functions.dates import date_key
-from marketloom.functions.money import LARGEST, avg_amount, avg_whole, sum_amount, sum_units
+from marketloom.functions.money import (
+    DIRECT,
+    average,
+    avg_whole,
+    grouped,
+    rounded,
+    valid,
+)
 from marketloom.functions.parsing import parse
 from marketloom.functions.text import code_text, title_text
 
@@ -76,38 +85,96 @@ def test_date_key(spark):
     assert values(spark, date_key(F.to_date("x")), ["2016-01-09"], "x string") == [20160109]
 
 
+def total(spark, amounts, digits=2):
+    df = spark.createDataFrame([(x,) for x in amounts], "x double")
+    return grouped(df, [], {"t": "x"}).select(rounded("t", digits)).first()[0]
+
+
+def mean(spark, amounts):
+    df = spark.createDataFrame([(x,) for x in amounts], "x double")
+    sums = grouped(df, [], {"t": "x"}, {"n": F.count(valid(F.col("x")))})
+    return sums.select(average("t", "n")).first()[0]
+
+
 def test_sum_is_exact_and_ignores_missing(spark):
-    assert one(spark, sum_amount(F.col("x")), [0.1] * 10) == 1.0
-    assert one(spark, sum_amount(F.col("x")), [1.005, None, math.nan]) == 1.01
-    assert one(spark, sum_amount(F.col("x"), digits=None), [1.0025, 1.0001]) == 2.0026
-    assert one(spark, sum_amount(F.col("x")), [None]) is None
+    assert total(spark, [0.1] * 10) == 1.0
+    assert total(spark, [1.005, None, math.nan]) == 1.01
+    assert total(spark, digits=None, amounts=[1.0025, 1.0001]) == 2.0026
+    assert total(spark, [None]) is None
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_extreme_amounts_count_as_missing(spark, ansi):
-    """Nothing raises and nothing wraps around, whatever the ANSI setting."""
+def test_extreme_amounts(spark, ansi):
+    """Every finite amount counts; nothing raises or wraps around, whatever the ANSI setting."""
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        big = LARGEST
-        assert one(spark, sum_amount(F.col("x")), [big, big, 0.25]) == 2 * big + 0.25
-        assert one(spark, sum_amount(F.col("x")), [math.inf, 1e20, -1e308, 1.5]) == 1.5
-        assert one(spark, avg_amount(F.col("x")), [math.inf, 2.0, 4.0]) == 3.0
-        assert one(spark, avg_amount(F.col("x")), [-big, -big]) == -big
-        assert one(spark, sum_amount(F.col("x")), [math.inf]) is None
-        exact = one(spark, sum_units(F.col("x")), [9 * 10**18 - 1, -1, 10**9, -(10**9) - 1], "long")
-        assert exact == 9 * 10**18 - 3
-        assert one(spark, sum_amount(F.col("x")), [-0.1] * 7 + [-big]) == -big - 0.7
+        big = DIRECT
+        assert total(spark, [big, big, 0.25]) == 2 * big + 0.25
+        assert total(spark, [1e15, 2.0]) == 1000000000000002.0
+        assert total(spark, [1e20]) == 1e20
+        assert total(spark, [1e300, 12.25, -1e300, math.nan]) == 12.25
+        assert total(spark, [1e308, 1e308, -1e308]) == 1e308
+        assert total(spark, [1e308, 1e308]) == math.inf
+        assert mean(spark, [math.inf, 2.0, 4.0]) == 3.0
+        assert mean(spark, [-big, -big]) == -big
+        assert mean(spark, [1e20, 2e20]) == 1.5e20
+        assert total(spark, [math.inf]) is None
+        assert total(spark, [-0.1] * 7 + [-big]) == -big - 0.7
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_sums_of_any_size_are_exact(spark):
+    """Against fractions: totals and averages are the nearest doubles, whatever cancels out."""
+    rng = random.Random(3)
+    special = [1e15, -1e15, 2.0, 1e20, -1e20, DIRECT, -DIRECT, math.inf, math.nan, 2.0**70, -(2.0**70)]
+    kinds = (
+        lambda: round(rng.uniform(-1e6, 1e6), 2),
+        lambda: rng.uniform(-1, 1) * 10 ** rng.uniform(14, 18),
+        lambda: rng.uniform(-1, 1) * 10 ** rng.uniform(0, 300),
+        lambda: rng.choice(special),
+        lambda: rng.choice([-1, 1]) * 2.0 ** rng.randrange(50, 1000),
+    )
+    groups = {
+        g: [rng.choice(kinds)() for _ in range(rng.randrange(1, 9))]
+        if g % 2
+        else [kinds[g // 2 % 5]() for _ in range(rng.randrange(1, 9))]
+        for g in range(400)
+    }
+    rows = [(g, g % 7, x) for g, amounts in groups.items() for x in amounts]
+    own = [(g, g % 7) for g in groups]
+    df = spark.createDataFrame(rows, "g int, h int, x double")
+    parts = grouped(df, ["g", "h"], {"t": "x"}, {"n": F.count(valid(F.col("x")))}).withColumn(
+        "a", average("t", "n")
+    )
+    exact = {}
+    for g, amounts in groups.items():
+        finite = [x for x in amounts if math.isfinite(x)]
+        units = [Fraction(round(x * 10000)) if abs(x) <= DIRECT else 10000 * Fraction(x) for x in finite]
+        exact[g] = sum(units, Fraction(0)) / 10000, len(finite)
+    for row in parts.select("g", rounded("t", None).alias("s"), "a").collect():
+        total, count = exact[row["g"]]
+        if not count:
+            assert row["s"] is None and row["a"] is None
+            continue
+        assert row["s"] == float(total)
+        if abs(total) >= Fraction(DIRECT) * count:
+            assert row["a"] == float(total) / count
+        else:
+            cents = math.floor(abs(total) / count * 100 + Fraction(1, 2))
+            assert row["a"] == float(Fraction(cents if total >= 0 else -cents, 100))
+    again = grouped(parts, ["h"], {"u": "t"}, sums=True)
+    for row in again.select("h", rounded("u", None).alias("s")).collect():
+        assert row["s"] == float(sum(exact[g][0] for g, h in own if h == row["h"]))
+
+
 def test_averages_round_half_up(spark):
-    assert one(spark, avg_amount(F.col("x")), [0.01, 0.02]) == 0.02
-    assert one(spark, avg_amount(F.col("x")), [1.0, None]) == 1.0
-    assert one(spark, avg_amount(F.col("x")), [None]) is None
-    assert one(spark, avg_whole(F.col("x"), 1), [0] * 19 + [1], "int") == 0.1
-    assert one(spark, avg_whole(F.col("x"), 1), [0] * 19 + [-1], "int") == -0.1
+    assert mean(spark, [0.01, 0.02]) == 0.02
+    assert mean(spark, [1.0, None]) == 1.0
+    assert mean(spark, [None]) is None
+    assert one(spark, avg_whole("x", 1), [0] * 19 + [1], "int") == 0.1
+    assert one(spark, avg_whole("x", 1), [0] * 19 + [-1], "int") == -0.1
 
 
 @settings(
@@ -119,5 +186,5 @@ def test_averages_round_half_up(spark):
 def test_sum_does_not_depend_on_order(spark, cents):
     amounts = [c / 100 for c in cents]
     expected = sum(cents) / 100
-    assert one(spark, sum_amount(F.col("x")), amounts) == expected
-    assert one(spark, sum_amount(F.col("x")), amounts[::-1]) == expected
+    assert total(spark, amounts) == expected
+    assert total(spark, amounts[::-1]) == expected
