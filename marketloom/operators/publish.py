@@ -1,18 +1,16 @@
 """Publishing: stage a version, validate what was staged, then point readers to it.
 
-Each run writes its own ``<root>/<table>/v=<run_id>`` folder.  A manifest beside the
-tables, one small row per publication, says which version of each table is the
-published one.  The row is appended in one commit for all tables, so readers see the
-old or the new set of versions and never a part of either.  It needs no catalog and
-outlasts every session.  A version that fails validation is never in it.  Catalog views
-of the published versions can be made for convenience.
+Each run writes its own ``<root>/<table>/v=<run_id>`` folder.  One publication in the
+manifest beside the tables (``sources/manifest.py``) then makes all of them the published
+ones: readers see the old or the new set of versions and never a part of either.  It needs
+no catalog and outlasts every session.  A version that fails validation is never in it.
+Catalog views of the published versions can be made for convenience.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,13 +18,11 @@ from pyspark.sql.types import StructType
 from marketloom.operators.conform import conform, nan_to_null
 from marketloom.operators.quality import STAGING_MINIMA, enforce, staging_checks
 from marketloom.schemas import GOLD, PARTITIONS, stored
+from marketloom.sources.manifest import announce, version_path, versions
 from marketloom.sources.tables import read_table, write_table
 
 DATABASE = "warehouse"
 
-# The manifest: a rising number, and the version of each published table.
-_MANIFEST = "number long, versions map<string,string>"
-
 # Sorted files let readers skip row groups.  A partitioned write sorts its rows by the
 # partition columns anyway, so one more column there costs little.
 # Column and direction (True: descending).
@@ -36,10 +32,6 @@ SORT_WITHIN = {
 }
 
 
-def version_path(root: str, table: str, run_id: str) -> str:
-    return f"{root.rstrip('/')}/{table}/v={run_id}"
-
-
 def stage(df: DataFrame, root: str, table: str, run_id: str) -> int:
     """Conform the table, write it as a new version, and return its row count."""
     fitted = nan_to_null(conform(df, GOLD[table]))
@@ -67,20 +59,6 @@ def validate(
     return enforce(staging_checks(frames, minima))
 
 
-def versions(spark: SparkSession, root: str) -> dict[str, str]:
-    """The published version of each table, from the latest row of the manifest."""
-    return _latest(spark, root)[1]
-
-
-def announce(spark: SparkSession, root: str, tables: Iterable[str], run_id: str) -> None:
-    """Make the staged versions the published ones, all at once; other tables keep theirs."""
-    last, current = _latest(spark, root)
-    row = (last + 1, current | {table: run_id for table in tables})
-    spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("append").parquet(
-        _manifest_path(root)
-    )
-
-
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The published version of a table, found through the manifest."""
     found = versions(spark, root)
@@ -119,22 +97,6 @@ def publish(
     return lines
 
 
-def _latest(spark: SparkSession, root: str) -> tuple[int, dict[str, str]]:
-    """Number and versions of the last publication; 0 and nothing before the first."""
-    try:
-        rows = spark.read.schema(_MANIFEST).parquet(_manifest_path(root))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, {}
-        raise
-    last = rows.orderBy(F.desc("number")).first()
-    return (last["number"], dict(last["versions"])) if last else (0, {})
-
-
-def _manifest_path(root: str) -> str:
-    return f"{root.rstrip('/')}/_published"
-
-
 def _typed_columns(schema: StructType) -> list[str]:
     """Casts keep the view's types when a partition column is inferred from the folders."""
     return [

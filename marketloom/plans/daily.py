@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.operators import clean, dims, facts, marts, publish, quality
 from marketloom.schemas import GOLD, PARTITIONS, RAW, SILVER
+from marketloom.sources import manifest
 from marketloom.sources.tables import one_delivery, read_raw_csv, read_table, write_table
 
 # The names under which raw files are delivered.
@@ -57,7 +58,7 @@ def run(
     """
     # A run repeated after a failure must not meet the version it left behind.
     run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    silver_rows = to_silver(spark, raw_root, lake_root, run_ts, raw_files)
+    silver_rows = to_silver(spark, raw_root, lake_root, run_id, run_ts, raw_files)
     gold_rows = to_gold(spark, lake_root, run_id, run_ts, first_day, last_day)
     lines = load(spark, lake_root, run_id, minima, database)
     return Report(silver_rows, gold_rows, lines + check(spark, lake_root, checks))
@@ -67,15 +68,20 @@ def to_silver(
     spark: SparkSession,
     raw_root: str,
     lake_root: str,
+    run_id: str,
     run_ts: datetime,
     raw_files: Mapping[str, str] = RAW_FILES,
 ) -> dict[str, int]:
-    """Clean the raw CSV files into the silver tables."""
+    """Clean the raw CSV files into a version of the silver tables, and publish it.
+
+    All tables are written before readers are pointed to any of them; a write that fails
+    leaves them with the versions they had.
+    """
     paths = {name: f"{raw_root.rstrip('/')}/{file}" for name, file in raw_files.items()}
     for path in paths.values():
         one_delivery(spark, path)
     raw = {name: read_raw_csv(spark, path, RAW[name]) for name, path in paths.items()}
-    return write_silver(raw, _silver_root(lake_root), run_ts)
+    return write_silver(spark, raw, silver_root(lake_root), run_id, run_ts)
 
 
 def to_gold(
@@ -87,7 +93,7 @@ def to_gold(
     last_day: date = dims.LAST_DAY,
 ) -> dict[str, int]:
     """Stage a version of every gold table from the silver tables."""
-    silver = read_silver(spark, _silver_root(lake_root))
+    silver = read_silver(spark, silver_root(lake_root))
     return stage_gold(spark, silver, gold_root(lake_root), run_id, run_ts, first_day, last_day)
 
 
@@ -129,15 +135,34 @@ def clean_all(raw: Mapping[str, DataFrame], run_ts: datetime) -> dict[str, DataF
     }
 
 
-def write_silver(raw: Mapping[str, DataFrame], root: str, run_ts: datetime) -> dict[str, int]:
+def write_silver(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    run_id: str,
+    run_ts: datetime,
+) -> dict[str, int]:
+    """Write a version of every silver table, then make all of them the published ones."""
+
     def write(name: str, df: DataFrame) -> int:
-        return write_table(df, f"{root}/{name}", PARTITIONS.get(name, ()))
+        path = manifest.version_path(root, name, run_id)
+        return write_table(df, path, PARTITIONS.get(name, ()), mode="errorifexists")
 
-    return _write_together(clean_all(raw, run_ts), write)
+    rows = _write_together(clean_all(raw, run_ts), write)
+    manifest.announce(spark, root, rows, run_id)
+    return rows
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, f"{root}/{name}", schema) for name, schema in SILVER.items()}
+    """The published version of every silver table."""
+    current = manifest.versions(spark, root)
+    missing = [name for name in SILVER if name not in current]
+    if missing:
+        raise LookupError(f"{missing} have not been published under {root}")
+    return {
+        name: read_table(spark, manifest.version_path(root, name, current[name]), schema)
+        for name, schema in SILVER.items()
+    }
 
 
 def stage_gold(
@@ -184,7 +209,7 @@ def _write_together(
         return {name: job.result() for name, job in running.items()}
 
 
-def _silver_root(lake_root: str) -> str:
+def silver_root(lake_root: str) -> str:
     return f"{lake_root.rstrip('/')}/silver"
 
 

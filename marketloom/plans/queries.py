@@ -90,7 +90,8 @@ class Shop:
     def staged_gold(self) -> dict[str, DataFrame]:
         """All gold tables, written once and read back, as the daily run does."""
         root = shared_path(self.spark, "gold")
-        daily.write_silver({name: self.raw(name) for name in RAW}, f"{root}/silver", RUN_TS)
+        raw = {name: self.raw(name) for name in RAW}
+        daily.write_silver(self.spark, raw, f"{root}/silver", "run", RUN_TS)
         silver = daily.read_silver(self.spark, f"{root}/silver")
         daily.stage_gold(self.spark, silver, f"{root}/gold", "run", RUN_TS)
         return {t: publish.staged(self.spark, f"{root}/gold", t, "run") for t in GOLD}

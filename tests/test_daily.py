@@ -5,6 +5,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators import publish
 from marketloom.operators.quality import (
@@ -16,6 +17,7 @@ from marketloom.operators.quality import (
 )
 from marketloom.plans import daily
 from marketloom.schemas import GOLD, SILVER, stored
+from marketloom.sources import manifest
 from marketloom.sources.standins import SQL, Standins
 from marketloom.sources.tables import write_raw_csv
 
@@ -127,5 +129,27 @@ def test_two_deliveries_of_one_table_are_refused(spark, delivered, tmp_path):
     )
     with pytest.raises(ValueError, match="more than one delivery"):
         daily.to_silver(
-            spark, str(tmp_path), str(tmp_path), RUN_TS, {"sellers": daily.RAW_FILES["sellers"]}
+            spark, str(tmp_path), str(tmp_path), "r1", RUN_TS, {"sellers": daily.RAW_FILES["sellers"]}
         )
+
+
+def test_a_write_that_fails_half_way_leaves_silver_readable(spark, tmp_path):
+    """The sellers' write fails in its last task; every table keeps its version."""
+    standins = Standins(spark, "/root/testdata/sf0.001")
+    raw = {name: standins.raw(name) for name in SQL}
+    root = daily.silver_root(str(tmp_path))
+    rows = daily.write_silver(spark, raw, root, "r1", RUN_TS)
+    broken = F.expr("if(seller_id > '5', raise_error('lost'), seller_city)")
+    with pytest.raises(Exception, match="lost"):
+        daily.write_silver(
+            spark, raw | {"sellers": raw["sellers"].withColumn("seller_city", broken)},
+            root, "r2", RUN_TS,
+        )
+    assert {name: df.count() for name, df in daily.read_silver(spark, root).items()} == rows
+    assert daily.write_silver(spark, raw, root, "r3", RUN_TS) == rows
+    assert set(manifest.versions(spark, root).values()) == {"r3"}
+
+
+def test_silver_must_have_been_published(spark, tmp_path):
+    with pytest.raises(LookupError, match="orders"):
+        daily.read_silver(spark, f"{tmp_path}/silver")

@@ -1,4 +1,7 @@
 import math
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from unittest import mock
 
 import pytest
 from frames import columns
@@ -9,6 +12,7 @@ from marketloom.operators import publish, quality
 from marketloom.operators.conform import conform, integral_columns, nan_to_null, narrow_integral
 from marketloom.operators.quality import MinRows, NoNulls
 from marketloom.schemas import GOLD, stored
+from marketloom.sources import manifest
 
 LAYOUT = StructType(
     [
@@ -132,6 +136,7 @@ def test_a_failed_validation_leaves_the_published_version_alone(spark, tmp_path)
 
 def test_a_publication_keeps_the_other_tables(spark, tmp_path):
     root = str(tmp_path)
+    assert publish.versions(spark, root) == {}
     publish.announce(spark, root, ["dim_sellers", "dim_date"], "r1")
     publish.announce(spark, root, ["dim_date"], "r2")
     assert publish.versions(spark, root) == {"dim_sellers": "r1", "dim_date": "r2"}
@@ -156,3 +161,26 @@ def test_views_keep_declared_types_and_order(spark, tmp_path):
     assert view.columns == names
     assert dict(view.dtypes)["purchase_year"] == "int"
     assert view.first()["category_english"] == "toys"
+
+
+def test_publishers_at_once_all_show_up(spark, tmp_path):
+    """Each has read the manifest before any of them writes."""
+    root = str(tmp_path)
+    publish.announce(spark, root, ["shared"], "r0")
+    names = [f"table{n}" for n in range(6)]
+    barrier = threading.Barrier(len(names))
+    latest = manifest._latest
+
+    def waits(*args):
+        found = latest(*args)
+        barrier.wait(60)
+        return found
+
+    with mock.patch.object(manifest, "_latest", waits), ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(lambda name: publish.announce(spark, root, [name, "both"], name), names))
+    found = publish.versions(spark, root)
+    assert {name: found[name] for name in names} == {name: name for name in names}
+    assert found["shared"] == "r0" and found["both"] in names
+    assert publish.versions(spark, root) == found
+    publish.announce(spark, root, ["both"], "later")
+    assert publish.versions(spark, root)["both"] == "later"
