@@ -49,10 +49,7 @@ CLASSES = (
         r"[A-Za-z0-9+/_=-]{20,}",
         3.8,
     ),
-)
-#: Keys of one case, whose alphabets are too small for the threshold of base64. Not among CLASSES,
-#: which the SQL counterpart of op5 is made from; the pipeline searches both.
-SINGLE_CASE = (
+    # Keys of one case, whose alphabets are too small for the threshold of base64.
     CharClass("entropy_upper_hex", "0123456789ABCDEF", r"[0-9A-F]{20,}", 3.0),
     CharClass(
         "entropy_upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", r"[A-Z0-9]{20,}", 3.4

@@ -20,7 +20,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import Scratch, components, salted_join, table_join
@@ -72,9 +72,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = WORDS,
+    name: Column | None = None,
 ) -> DataFrame:
-    """(doc_id, fingerprint long) of each row; the long has the fingerprint's 64 bits."""
+    """(doc_id, fingerprint long[, name]) of each row; the long has the fingerprint's 64 bits.
+
+    `name` is a string that stands for the row.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,14 +90,16 @@ def fingerprints(
                 dtype=np.uint64,
                 count=batch.num_rows,
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"]
-            )
+            columns = [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "name"][: len(columns)])
 
     narrow = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(text_column).alias("text"),
+        *([] if name is None else [name.alias("name")]),
     )
-    return narrow.mapInArrow(of, "doc_id long, fingerprint long")
+    kind = "doc_id long, fingerprint long" + ("" if name is None else ", name string")
+    return narrow.mapInArrow(of, kind)
 
 
 @cache
@@ -260,17 +269,22 @@ def near_duplicates(
     text_column: str = "text",
     words: int = WORDS,
     max_distance: int = MAX_DISTANCE,
+    name: Column | None = None,
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for each row.
+    """(doc_id, fingerprint, component_id[, name, root]) for each row.
 
     fingerprint is 16 lowercase hex digits. component_id is the smallest doc_id that links of at
     most `max_distance` bits reach. Texts without a word (null, empty) have fingerprint 0 and
     link like any other. A row without id belongs to its component but never names it; a
-    component of only such rows has a null component_id. Repeated rows stay repeated. Other
-    columns are not read. An empty table gives an empty result.
+    component of only such rows has a null component_id. Repeated rows stay repeated. A bit set
+    in just half of the hashes is 0. Very long texts are read whole, some 100,000 shingles at a
+    time. Other columns are not read. An empty table gives an empty result.
+
+    With `name`, a string column that stands for a row, that and `root` come too: a long for each
+    component, which tells apart those that one doc_id with unlike texts names twice.
     """
     scratch = Scratch(docs.sparkSession)
-    prints = scratch.table(fingerprints(docs, id_column, text_column, words))
+    prints = scratch.table(fingerprints(docs, id_column, text_column, words, name))
     classes = scratch.table(
         prints.groupBy("fingerprint").agg(
             F.min("doc_id").alias("least"), F.count("*").alias("size")
@@ -286,11 +300,13 @@ def near_duplicates(
     # Only fingerprints that share their component with another row need a lookup.
     shared = salted_join(
         linked, named.where("total > 1").drop("total"), ["root"], ["fingerprint"]
-    ).select("fingerprint", "component_id", F.lit(True).alias("shared"))
+    ).select("fingerprint", "component_id", "root", F.lit(True).alias("shared"))
+    root = F.coalesce("root", "fingerprint").alias("root")
     return salted_join(prints, shared, ["fingerprint"], ["doc_id"], "left").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id")).alias(
             "component_id"
         ),
+        *([] if name is None else ["name", root]),
     )

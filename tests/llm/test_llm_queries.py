@@ -121,6 +121,35 @@ def test_awkward_documents_pass_every_stage(spark, tmp_path):
     assert None in found and len(found) == len(set(found)) and 5 not in found
 
 
+def test_unlike_texts_of_one_id_stay_and_copies_without_id_go(spark):
+    """Each row goes by its own text, whatever else its id names."""
+    one, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("north", "south"))
+    rows = [
+        (1, one), (1, other), (2, one), (3, other), (None, "copy " * 40), (None, "copy " * 40),
+        (None, one), (7, "alone for itself"), (7, "alone for itself"), (None, "single row of text"),
+        (8, None), (9, ""), (9, ""),
+    ]
+    docs = with_clashes(documents(spark, rows))
+    kept = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())) == sorted(
+        [(1, one), (1, other), (0, "copy " * 40), (7, "alone for itself"), (0, "single row of text"), (8, "")]
+    )
+
+
+def test_a_hot_group_is_spread(spark, monkeypatch):
+    """The same with lookups beyond a broadcast."""
+    monkeypatch.setattr("marketloom.llm.common.BROADCAST_ROWS", 0)
+    rows = [(i, "the very same text " * 9) for i in range(200)] + [(i, f"{i} a b c d") for i in range(200, 230)]
+    kept = corpus_pipeline.keep_one_of_each(spark, documents(spark, rows), "")
+    assert ids(kept) == [0, *range(200, 230)]
+
+
+def test_documents_without_a_count_of_characters(spark):
+    docs = documents(spark, [(1, "password=hunter22")]).drop("n_chars")
+    hidden = corpus_pipeline.hide_secrets(spark, docs, "")
+    assert hidden.columns == docs.columns and "hunter22" not in hidden.first()["text"]
+
+
 def test_the_sample_of_a_model_skips_held_out_documents():
     assert [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0]
     assert (quality.FOLDS, quality.HELD_OUT) == (5, 0)

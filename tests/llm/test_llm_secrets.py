@@ -146,10 +146,12 @@ def test_redaction(spark):
         ("abcdefghijklmnopqrstuvwxyz0123456789", (20, 24), 0.95),
     ],
 )
-def test_pipeline_hides_random_keys_of_one_case(spark, letters, lengths, least):
+def test_random_keys_of_one_case_are_found_and_hidden(spark, letters, lengths, least):
     rng = random.Random(6)
     keys = ["".join(rng.choices(letters, k=k)) for k in lengths for _ in range(300)]
     docs = documents(spark, [(i, f"see {key} there") for i, key in enumerate(keys)])
+    found = sum("entropy" in r["spans"] for r in secrets.scan(docs).collect())
+    assert found >= least * len(keys)
     texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.hide_secrets(spark, docs, "").collect()}
     hidden = sum(secrets.MARK in texts[i] for i in range(len(keys)))
     assert hidden >= least * len(keys)
