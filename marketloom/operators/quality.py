@@ -7,8 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from marketloom.functions.money import valid
+from marketloom.functions.parsing import parse
 from marketloom.operators.conform import stack_rows
+from marketloom.sources.tables import MALFORMED
 
 
 class QualityError(ValueError):
@@ -65,7 +69,43 @@ class KnownKeys:
         return f"{self.column}_without_{self.other}"
 
 
-Check = MinRows | NoNulls | KnownKeys
+@dataclass(frozen=True)
+class Readable:
+    """Every raw text in the column that is given is a finite number."""
+
+    table: str
+    column: str
+
+    @property
+    def name(self) -> str:
+        return f"unreadable_{self.column}"
+
+    def observed(self) -> Column:
+        amount = valid(parse(F.col(self.column), DoubleType()))
+        return F.count_if(F.col(self.column).isNotNull() & amount.isNull())
+
+    def verdict(self, observed: Column) -> tuple[int, Column]:
+        return 0, observed == 0
+
+
+@dataclass(frozen=True)
+class WellFormed:
+    """Every line of the raw file has as many fields as its header."""
+
+    table: str
+
+    @property
+    def name(self) -> str:
+        return "malformed_rows"
+
+    def observed(self) -> Column:
+        return F.count_if(F.col(MALFORMED).isNotNull())
+
+    def verdict(self, observed: Column) -> tuple[int, Column]:
+        return 0, observed == 0
+
+
+Check = MinRows | NoNulls | KnownKeys | Readable | WellFormed
 
 # The row minima that block publishing, and the checks made after it.
 STAGING_MINIMA = {
@@ -88,6 +128,21 @@ WAREHOUSE_CHECKS: tuple[Check, ...] = (
 )
 
 
+#: What a delivery of raw files should hold; cleaning makes NULLs of what does not.
+DELIVERY_CHECKS: tuple[Check, ...] = (
+    WellFormed("orders"),
+    WellFormed("customers"),
+    WellFormed("order_items"),
+    Readable("order_items", "price"),
+    Readable("order_items", "freight_value"),
+    WellFormed("products"),
+    WellFormed("translation"),
+    WellFormed("payments"),
+    Readable("payments", "payment_value"),
+    WellFormed("sellers"),
+)
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Evaluate the checks; those of one table share a scan, but for keys of another table."""
     by_table: dict[str, list[Check]] = {}

@@ -84,6 +84,21 @@ def to_silver(
     return write_silver(spark, raw, silver_root(lake_root), run_id, run_ts)
 
 
+def check_delivery(
+    spark: SparkSession,
+    raw_root: str,
+    raw_files: Mapping[str, str] = RAW_FILES,
+    checks: Sequence[quality.Check] = quality.DELIVERY_CHECKS,
+) -> list[str]:
+    """Count malformed lines and unreadable amounts, a scan per file; raises if there are any."""
+    root = raw_root.rstrip("/")
+    raw = {
+        name: read_raw_csv(spark, f"{root}/{file}", RAW[name], malformed=True)
+        for name, file in raw_files.items()
+    }
+    return quality.enforce(quality.run_checks(raw, checks))
+
+
 def to_gold(
     spark: SparkSession,
     lake_root: str,

@@ -265,6 +265,14 @@ def _check(check: Check) -> str:
     return _minimum(check.table, check.least)
 
 
+def _unreadable(table: str, label: str, column: str) -> str:
+    number = f"TRY_CAST({column} AS DOUBLE)"
+    wrong = f"{column} IS NOT NULL AND ({number} IS NULL OR NOT isfinite({number}))"
+    return f"""SELECT '{label}' AS table_name, 'unreadable_{column}' AS check_name,
+        count(*) FILTER ({wrong}) AS observed, CAST(0 AS BIGINT) AS expected,
+        count(*) FILTER ({wrong}) = 0 AS passed FROM {table}"""
+
+
 def _integral(table: str, label: str, *columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS table_name, '{column}' AS column_name,"
@@ -325,6 +333,13 @@ _FINAL: dict[str, str] = {
                     ELSE CAST(units || 'e-4' AS DOUBLE) / nullif(priced, 0)
                END AS avg_item_price, priced, unpriced
         FROM x_sums""",
+    "delivery_checks": " UNION ALL ".join(
+        [
+            _unreadable("raw_extreme_items", "order_items", "price"),
+            _unreadable("raw_extreme_items", "order_items", "freight_value"),
+            _unreadable("raw_payments", "payments", "payment_value"),
+        ]
+    ),
     "staging_min_rows": " UNION ALL ".join(
         _minimum(table, MINIMA.get(table, 1)) for table in _TABLES
     ),

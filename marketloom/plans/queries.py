@@ -170,6 +170,13 @@ def dq_checks(shop: Shop) -> DataFrame:
     return quality.run_checks(tables, CHECKS)
 
 
+def delivery_checks(shop: Shop) -> DataFrame:
+    """Unreadable amounts where some prices are infinite or no number."""
+    raw = Shop(shop.spark, shop.sf_dir, EXTREME).raw
+    checks = [check for check in quality.DELIVERY_CHECKS if isinstance(check, quality.Readable)]
+    return quality.run_checks({check.table: raw(check.table) for check in checks}, checks)
+
+
 def integral_columns(shop: Shop) -> DataFrame:
     tables = {
         "dim_products": dims.build_dim_products(shop.products, RUN_TS),
@@ -262,6 +269,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "payments_positive": lambda shop: clean.positive_payments(shop.payments),
     "category_fill_unknown": lambda shop: clean.fill_category(shop.raw("products")),
     "dq_checks": dq_checks,
+    "delivery_checks": delivery_checks,
     "staging_min_rows": lambda shop: quality.staging_checks(shop.staged_gold(), MINIMA),
     "integral_columns": integral_columns,
     "narrow_integral": narrow_integral,

@@ -8,23 +8,37 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marketloom.schemas import stored
 
 
-def read_raw_csv(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
+#: Column of ``read_raw_csv`` with the text of a line that does not fit the header.
+MALFORMED = "_malformed"
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, required: Iterable[str] = (), malformed: bool = False
+) -> DataFrame:
     """Read header CSV with every column as a string; extra columns are kept.
 
     The first header gives the names.  Every further file must carry the same
-    header (``enforceSchema`` off), so reordered columns fail instead of mixing.
+    header (``enforceSchema`` off), so reordered columns fail instead of mixing.  A line
+    with too few or too many fields gives what it has and NULLs; with ``malformed`` a last
+    column holds its text, and NULL for lines that fit.
     """
     names = spark.read.option("header", True).csv(path).schema
     missing = [name for name in required if name not in names.fieldNames()]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    reader = spark.read.schema(names).option("header", True).option("enforceSchema", False)
-    return reader.csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if not malformed:
+        return reader.schema(names).csv(path)
+    reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    lines = reader.schema(StructType([*names.fields, StructField(MALFORMED, StringType())])).csv(path)
+    # Spark counts the fields it reads, so this column takes all others along.
+    with_others = F.length(F.concat_ws("", MALFORMED, *names.fieldNames())) >= 0
+    return lines.withColumn(MALFORMED, F.when(with_others, F.col(MALFORMED)))
 
 
 def one_delivery(spark: SparkSession, pattern: str) -> None:

@@ -4,9 +4,12 @@ import pytest
 from frames import columns, silver
 from pyspark.sql import functions as F
 
+from marketloom.operators import quality
+from marketloom.plans import daily
 from marketloom.schemas import BY_MONTH, RAW, SILVER
 from marketloom.sources.standins import SQL, Standins
 from marketloom.sources.tables import (
+    MALFORMED,
     read_raw_csv,
     read_table,
     shared_path,
@@ -106,3 +109,22 @@ def test_standins_have_the_raw_columns_as_strings(spark, name):
     df = Standins(spark, "/root/testdata/sf0.001").raw(name)
     assert df.dtypes == [(column, "string") for column in RAW[name]]
     assert not df.isEmpty()
+
+
+def test_malformed_lines_are_counted(spark, tmp_path):
+    """Short and long lines, in any file; quoted commas and empty fields fit."""
+    path = tmp_path / "sellers.csv"
+    path.mkdir()
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state"
+    (path / "a.csv").write_text(header + '\n1,2,"a, b",c\n2,,,\n3,4\n')
+    (path / "b.csv").write_text(header + "\n5,6,d,e,extra\n7,8,f,g\n")
+    raw = read_raw_csv(spark, str(path), malformed=True)
+    told = {row["seller_id"]: row[MALFORMED] for row in raw.collect()}
+    assert told == {"1": None, "2": None, "3": "3,4", "5": "5,6,d,e,extra", "7": None}
+    (row,) = quality.run_checks({"sellers": raw}, [quality.WellFormed("sellers")]).collect()
+    assert (row["observed"], row["passed"]) == (2, False)
+    assert read_raw_csv(spark, str(path)).columns == header.split(",")
+    with pytest.raises(quality.QualityError, match="sellers malformed_rows: observed 2"):
+        daily.check_delivery(
+            spark, str(tmp_path), {"sellers": "sellers.csv"}, [quality.WellFormed("sellers")]
+        )
