@@ -277,6 +277,9 @@ def predict(
     and all texts without a model are `und` with score 0. Nothing but the text goes into a
     prediction. Null ids are not held out, and repeated rows are predicted each by itself. Other
     columns are not read. An empty table gives an empty result.
+
+    Very long texts are read whole, in stretches, whose probabilities are pooled. Of languages
+    with equal probabilities the first in the model's order is predicted.
     """
     narrow = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")

@@ -197,6 +197,9 @@ def mix(
     token gives nothing. Repeated rows are counted and chosen each by itself. An empty table
     gives an empty result. Other columns are neither read nor in the way, and come back in the
     struct `row` with `keep`.
+
+    Texts of any length count whole. Documents of a leaf that tie in its seeded order are taken
+    by doc_id and number of tokens; rows equal in those are interchangeable.
     """
     counted = words("text") if tokens is None else tokens
     scratch = Scratch(docs.sparkSession)

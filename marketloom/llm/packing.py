@@ -328,6 +328,10 @@ def pack(
     With `special_as_text` False a special token's string in a text is that token.
     Null ids and repeated rows are packed like any other row. Other columns are not read. An
     empty table gives an empty result.
+
+    A very long text is encoded whole, in one task, and cut into full windows. Pieces of one
+    length are ranked by share, doc_id, start and checksum; those equal in all are
+    interchangeable.
     """
     scratch = Scratch(docs.sparkSession)
     cut = pieces(

@@ -347,6 +347,10 @@ def classify(
     empty one has a single empty line. Null ids are not held out. Repeated rows are scored each
     by itself. With `keep` the result is (row, score, predicted), `row` a struct of all columns,
     whatever their names. An empty table gives an empty result.
+
+    Very long texts are read whole; a line of more than LINE_BYTES bytes stands for several
+    lines, each with a place of its own in the chain, which its score depends on. A score of just
+    THRESHOLD predicts 1.
     """
     columns = [F.col(text_column).alias("text")]
     if keep:

@@ -248,6 +248,9 @@ def scan(
     all columns of the row. Null and empty texts have no spans. Null ids and repeated rows are
     scanned like any other row. Other columns are neither read nor in the way. An empty table
     gives an empty result.
+
+    Very long texts and candidates are scanned whole. A window with just the threshold's entropy
+    counts. Spans that start together are listed in the order of the kinds.
     """
     kinds = [*BASE_KINDS, *(c.kind for c in classes)]
     text = F.coalesce(F.col(text_column), F.lit(""))

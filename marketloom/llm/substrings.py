@@ -446,6 +446,10 @@ def remove_repeats(
     removed runs; kept_sha256 is the hash of the remaining bytes, which are `kept` if
     `keep_text`. Texts shorter than `length` are kept. Repeated rows and rows with a null id are
     texts like any other. Other columns are not read. An empty table gives an empty result.
+
+    Very long texts are cut into contexts that are compared each by itself, and put together
+    again in one task, which holds the text and its removed ranges. Equal strings that begin at
+    several places all go; there is no first one that stays.
     """
     width = Width.of(length)
     scratch = Scratch(docs.sparkSession)

@@ -479,6 +479,8 @@ def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     its own and reads null. Repeated rows are records of their own: those with the largest
     page_id of their payload are all responses. Urls may be null; control characters and spaces
     in them are escaped. Other columns are not read. An empty table gives an empty result.
+
+    Very long payloads are written and read whole, one at a time in a task.
     """
     scratch = Scratch(pages.sparkSession)
     narrow = pages.select(
