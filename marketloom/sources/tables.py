@@ -35,7 +35,8 @@ def read_raw_csv(
     if not malformed:
         return reader.schema(names).csv(path)
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    lines = reader.schema(StructType([*names.fields, StructField(MALFORMED, StringType())])).csv(path)
+    whole = StructType([*names.fields, StructField(MALFORMED, StringType())])
+    lines = reader.schema(whole).csv(path)
     # Spark counts the fields it reads, so this column takes all others along.
     with_others = F.length(F.concat_ws("", MALFORMED, *names.fieldNames())) >= 0
     return lines.withColumn(MALFORMED, F.when(with_others, F.col(MALFORMED)))

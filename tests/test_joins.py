@@ -88,3 +88,22 @@ def test_row_loss(spark):
     orders = spark.createDataFrame([("o1",), ("o2",)], "order_id string")
     assert tuple(join_row_loss(items, orders).first()) == (3, 2, 1)
     assert tuple(join_row_loss(items.limit(0), orders).first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("partitions", ["8", "100"])
+def test_heavy_keys_are_found_without_a_shuffle_by_key(spark, partitions):
+    """By summaries merged at once and in two steps; also where there are no rows or no keys."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        key = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 > 0 THEN CAST(id AS string) END AS k"
+        rows = spark.range(0, 30_000, 1, 20).selectExpr(key)
+        heavy = heavy_keys(rows, "k")
+        found = {row["k"]: row["_buckets"] for row in heavy.collect()}
+        assert list(found) == ["hot"] and found["hot"] >= 16 * int(partitions) // 3
+        plan = heavy._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(k" not in plan and "hashpartitioning(key" not in plan
+        assert heavy_keys(rows.limit(0), "k").collect() == []
+        assert heavy_keys(rows.selectExpr("CAST(NULL AS string) AS k"), "k").collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
