@@ -1,10 +1,11 @@
 """Dropping lines that many documents share, by levelled sorted runs of line hashes.
 
 The documents come in batches. Each batch's line hashes, with the number of its documents that
-hold them, are one run, dealt by hash and sorted. Runs are kept in levels: when a level is full its runs are merged
-into one of the next level, and hashes that have reached the number of documents wanted move to
-the runs of settled hashes. A new batch is merge-anti-joined with those first, so that the lines
-seen most often stop being written, and what is left of it is added as a run of its own.
+hold them, are one run, dealt by hash and sorted. Runs are kept in levels: when a level is full
+its runs are merged into one of the next level, and hashes that have reached the number of
+documents wanted move to the runs of settled hashes. A new batch is merge-anti-joined with those
+first, so that the lines seen most often stop being written, and what is left of it is added as a
+run of its own.
 
 DataFrame functions only. A hash has 128 bits, and every line is looked at.
 """

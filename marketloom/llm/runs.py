@@ -231,7 +231,8 @@ def windows(
     if n <= 0:
         return []
     doc = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    multipliers = np.random.default_rng(gram).integers(1, 1 << 63, gram + 1, np.uint64) | np.uint64(1)
+    random = np.random.default_rng(gram)
+    multipliers = random.integers(1, 1 << 63, gram + 1, np.uint64) | np.uint64(1)
     keys = doc[:n].astype(np.uint64) * multipliers[gram]
     for k in range(gram):
         keys += (symbols[k : n + k].astype(np.uint64) + np.uint64(1)) * multipliers[k]
@@ -410,4 +411,5 @@ def _arrow_schema(keep: bool) -> pa.Schema:
     whole = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")
     fields = [(name, pa.int64()) for name in whole]
     fields += [(name, pa.string()) for name in ("runs_sha256", "collapsed_sha256")]
-    return pa.schema(fields + ([("runs", pa.list_(run)), ("collapsed", pa.string())] if keep else []))
+    kept = [("runs", pa.list_(run)), ("collapsed", pa.string())]
+    return pa.schema(fields + (kept if keep else []))

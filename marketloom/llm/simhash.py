@@ -91,7 +91,8 @@ def fingerprints(
                 count=batch.num_rows,
             )
             columns = [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "name"][: len(columns)])
+            names = ["doc_id", "fingerprint", "name"]
+            yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
     narrow = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
