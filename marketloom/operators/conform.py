@@ -40,11 +40,7 @@ def integral_columns(df: DataFrame) -> DataFrame:
     names = double_columns(df)
     if not names:
         raise ValueError("no double columns")
-    tests = [
-        F.bool_and((F.col(name) % 1 == 0) & (F.abs(name) < _BIGINT_END)).alias(name)
-        for name in names
-    ]
-    tested = nan_to_null(df.select(*names)).agg(*tests)
+    tested = nan_to_null(df.select(*names)).agg(*[all_integral(name).alias(name) for name in names])
     rows = [
         F.struct(
             F.lit(name).alias("column_name"),
@@ -55,11 +51,17 @@ def integral_columns(df: DataFrame) -> DataFrame:
     return tested.select(F.inline(F.array(*rows)))
 
 
+def all_integral(name: str) -> Column:
+    """Aggregate: whether a column without NaN holds whole numbers only; NULL if it is empty."""
+    return F.bool_and((F.col(name) % 1 == 0) & (F.abs(name) < _BIGINT_END))
+
+
 def narrow_integral(df: DataFrame, whole: Sequence[str] | None = None) -> DataFrame:
     """Cast the double columns that hold whole numbers only to ``bigint``.
 
-    ``whole`` names them where they are known.  Otherwise they are measured, which
-    reads ``df``: it is then a stored table, not one still to be computed.
+    ``whole`` names them where they are known, as from the metrics of a staged version
+    (``publish.narrowed``).  Otherwise they are measured, which reads ``df``: it is then
+    a stored table, not one still to be computed.
     """
     if not double_columns(df):
         return df

@@ -68,6 +68,9 @@ class KnownKeys:
     def name(self) -> str:
         return f"{self.column}_without_{self.other}"
 
+    def verdict(self, observed: Column) -> tuple[int, Column]:
+        return 0, observed == 0
+
 
 @dataclass(frozen=True)
 class Readable:
@@ -144,16 +147,11 @@ DELIVERY_CHECKS: tuple[Check, ...] = (
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Evaluate the checks; those of one table share a scan, but for keys of another table."""
+    """Evaluate the checks; those of one table share one pass over it, known keys included."""
     by_table: dict[str, list[Check]] = {}
-    frames = []
     for check in checks:
-        if isinstance(check, KnownKeys):
-            frames.append(_check_keys(tables[check.table], tables[check.other], check))
-        else:
-            by_table.setdefault(check.table, []).append(check)
-    frames += [_check_table(tables[name], group) for name, group in by_table.items()]
-    return stack_rows(frames)
+        by_table.setdefault(check.table, []).append(check)
+    return stack_rows([_check_table(tables, name, group) for name, group in by_table.items()])
 
 
 def staging_checks(
@@ -179,25 +177,21 @@ def enforce(results: DataFrame) -> list[str]:
     return lines
 
 
-def _check_keys(df: DataFrame, other: DataFrame, check: KnownKeys) -> DataFrame:
-    """Keys are counted before they meet the other table, so a frequent one is one row."""
-    keys = df.groupBy(F.col(check.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    known = other.select(F.col(check.other_column).alias("key"))
-    missing = keys.filter("key IS NOT NULL").join(known, "key", "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observed")).select(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.name).alias("check_name"),
-        "observed",
-        F.lit(0).cast("bigint").alias("expected"),
-        (F.col("observed") == 0).alias("passed"),
-    )
-
-
-def _check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    measured = df.agg(*[check.observed().alias(check.name) for check in checks])
+def _check_table(
+    tables: Mapping[str, DataFrame], name: str, checks: Sequence[Check]
+) -> DataFrame:
+    """One row per check.  Every check counts rows, so counts by key add up to those of the table."""
+    keyed = {n: check for n, check in enumerate(checks) if isinstance(check, KnownKeys)}
+    counts = [
+        check.observed().alias(f"_{n}") for n, check in enumerate(checks) if n not in keyed
+    ]
+    if keyed:
+        measured = _by_key(tables, name, keyed, counts, len(checks))
+    else:
+        measured = tables[name].agg(*counts)
     rows = []
-    for check in checks:
-        observed = F.col(check.name)
+    for n, check in enumerate(checks):
+        observed = F.col(f"_{n}")
         expected, passed = check.verdict(observed)
         rows.append(
             F.struct(
@@ -209,3 +203,31 @@ def _check_table(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             )
         )
     return measured.select(F.inline(F.array(*rows)))
+
+
+def _by_key(
+    tables: Mapping[str, DataFrame],
+    name: str,
+    keyed: Mapping[int, KnownKeys],
+    counts: Sequence[Column],
+    number: int,
+) -> DataFrame:
+    """All counts of a table in one pass: by its keys first, which then meet the known ones.
+
+    Map tasks combine the rows of a key, so a frequent one is a few rows, and the other
+    checks' counts ride along.  A NULL key is not a missing one.
+    """
+    keys = [F.col(check.column).alias(f"_key_{n}") for n, check in keyed.items()]
+    groups = tables[name].groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    for n, check in keyed.items():
+        known = tables[check.other].select(F.col(check.other_column).alias(f"_key_of_{n}"))
+        known = known.distinct().withColumn(f"_known_{n}", F.lit(True))
+        groups = groups.join(known, F.col(f"_key_{n}") == F.col(f"_key_of_{n}"), "left")
+
+    def total(n: int) -> Column:
+        if n not in keyed:
+            return F.sum(f"_{n}")
+        missing = F.col(f"_key_{n}").isNotNull() & F.col(f"_known_{n}").isNull()
+        return F.sum(F.when(missing, F.col("_rows")))
+
+    return groups.agg(*[F.coalesce(total(n), F.lit(0)).alias(f"_{n}") for n in range(number)])

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +80,21 @@ def write_table(
     sort_by: Sequence[Column] = (),
     mode: str = "overwrite",
 ) -> int:
-    """Write Parquet and return the number of rows written, counted during the write.
+    """Write Parquet and return the number of rows written, counted during the write."""
+    return write_measured(df, path, partition_by, sort_by, mode)["rows"]
+
+
+def write_measured(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[Column] = (),
+    mode: str = "overwrite",
+    measures: Mapping[str, Column] | None = None,
+) -> dict[str, Any]:
+    """Write Parquet and return what was observed of the rows during the write.
+
+    That is their number, ``rows``, and the aggregates given as ``measures``.
 
     Overwriting replaces the whole table, partitions without new rows included.
     Partitioned tables are rebalanced on the partition columns first.  Adaptive
@@ -91,12 +106,13 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    others = [measure.alias(name) for name, measure in (measures or {}).items()]
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows"), *others).write.mode(mode)
     writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return counted.get["rows"]
+    return counted.get
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -6,13 +6,14 @@ from unittest import mock
 import pytest
 from frames import columns
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType, VarcharType
 
 from marketloom.operators import publish, quality
 from marketloom.operators.conform import conform, integral_columns, nan_to_null, narrow_integral
 from marketloom.operators.quality import MinRows, NoNulls
 from marketloom.schemas import GOLD, stored
-from marketloom.sources import manifest
+from marketloom.sources import manifest, metrics
 
 LAYOUT = StructType(
     [
@@ -101,6 +102,35 @@ def test_keys_without_a_row_in_the_other_table(spark):
     ]
 
 
+def test_all_checks_of_a_table_share_one_pass(spark, tmp_path):
+    path = str(tmp_path / "f")
+    rows = [(1, 7, "a"), (2, 8, None), (2, None, None), (None, 9, "b")]
+    spark.createDataFrame(rows, "k int, k2 long, v string").write.parquet(path)
+    tables = {
+        "f": spark.read.parquet(path),
+        "d": spark.createDataFrame([(1,), (1,), (3,)], "k int"),
+        "e": spark.createDataFrame([(8,), (9,), (None,)], "k2 long"),
+    }
+    checks = [
+        quality.KnownKeys("f", "k", "d", "k"),
+        NoNulls("f", "v"),
+        quality.KnownKeys("f", "k2", "e", "k2"),
+        MinRows("f", 4),
+        MinRows("f", 5),
+    ]
+    found = quality.run_checks(tables, checks)
+    assert sorted(map(tuple, found.collect())) == [
+        ("f", "k2_without_e", 1, 0, False),
+        ("f", "k_without_d", 2, 0, False),
+        ("f", "min_rows", 4, 4, True),
+        ("f", "min_rows", 4, 5, False),
+        ("f", "nulls_in_v", 2, 0, False),
+    ]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    tables["f"] = tables["f"].limit(0)
+    assert {row["observed"] for row in quality.run_checks(tables, checks).collect()} == {0}
+
+
 def test_a_table_without_minimum_needs_one_row(tables):
     rows = quality.staging_checks(tables, {"t": 3}).collect()
     assert sorted(map(tuple, rows)) == [
@@ -142,6 +172,58 @@ def test_a_publication_keeps_the_other_tables(spark, tmp_path):
     assert publish.versions(spark, root) == {"dim_sellers": "r1", "dim_date": "r2"}
 
 
+def test_metrics_of_a_staged_version(spark, tmp_path):
+    root = str(tmp_path)
+    nan = float("nan")
+    rows = [("p1", 2.0, 0.5), ("p2", nan, 1.0), (None, 4.0, None)]
+    given = spark.createDataFrame(rows, "product_id string, product_weight_g double, x double")
+    fields = [f for f in stored(GOLD["dim_products"]).fields if f.name not in given.columns]
+    df = given.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    assert publish.stage(df, root, "dim_products", "r1") == 3
+    found = metrics.written(spark, root, "r1").first()
+    assert (found["rows"], found["nulls"]["product_id"]) == (3, 1)
+    assert found["nulls"]["product_weight_g"] == 1  # NaN is stored as NULL
+    assert found["whole"] == ["product_weight_g"]
+    assert set(found["nulls"]) == set(GOLD["dim_products"].fieldNames())
+    narrow = publish.narrowed(spark, root, "dim_products", "r1")
+    want = narrow_integral(publish.staged(spark, root, "dim_products", "r1"))
+    assert narrow.dtypes == want.dtypes and dict(narrow.dtypes)["product_weight_g"] == "bigint"
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(quality.QualityError, match="nulls_in_product_id: observed 1"):
+        publish.validate(
+            spark, root, ["dim_products"], "r1", {}, [NoNulls("dim_products", "product_id")]
+        )
+    publish.validate(spark, root, ["dim_products"], "r1", {}, [NoNulls("dim_sellers", "city")])
+
+
+@pytest.mark.parametrize("damage", ["cut short", "one lost", "one more", "no metrics"])
+def test_a_damaged_version_fails_validation(spark, tmp_path, damage):
+    root = str(tmp_path)
+    publish.stage(sellers(spark, "a", "b").repartition(2, "seller_id"), root, "dim_sellers", "r1")
+    assert len(publish.validate(spark, root, ["dim_sellers"], "r1", {})) == 1
+    file = next((tmp_path / "dim_sellers" / "v=r1").glob("*.parquet"))
+    if damage == "cut short":
+        file.write_bytes(file.read_bytes()[:-9])
+        file.with_name(f".{file.name}.crc").unlink()
+    elif damage == "one lost":
+        file.unlink()
+    elif damage == "one more":
+        (file.parent / "part-x.parquet").write_bytes(b"PAR1")
+    else:
+        (tmp_path / "_metrics" / "v=r1" / "dim_sellers").rename(tmp_path / "elsewhere")
+    with pytest.raises((quality.QualityError, PySparkException), match="stored_bytes|min_rows"):
+        publish.validate(spark, root, ["dim_sellers"], "r1", {"dim_sellers": 0})
+
+
+def test_an_empty_version_has_metrics(spark, tmp_path):
+    root, table = str(tmp_path), "revenue_by_category"
+    assert publish.stage(spark.createDataFrame([], stored(GOLD[table])), root, table, "r1") == 0
+    lines = publish.validate(spark, root, [table], "r1", {table: 0})
+    assert lines == [f"{table} min_rows: observed 0, expected 0"]
+    with pytest.raises(quality.QualityError, match="min_rows: observed 0, expected 1"):
+        publish.validate(spark, root, [table], "r1", {})
+
+
 def test_a_version_is_never_overwritten(spark, tmp_path):
     publish.stage(sellers(spark, "a"), str(tmp_path), "dim_sellers", "r1")
     with pytest.raises(PySparkException, match="already exists"):
