@@ -35,6 +35,8 @@ PACKAGE_BYTES = 32 << 20
 #: Bytes of a package that one task reads, and of one read, at most about so many.
 RANGE_BYTES = 16 << 20
 READ_BYTES = 4 << 20
+#: Bytes of records for which there is one reading task.
+TASK_BYTES = 8 << 20
 DATE = "1970-01-01T00:00:00Z"
 COMPRESSION = 6
 
@@ -154,32 +156,47 @@ def data_offset(source: pa.NativeFile, member: Member) -> int:
 def ranges(source: pa.NativeFile) -> Iterator[tuple[int, int]]:
     """(offset, length) in the package of each record, from its indexes.
 
-    An archive that no index mentions is walked through, record by record.
+    Archives are told apart by their whole path in the package. What no index mentions of an
+    archive, all of it or the gaps between its records, is walked through, record by record. A
+    record that is mentioned more than once is one record. An index that names an archive which is
+    not there, or which two could be, and records that overlap or leave their archive are errors.
     """
     members = directory(source)
     archives = {
-        member.name.rpartition("/")[2]: member
-        for member in members
-        if re.search(r"\.warc(\.gz)?$", member.name)
+        member.name: member for member in members if re.search(r"\.warc(\.gz)?$", member.name)
     }
-    starts = {}
     for name, member in archives.items():
         if member.method != STORED:
-            raise ValueError(f"{member.name} is compressed: its records have no ranges")
-        starts[name] = data_offset(source, member)
-    indexed = set()
+            raise ValueError(f"{name} is compressed: its records have no ranges")
+    indexed: dict[str, set[tuple[int, int]]] = {name: set() for name in archives}
     for member in members:
         if re.search(r"^indexes/.*\.cdxj?(\.gz)?$", member.name):
             for line in _index_lines(source, member):
                 if "{" not in line:
                     continue
                 entry = json.loads(line[line.index("{") :])
-                name = entry["filename"].rpartition("/")[2]
-                indexed.add(name)
-                yield starts[name] + int(entry["offset"]), int(entry["length"])
-    for name in archives.keys() - indexed:
-        for offset, length in _walk(source, starts[name], archives[name]):
-            yield starts[name] + offset, length
+                name = _named(archives, entry["filename"])
+                indexed[name].add((int(entry["offset"]), int(entry["length"])))
+    for name, member in archives.items():
+        start, at = data_offset(source, member), 0
+        for offset, length in sorted(indexed[name]):
+            if offset < at or offset + length > member.size:
+                raise ValueError(f"an index puts a record of {name} where none can be: {offset}")
+            yield from _walk(source, start + at, offset - at, name.endswith(".gz"))
+            yield start + offset, length
+            at = offset + length
+        yield from _walk(source, start + at, member.size - at, name.endswith(".gz"))
+
+
+def _named(archives: dict[str, Member], name: str) -> str:
+    """The archive that an index means: by its path, that below archive/, or the end of it."""
+    for whole in (name, f"archive/{name}"):
+        if whole in archives:
+            return whole
+    found = [archive for archive in archives if archive.endswith(f"/{name}")]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} archives could be the {name} of an index")
+    return found[0]
 
 
 def _index_lines(source: pa.NativeFile, member: Member) -> Iterator[str]:
@@ -193,32 +210,40 @@ def _index_lines(source: pa.NativeFile, member: Member) -> Iterator[str]:
     yield from io.TextIOWrapper(io.BytesIO(data), encoding="utf-8")
 
 
-def _walk(source: pa.NativeFile, start: int, member: Member) -> Iterator[tuple[int, int]]:
-    """(offset, length) in the archive of each record, without keeping what is read."""
-    if not member.name.endswith(".gz"):
-        yield from _walk_plain(source, start, member.size)
+def _walk(
+    source: pa.NativeFile, start: int, size: int, zipped: bool
+) -> Iterator[tuple[int, int]]:
+    """(offset, length) of each record in a part of the package, without keeping what is read."""
+    if not zipped:
+        yield from _walk_plain(source, start, size)
         return
     at, begun, unzip, left = 0, 0, zlib.decompressobj(zlib.MAX_WBITS | 16), b""
-    while at < member.size or left:
+    while at < size or left:
         if not left:
-            left = read_range(source, start + at, min(READ_BYTES, member.size - at))
+            left = read_range(source, start + at, min(READ_BYTES, size - at))
             at += len(left)
         unzip.decompress(left)
         left = unzip.unused_data
         if unzip.eof:
             end = at - len(left)
-            yield begun, end - begun
+            yield start + begun, end - begun
             begun, unzip = end, zlib.decompressobj(zlib.MAX_WBITS | 16)
+    if begun < size:
+        raise ValueError(f"a record at {start + begun} is cut off")
 
 
 def _walk_plain(source: pa.NativeFile, start: int, size: int) -> Iterator[tuple[int, int]]:
     at = 0
     while at < size:
         head = read_range(source, start + at, min(READ_BYTES, size - at))
-        end = head.index(b"\r\n\r\n") + 4
-        length = end + int(_fields(head[:end])["content-length"]) + 4
-        yield at, length
-        at += length
+        if not head.strip(b"\r\n"):  # an index may leave the line ends behind a record out
+            at += len(head)
+            continue
+        lead = len(head) - len(head.lstrip(b"\r\n"))
+        end = head.index(b"\r\n\r\n", lead) + 4
+        length = end - lead + int(_fields(head[lead:end])["content-length"]) + 4
+        yield start + at + lead, length
+        at += lead + length
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -406,9 +431,11 @@ def with_types(scratch: Scratch, pages: DataFrame, least_bytes: int = 0) -> Data
 def records(packages: DataFrame) -> DataFrame:
     """All records (RECORD) of the packages whose URIs are in the column `path`.
 
-    The packages' indexes become rows, one per record. They are dealt out by stretches of
-    RANGE_BYTES, and a task reads the records of a stretch, neighbours in one read.
+    The packages' indexes become rows, one per record, in a written table. They are dealt out by
+    stretches of RANGE_BYTES to tasks whose number follows from the bytes that are to be read, as
+    the rows themselves are small, and a task reads neighbours in one go.
     """
+    scratch = Scratch(packages.sparkSession)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -447,8 +474,15 @@ def records(packages: DataFrame) -> DataFrame:
                 )
 
     located = packages.select("path").repartition("path").mapInArrow(locate, RANGES)
-    dealt = located.repartition("path", F.floor(F.col("offset") / RANGE_BYTES))
-    return dealt.mapInArrow(read, RECORD)
+    located = scratch.table(located)
+    stretch = F.floor(F.col("offset") / RANGE_BYTES)
+    return located.repartition(_tasks(located), "path", stretch).mapInArrow(read, RECORD)
+
+
+def _tasks(located: DataFrame) -> int:
+    """Tasks that read about TASK_BYTES each."""
+    total = located.agg(F.sum("length")).first()[0] or 0
+    return max(1, -(-total // TASK_BYTES))
 
 
 def _stretches(wanted: list[tuple]) -> Iterator[tuple[str, list[tuple[int, int]]]]:

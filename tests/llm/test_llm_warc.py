@@ -127,6 +127,70 @@ def test_ranges(kind):
     assert payloads == [b"p" * i for i in range(5)]
 
 
+def packed(archives, lines):
+    """A package of archives and one index with (archive, offset, length) lines."""
+    index = "".join(
+        "com,u)/ 2020 " + json.dumps({"filename": f, "offset": o, "length": n}) + "\n"
+        for f, o, n in lines
+    )
+    members = [(name, b"".join(parts)) for name, parts in archives.items()]
+    return pa.BufferReader(archive([*members, ("indexes/i.cdxj", index.encode())]))
+
+
+def read_all(source):
+    return sorted(warc.read_range(source, *found) for found in warc.ranges(source))
+
+
+@pytest.mark.parametrize("named", ["", "a/x.warc.gz", "archive/a/x.warc.gz"])
+def test_archives_of_one_name_in_two_folders(named):
+    parts = records()
+    archives = {"archive/a/x.warc.gz": parts[:2], "archive/b/x.warc.gz": parts[2:]}
+    lines = [(named, 0, len(parts[0]))] if named else []
+    assert read_all(packed(archives, lines)) == sorted(parts)
+
+
+@pytest.mark.parametrize("name", ["x.warc.gz", "y.warc.gz"])
+def test_an_index_that_names_no_one_archive_is_an_error(name):
+    parts = records()
+    archives = {"archive/a/x.warc.gz": parts[:2], "archive/b/x.warc.gz": parts[2:]}
+    with pytest.raises(ValueError, match="archives could be"):
+        list(warc.ranges(packed(archives, [(name, 0, len(parts[0]))])))
+
+
+@pytest.mark.parametrize("kept", [[], [0], [2], [4], [1, 3], [0, 1, 2, 3, 4]])
+@pytest.mark.parametrize("suffix", [".gz", ""])
+def test_records_that_an_index_leaves_out_are_walked(kept, suffix):
+    parts = records() if suffix else [gzip.decompress(part) for part in records()]
+    lines, at = [], 0
+    for n, part in enumerate(parts):
+        # a plain record may be indexed without the line ends behind it
+        short = 0 if suffix or n % 2 else 4
+        lines += [(f"x.warc{suffix}", at, len(part) - short)] * (2 if n in kept else 0)
+        at += len(part)
+    source = packed({f"archive/x.warc{suffix}": parts}, lines)
+    found = [part.rstrip(b"\r\n") if not suffix else part for part in read_all(source)]
+    assert found == sorted(part.rstrip(b"\r\n") if not suffix else part for part in parts)
+
+
+def test_records_that_overlap_or_leave_their_archive_are_errors():
+    parts = records()
+    for lines in ([(0, 10), (5, 10)], [(0, 10**6)]):
+        with pytest.raises(ValueError, match="where none can be"):
+            list(warc.ranges(packed({"archive/x.warc.gz": parts}, [("x.warc.gz", *x) for x in lines])))
+
+
+def test_an_archive_cut_off_is_an_error():
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.ranges(packed({"archive/x.warc.gz": [records()[0][:-5]]}, [])))
+
+
+def test_reading_tasks_follow_the_bytes(spark, monkeypatch):
+    schema = "path string, offset long, length long"
+    located = spark.createDataFrame([("p", n << 20, 1 << 20) for n in range(40)], schema)
+    assert warc._tasks(located) == 5
+    assert warc._tasks(located.limit(0)) == 1
+
+
 def test_compressed_archive_is_refused():
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as target:
