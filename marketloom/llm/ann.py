@@ -53,6 +53,20 @@ def encode(
     return np.packbits(bits, axis=1), length, np.where(length > 0, along, 1.0)
 
 
+def byte_tables(turned: np.ndarray) -> np.ndarray:
+    """For each byte of a code its 256 values' inner products with each query: byte, query, value.
+
+    A query's components are those of the byte's bits, the highest bit first, a set bit counting
+    as plus and a clear one as minus; bits behind the last component count nothing.
+    """
+    number, size = turned.shape
+    filled = np.zeros((number, -(-size // 8) * 8))
+    filled[:, :size] = turned
+    values = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1
+    eights = filled.reshape(number, -1, 8).transpose(1, 0, 2)
+    return (eights @ values.T).astype(np.float32)
+
+
 def estimate(
     queries: np.ndarray,
     centroid: np.ndarray,
@@ -61,14 +75,17 @@ def estimate(
     length: np.ndarray,
     along: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Estimated inner products, queries by vectors, and the error bound as two factors."""
+    """Estimated inner products, queries by vectors, and the error bound as two factors.
+
+    Codes are read as they are packed: each byte looks up its eight signs' part of the product.
+    """
     size = queries.shape[1]
-    bits = np.unpackbits(codes, axis=1, count=size)
-    signs = bits.astype(np.float32) * 2 - 1
-    turned = (queries @ turn).astype(np.float32)
     scale = (length / (along * math.sqrt(size))).astype(np.float32)
     with np.errstate(over="ignore", invalid="ignore"):
-        inner = turned @ signs.T * scale + (queries @ centroid).astype(np.float32)[:, None]
+        inner = np.zeros((len(queries), len(codes)), np.float32)
+        for table, byte in zip(byte_tables(queries @ turn), codes.T):
+            inner += np.take(table, byte, axis=1)
+        inner = inner * scale + (queries @ centroid).astype(np.float32)[:, None]
     spread = np.sqrt(np.maximum(0, 1 - along**2)) / along / math.sqrt(max(1, size - 1))
     norms = np.sqrt((queries**2).sum(axis=1))
     return inner, DEVIATIONS * norms + 1e-6 * norms, length * spread + 1e-6 * (length + 1)

@@ -148,6 +148,21 @@ def test_error_bounds_hold():
     assert np.abs(turn @ turn.T - np.eye(64)).max() < 1e-9
 
 
+@pytest.mark.parametrize("size", [1, 8, 13, 64])
+def test_estimates_from_packed_bits(size):
+    rng = np.random.default_rng(size)
+    rows, queries = rng.standard_normal((300, size)), rng.standard_normal((9, size))
+    centre, turn = rows.mean(axis=0), ann.rotation(size)
+    codes, length, along = ann.encode(rows, centre, turn)
+    inner, _, _ = ann.estimate(queries, centre, turn, codes, length, along)
+    for q, query in enumerate(queries):
+        for r in range(0, 300, 29):
+            towards = (rows[r] - centre) @ turn
+            product = sum(x if t > 0 else -x for x, t in zip(query @ turn, towards))
+            want = product * length[r] / (along[r] * size**0.5) + query @ centre
+            assert abs(inner[q, r] - want) < 1e-4
+
+
 def test_vectors_at_the_centroid_are_exact():
     rows = np.ones((5, 8))
     index = ann.encode(rows, rows[0], ann.rotation(8))
