@@ -81,18 +81,14 @@ def budgets(
     """Leaves (domain, lang, source, tokens) with `epochs`, whole ones, and `prefix`, in tokens.
 
     The budget is `budget_percent` of all tokens. Weights are positive whole numbers by level
-    and name. One row per leaf with a token; the tree is what grows, not the documents.
+    and name. One row per leaf with a token; the tree is what grows, not the documents. The leaves
+    are read twice, once for the sum of all tokens: they are a written table where that matters.
     """
     level = leaves.where("tokens > 0").select(
         *LEVELS, (F.col("tokens") * max_epochs).cast("decimal(20,0)").alias("capacity"), "tokens"
     )
-    tree = level.withColumn(
-        "budget",
-        F.expr(
-            "cast(cast(sum(tokens) over () as decimal(20,0))"
-            f" * {budget_percent} div 100 as decimal(20,0))"
-        ),
-    )
+    budget = f"cast(cast(sum(tokens) as decimal(20,0)) * {budget_percent} div 100 as decimal(20,0))"
+    tree = level.withColumn("budget", level.agg(F.expr(budget)).scalar())
     for depth, name in enumerate(LEVELS):
         above, here = LEVELS[:depth], LEVELS[: depth + 1]
         nodes = tree.groupBy(*here).agg(
@@ -204,6 +200,7 @@ def mix(
     counted = words("text") if tokens is None else tokens
     scratch = Scratch(docs.sparkSession)
     narrow = scratch.table(described(docs, domain, counted))
-    plan = scratch.table(budgets(leaves_of(narrow), weights, budget_percent, max_epochs))
+    leaves = scratch.table(leaves_of(narrow))
+    plan = scratch.table(budgets(leaves, weights, budget_percent, max_epochs))
     rows = described(docs, domain, counted, keep) if keep else narrow
     return select(rows, plan, scratch, seed)
