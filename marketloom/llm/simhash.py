@@ -5,10 +5,10 @@ of one. Here the 64 bits are cut into blocks of 23, 23, 15 and 3 bits, each with
 (two binary Golay codes of radius 3, a Hamming and a repetition code of radius 1), which makes
 2^36 anchors of radius 8. Each point has one nearest anchor, found from its syndrome.
 
-Two fingerprints that differ in at most t bits have a point between them that is within
-ceil(t / 2) bits of both. So each fingerprint is replicated to the nearest anchors of all points
-within ceil(t / 2) bits of it, about 17 for t = 2, none of which is farther than the covering
-radius plus that threshold; and linked fingerprints meet at an anchor. There they are compared.
+Each fingerprint is replicated to every anchor within covering radius plus threshold t: to those
+whose blocks lie within their radius of the fingerprint's, but for t bits in all, about 166 for
+t = 2. Of two fingerprints that differ in at most t bits, the nearest anchor of one, its home, is
+within that distance of the other. So linked fingerprints meet at a home, and are compared there.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import Scratch, components, salted_join, table_join
+from marketloom.llm.common import Scratch, components
+from marketloom.operators.joins import heavy_keys, lookup_join
 
 BITS = 64
 SEED = 42
@@ -33,8 +34,11 @@ MAX_DISTANCE = 2
 ANCHOR_GROUP = 1000
 #: Words of a document that are hashed at a time.
 WORDS_AT_ONCE = 1 << 17
-#: Fingerprints that are replicated at a time.
-REPLICATED_AT_ONCE = 1 << 13
+#: Points whose nearest anchors are found at a time, and replicas that are compared at a time.
+POINTS_AT_ONCE = 1 << 21
+COMPARED_AT_ONCE = 1 << 17
+#: Up to so many fingerprints of an anchor all pairs are looked at, many anchors at a time.
+FEW = 8
 
 #: (length, check bits, generator polynomial, radius) of each block's cyclic code. Fixed values.
 BLOCKS = (
@@ -155,7 +159,11 @@ def ball(radius: int) -> np.ndarray:
 
 
 def anchors(values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, anchor) for the nearest anchors of all points within `reach` bits of each value."""
+    """(row, anchor) for the nearest anchors of all points within `reach` bits of each value.
+
+    As the codes are perfect, these are all anchors within the radius of each block but for
+    `reach` bits in all.
+    """
     flips = ball(reach)
     found = np.zeros((len(values), len(flips)), dtype=np.uint64)
     low = 0
@@ -173,13 +181,14 @@ def anchors(values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _replicas(classes: DataFrame, reach: int) -> DataFrame:
-    """(anchor, fingerprint): each fingerprint at every anchor it has to be compared at."""
+    """(anchor, fingerprint): each fingerprint at every anchor within radius plus `reach`."""
+    at_once = max(1, POINTS_AT_ONCE // len(ball(reach)))
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = np.asarray(batch.column(0)).view(np.uint64)
-            for first in range(0, len(whole), REPLICATED_AT_ONCE):
-                values = whole[first : first + REPLICATED_AT_ONCE]
+            for first in range(0, len(whole), at_once):
+                values = whole[first : first + at_once]
                 rows, found = anchors(values, reach)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(values[rows].view(np.int64))],
@@ -220,48 +229,115 @@ def _group_links(groups: DataFrame, distance: int) -> DataFrame:
     return groups.select("members").mapInArrow(link, "a long, b long")
 
 
+def anchor_links(
+    at: np.ndarray, values: np.ndarray, distance: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links (a, b) of fingerprints that meet at a home, and the fingerprints of crowded homes.
+
+    `at` has the anchor of each fingerprint, those of one anchor together. Where none is at home
+    nothing is compared.
+    """
+
+    def groups() -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])[: len(at)])
+        return first, np.diff(np.append(first, len(at)))
+
+    sizes = groups()[1]
+    some = np.repeat(sizes > 1, sizes)
+    at, values = at[some], values[some]
+    first, sizes = groups()
+    if not len(first):
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none
+    home = anchors(values.view(np.uint64), 0)[1].view(np.int64) == at
+    used = np.logical_or.reduceat(home, first)
+    first, sizes = first[used], sizes[used]
+    a, b = [], []
+    for size in range(2, FEW + 1):
+        members = values[first[sizes == size][:, None] + np.arange(size)]
+        for i, j in combinations(range(size), 2):
+            apart = np.bitwise_count((members[:, i] ^ members[:, j]).view(np.uint64))
+            a.append(members[apart <= distance, i])
+            b.append(members[apart <= distance, j])
+    for begin, size in zip(*(x[(sizes > FEW) & (sizes <= ANCHOR_GROUP)] for x in (first, sizes))):
+        found = spanning_links(values[begin : begin + size], distance)
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        a.append(pairs[:, 0])
+        b.append(pairs[:, 1])
+    large = sizes > ANCHOR_GROUP
+    crowded = [values[x : x + size] for x, size in zip(first[large], sizes[large])]
+    return np.concatenate(a), np.concatenate(b), np.concatenate([values[:0], *crowded])
+
+
+def _compared(replicas: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links found anchor by anchor; b is null where a is one of a crowded anchor."""
+
+    def rows(a: np.ndarray, b: np.ndarray | None = None) -> pa.RecordBatch:
+        other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)
+        return pa.RecordBatch.from_arrays([pa.array(a), other], ["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, dtype=np.int64)
+        at, values, crowd = none, none, None
+        for batch in _joined(batches):
+            at = np.concatenate([at, batch[0]])
+            values = np.concatenate([values, batch[1]])
+            if crowd is not None:  # an anchor whose fingerprints are already more than one holds
+                more = np.searchsorted(at, crowd, side="right")
+                yield rows(values[:more])
+                at, values = at[more:], values[more:]
+            # The last anchor may have more fingerprints to come.
+            whole = np.searchsorted(at, at[-1]) if len(at) else 0
+            a, b, crowded = anchor_links(at[:whole], values[:whole], distance)
+            yield rows(a, b)
+            yield rows(crowded)
+            at, values = at[whole:], values[whole:]
+            if len(at) > ANCHOR_GROUP:
+                yield rows(values)
+                at, values, crowd = none, none, at[-1]
+        a, b, crowded = anchor_links(at, values, distance)
+        yield rows(a, b)
+        yield rows(crowded)
+
+    dealt = replicas.repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of batches, COMPARED_AT_ONCE rows and more at a time."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append([np.asarray(column) for column in batch.columns])
+        rows += batch.num_rows
+        if rows >= COMPARED_AT_ONCE:
+            yield [np.concatenate(column) for column in zip(*held)]
+            held, rows = [], 0
+    if held:
+        yield [np.concatenate(column) for column in zip(*held)]
+
+
 def links(scratch: Scratch, classes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Links (a, b) between distinct fingerprints; their components are those of all links.
 
-    At an anchor of two the pair is compared in SQL, at one of up to ANCHOR_GROUP a task gets
-    them all. At a larger one each fingerprint is dealt to the points around it instead, where
-    at most a ball's number of distinct fingerprints can meet.
+    Replicas are sorted by anchor, and a task compares those of one anchor after the other. Of
+    an anchor with more than ANCHOR_GROUP fingerprints these are dealt to the points within
+    ceil(t / 2) bits of each instead, as linked ones have such a point in common; at most a
+    ball's number of distinct fingerprints can meet at one.
     """
     if not 0 <= max_distance <= 4:
         raise ValueError("max_distance must be from 0 to 4")
-    reach = (max_distance + 1) // 2
-    replicas = _replicas(classes, reach)
-    crowded = scratch.table(
-        replicas.groupBy("anchor")
-        .agg(
-            F.count("*").alias("size"),
-            F.min("fingerprint").alias("a"),
-            F.max("fingerprint").alias("b"),
-        )
-        .where("size > 1")
-    )
-    pairs = crowded.where("size = 2").where(
-        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
-    )
-    larger = scratch.table(crowded.where("size > 2").select("anchor", "size"))
-    members = table_join(replicas, larger, ["anchor"], ["fingerprint"])
-    groups = (
-        members.where(F.col("size") <= ANCHOR_GROUP)
-        .groupBy("anchor")
-        .agg(F.collect_list("fingerprint").alias("members"))
-    )
-    patterns = F.lit([int(x) for x in ball(reach).view(np.int64)])
+    found = scratch.table(_compared(_replicas(classes, max_distance), max_distance))
+    patterns = F.lit([int(x) for x in ball((max_distance + 1) // 2).view(np.int64)])
     midpoints = (
-        members.where(F.col("size") > ANCHOR_GROUP)
-        .select("fingerprint")
+        found.where("b is null")
+        .select(F.col("a").alias("fingerprint"))
         .distinct()
         .withColumn("pattern", F.explode(patterns))
         .groupBy(F.col("fingerprint").bitwiseXOR(F.col("pattern")).alias("midpoint"))
         .agg(F.collect_set("fingerprint").alias("members"))
         .where(F.size("members") > 1)
     )
-    rest = groups.select("members").union(midpoints.select("members"))
-    return pairs.select("a", "b").union(_group_links(rest, max_distance))
+    return found.where("b is not null").union(_group_links(midpoints, max_distance))
 
 
 def near_duplicates(
@@ -292,18 +368,22 @@ def near_duplicates(
         )
     )
     roots = components(scratch, links(scratch, classes, max_distance))
-    linked = classes.join(
-        roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left"
-    ).select("fingerprint", "size", "least", F.coalesce("root", "fingerprint").alias("root"))
+    linked = scratch.table(
+        classes.join(
+            roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left"
+        ).select("fingerprint", "size", "least", F.coalesce("root", "fingerprint").alias("root"))
+    )
     named = linked.groupBy("root").agg(
         F.min("least").alias("component_id"), F.sum("size").alias("total")
     )
     # Only fingerprints that share their component with another row need a lookup.
-    shared = salted_join(
-        linked, named.where("total > 1").drop("total"), ["root"], ["fingerprint"]
+    several = named.where("total > 1").drop("total")
+    shared = lookup_join(
+        linked, several, "root", "inner", heavy_keys(linked, "root"), ["fingerprint"]
     ).select("fingerprint", "component_id", "root", F.lit(True).alias("shared"))
     root = F.coalesce("root", "fingerprint").alias("root")
-    return salted_join(prints, shared, ["fingerprint"], ["doc_id"], "left").select(
+    heavy = heavy_keys(prints, "fingerprint")
+    return lookup_join(prints, shared, "fingerprint", "left", heavy, ["doc_id"]).select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.when(F.col("shared"), F.col("component_id")).otherwise(F.col("doc_id")).alias(

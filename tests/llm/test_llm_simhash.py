@@ -61,6 +61,70 @@ def test_linked_points_share_an_anchor():
             assert all((int(value) ^ a).bit_count() <= radius + reach for a in near[0])
 
 
+def code_words(block):
+    length, checks, generator, _ = block
+    words = {0}
+    for shift in range(length - checks):
+        words |= {word ^ generator << shift for word in words}
+    return words
+
+
+@pytest.mark.parametrize("reach", [0, 1, 2, 3])
+def test_anchors_are_all_within_covering_radius_plus_threshold(reach):
+    """Compared with every combination of the blocks' code words."""
+    rng = random.Random(reach)
+    for value in (0, (1 << 64) - 1, *(rng.getrandbits(64) for _ in range(3))):
+        want, low = {0: 0}, 0  # anchor so far: bits beyond the radius of its blocks
+        for block in simhash.BLOCKS:
+            part = value >> low & (1 << block[0]) - 1
+            beyond = {w: max(0, (w ^ part).bit_count() - block[3]) for w in code_words(block)}
+            near = {w: n for w, n in beyond.items() if n <= reach}
+            want = {
+                anchor | w << low: total + n
+                for anchor, total in want.items()
+                for w, n in near.items()
+                if total + n <= reach
+            }
+            low += block[0]
+        found = simhash.anchors(np.array([value], dtype=np.uint64), reach)[1].tolist()
+        assert len(found) == len(set(found)) and set(found) == set(want)
+
+
+def test_a_linked_one_visits_the_home_of_the_other():
+    rng = random.Random(3)
+    for distance in (0, 1, 2, 3):
+        for _ in range(5):
+            value = rng.getrandbits(64)
+            other = value ^ sum(1 << b for b in rng.sample(range(64), distance))
+            home = simhash.anchors(np.array([value], dtype=np.uint64), 0)[1]
+            visits = simhash.anchors(np.array([other], dtype=np.uint64), distance)[1]
+            assert len(home) == 1 and home[0] in visits
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_groups_that_go_on_in_the_next_rows(spark, monkeypatch, at_once):
+    """Anchors cut anywhere, crowded ones too: each fingerprint is compared or handed on."""
+    monkeypatch.setattr(simhash, "ANCHOR_GROUP", 20)
+    monkeypatch.setattr(simhash, "COMPARED_AT_ONCE", at_once)
+    sizes = {5: 1, 6: 2, 7: 21, 8: 20, 9: 60, 10: 3}
+    home = {n: int(simhash.anchors(np.array([n << 40], "u8"), 0)[1][0]) for n in sizes}
+    ball = simhash.ball(1).tolist()
+    members = {
+        home[n]: [int(x) ^ home[n] for x in ball if x < 1 << 62][:size] for n, size in sizes.items()
+    }
+    rows = [(anchor, value) for anchor, values in members.items() for value in values]
+    replicas = spark.createDataFrame(rows, "anchor long, fingerprint long").coalesce(1)
+    found = simhash._compared(replicas, 2).collect()
+    crowded = {v for values in members.values() if len(values) > 20 for v in values}
+    assert {r["a"] for r in found if r["b"] is None} == crowded
+    linked = [(r["a"], r["b"]) for r in found if r["b"] is not None]
+    links = spark.createDataFrame(linked, "a long, b long")
+    roots = {r["node"]: r["root"] for r in components(Scratch(spark), links).collect()}
+    for values in members.values():
+        if 1 < len(values) <= 20:
+            assert {roots[v] for v in values} == {min(values)}
+
+
 @pytest.mark.parametrize("group", [1000, 3])
 @pytest.mark.parametrize("distance", [0, 2, 3])
 def test_links(spark, monkeypatch, group, distance):
