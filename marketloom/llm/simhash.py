@@ -37,6 +37,8 @@ WORDS_AT_ONCE = 1 << 17
 #: Points whose nearest anchors are found at a time, and replicas that are compared at a time.
 POINTS_AT_ONCE = 1 << 21
 COMPARED_AT_ONCE = 1 << 17
+#: Fingerprints that a task replicates, about: their number tells the work, their bytes do not.
+REPLICATED_BY_TASK = 1 << 13
 #: Up to so many fingerprints of an anchor all pairs are looked at, many anchors at a time.
 FEW = 8
 
@@ -319,14 +321,16 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 def links(scratch: Scratch, classes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Links (a, b) between distinct fingerprints; their components are those of all links.
 
-    Replicas are sorted by anchor, and a task compares those of one anchor after the other. Of
+    `classes` is a written table, whose rows are counted from the files' footers. Replicas are sorted by anchor, and a task compares those of one anchor after the other. Of
     an anchor with more than ANCHOR_GROUP fingerprints these are dealt to the points within
     ceil(t / 2) bits of each instead, as linked ones have such a point in common; at most a
     ball's number of distinct fingerprints can meet at one.
     """
     if not 0 <= max_distance <= 4:
         raise ValueError("max_distance must be from 0 to 4")
-    found = scratch.table(_compared(_replicas(classes, max_distance), max_distance))
+    tasks = max(1, -(-classes.count() // REPLICATED_BY_TASK))
+    dealt = classes.select("fingerprint").repartition(tasks, "fingerprint")
+    found = scratch.table(_compared(_replicas(dealt, max_distance), max_distance))
     patterns = F.lit([int(x) for x in ball((max_distance + 1) // 2).view(np.int64)])
     midpoints = (
         found.where("b is null")
