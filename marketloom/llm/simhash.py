@@ -321,10 +321,11 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 def links(scratch: Scratch, classes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Links (a, b) between distinct fingerprints; their components are those of all links.
 
-    `classes` is a written table, whose rows are counted from the files' footers. Replicas are sorted by anchor, and a task compares those of one anchor after the other. Of
-    an anchor with more than ANCHOR_GROUP fingerprints these are dealt to the points within
-    ceil(t / 2) bits of each instead, as linked ones have such a point in common; at most a
-    ball's number of distinct fingerprints can meet at one.
+    `classes` is a written table, whose rows are counted from the files' footers. Replicas are
+    sorted by anchor, and a task compares those of one anchor after the other. Of an anchor with
+    more than ANCHOR_GROUP fingerprints these are dealt to the points within ceil(t / 2) bits of
+    each instead, as linked ones have such a point in common; at most a ball's number of
+    distinct fingerprints can meet at one.
     """
     if not 0 <= max_distance <= 4:
         raise ValueError("max_distance must be from 0 to 4")
