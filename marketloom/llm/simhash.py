@@ -6,7 +6,7 @@ of one. Here the 64 bits are cut into blocks of 23, 23, 15 and 3 bits, each with
 2^36 anchors of radius 8. Each point has one nearest anchor, found from its syndrome.
 
 Each fingerprint is replicated to every anchor within covering radius plus threshold t: to those
-whose blocks lie within their radius of the fingerprint's, but for t bits in all, about 166 for
+whose blocks lie within their radius of the fingerprint's, but for t bits in all, about 165 for
 t = 2. Of two fingerprints that differ in at most t bits, the nearest anchor of one, its home, is
 within that distance of the other. So linked fingerprints meet at a home, and are compared there.
 """
