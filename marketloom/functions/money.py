@@ -23,6 +23,8 @@ whatever the session's ANSI setting.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,7 @@ def grouped(
     amounts: Mapping[str, str],
     others: Mapping[str, Column] | None = None,
     sums: bool = False,
+    plain: bool = False,
 ) -> DataFrame:
     """The rows grouped by keys: exact sums of the amounts, and other aggregates.
 
@@ -59,8 +62,16 @@ def grouped(
     sum is a struct for ``rounded`` and ``average``.  Each row goes into its group once,
     and once for every place of an amount beyond ``DIRECT``; those add up by themselves,
     combined within map tasks like all else.
+
+    ``plain`` says that no amount is beyond ``DIRECT``, as ``no_large`` finds of a stored
+    table.  The rows are then grouped by the keys alone, once.
     """
     others = others or {}
+    named = [aggregate.alias(name) for name, aggregate in others.items()]
+    if plain:
+        if sums:
+            raise ValueError("exact sums tell by themselves whether they are large")
+        return rows.groupBy(*keys).agg(*[_plain_sum(c, n) for n, c in amounts.items()], *named)
     parts = {name: _sum_parts(c) if sums else _parts(c) for name, c in amounts.items()}
     places = [
         _numbered(f"{c}.places IS NOT NULL", _sum_places(c), n)
@@ -74,12 +85,15 @@ def grouped(
         F.expr(f"struct({', '.join(f'sum({p}) AS {f}' for f, p in fields.items())})").alias(name)
         for name, fields in parts.items()
     ]
-    named = [aggregate.alias(name) for name, aggregate in others.items()]
     place = F.expr("struct(_large.amount, _large.place)").alias("_place")
     found = each.groupBy(*keys, place).agg(F.sum("_large.digit").alias("_digit"), *totals, *named)
-    whole = ", ".join([*amounts, *others])
+    # Each by itself, so that one nobody asks for is not computed.
+    whole = [
+        F.expr(f"max({name}) FILTER (WHERE _place.place IS NULL)").alias(name)
+        for name in [*amounts, *others]
+    ]
     joined = found.groupBy(*keys).agg(
-        F.expr(f"max(struct({whole})) FILTER (WHERE _place.place IS NULL)").alias("_whole"),
+        *whole,
         # A place is one row here.
         F.expr(
             "collect_list(struct(_place.amount, _place.place, _digit))"
@@ -88,12 +102,21 @@ def grouped(
     )
     settled = [
         F.expr(
-            f"struct({', '.join(f'_whole.{name}.{f} AS {f}' for f in _FIELDS)},"
+            f"struct({', '.join(f'{name}.{f} AS {f}' for f in _FIELDS)},"
             f" {_dense(n)} AS places)"
         ).alias(name)
         for n, name in enumerate(amounts)
     ]
-    return joined.select(*keys, *settled, *[F.col(f"_whole.{n}").alias(n) for n in others])
+    return joined.select(*keys, *settled, *others)
+
+
+def no_large(rows: DataFrame, *amounts: str) -> bool:
+    """Whether a stored table has no amount beyond ``DIRECT`` in these columns.
+
+    The files' own minima and maxima answer for nearly all of them; one such amount ends it.
+    """
+    beyond = [(F.col(c) > DIRECT) | (F.col(c) < -DIRECT) for c in amounts]
+    return rows.select(*amounts).filter(reduce(or_, beyond)).isEmpty()
 
 
 def rounded(total: str, digits: int | None = 2) -> Column:
@@ -146,6 +169,11 @@ def _parts(amount: str) -> dict[str, str]:
     }
 
 
+def _plain_sum(amount: str, name: str) -> Column:
+    fields = ", ".join(f"sum({part}) AS {field}" for field, part in _parts(amount).items())
+    return F.expr(f"struct({fields}, CAST(NULL AS array<bigint>) AS places)").alias(name)
+
+
 def _sum_parts(total: str) -> dict[str, str]:
     return {field: f"{total}.{field}" for field in _FIELDS}
 

@@ -12,8 +12,11 @@ from marketloom.operators.joins import heavy_keys, lookup_join
 from marketloom.schemas import GOLD
 
 
-def payments_per_order(payments: DataFrame) -> DataFrame:
-    """One row per order; the primary type is the type of the first payment."""
+def payments_per_order(payments: DataFrame, plain: bool = False) -> DataFrame:
+    """One row per order; the primary type is the type of the first payment.
+
+    ``plain`` as in ``money.grouped``.
+    """
     sequence = F.col("payment_sequential")
     first = F.struct(sequence.isNull(), sequence, "payment_type")
     orders = grouped(
@@ -25,6 +28,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
             "primary_payment_type": F.min_by("payment_type", first),
             "max_installments": F.max("payment_installments"),
         },
+        plain=plain,
     )
     total = rounded("total").alias("total_payment_value")
     return orders.select("order_id", total, *orders.columns[2:])
@@ -38,6 +42,7 @@ def build_fact_orders(
     how: str = "inner",
     raw_items: DataFrame | None = None,
     raw_orders: DataFrame | None = None,
+    plain: bool = False,
 ) -> DataFrame:
     """One row per order item; ``how="left"`` also keeps items without an order.
 
@@ -46,7 +51,8 @@ def build_fact_orders(
     spread their heavy keys, since adaptive execution cannot split a join whose other
     side is a join already.  The keys are counted on ``raw_items`` and ``raw_orders``
     where items and orders are no stored tables but computed from these.  The order's
-    payment total repeats on each of its items: do not add it up.
+    payment total repeats on each of its items: do not add it up.  ``plain`` is said of the
+    payments, as in ``money.grouped``.
     """
     persons = customers.select("customer_id", "customer_unique_id")
     known = lookup_join(
@@ -59,7 +65,7 @@ def build_fact_orders(
     )
     # An item whose order is missing may still have payments.
     paid_how = "left" if how == "inner" else "full"
-    paid = known.join(payments_per_order(payments), "order_id", paid_how)
+    paid = known.join(payments_per_order(payments, plain), "order_id", paid_how)
     rows = lookup_join(
         items,
         paid,

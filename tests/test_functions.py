@@ -22,6 +22,7 @@ from marketloom.functions.money import (
     average,
     avg_whole,
     grouped,
+    no_large,
     rounded,
     valid,
 )
@@ -169,6 +170,43 @@ def test_sums_of_any_size_are_exact(spark):
         assert row["s"] == float(sum(exact[g][0] for g, h in own if h == row["h"]))
 
 
+def test_plain_sums_are_the_general_ones_and_are_grouped_once(spark, capsys):
+    rows = [(1, 0.1), (1, 0.2), (1, math.nan), (2, None), (None, -DIRECT), (None, DIRECT), (3, math.inf)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    others = {"n": F.count(valid(F.col("x")))}
+    found = {}
+    for plain in (False, True):
+        sums = grouped(df, ["g"], {"t": "x"}, others, plain=plain)
+        fine = sums.select("g", rounded("t").alias("s"), average("t", "n").alias("a"), "n")
+        found[plain] = sorted(map(tuple, fine.collect()), key=repr)
+        assert sums.schema["t"].dataType.fieldNames() == ["high", "middle", "low", "places"]
+    assert found[True] == found[False]
+    capsys.readouterr()
+    sums.explain()
+    tree = capsys.readouterr().out
+    assert tree.count("Exchange") == 1 and "Generate" not in tree
+    with pytest.raises(ValueError):
+        grouped(sums, ["n"], {"u": "t"}, sums=True, plain=True)
+
+
+def test_unasked_aggregates_are_not_computed(spark, capsys):
+    df = spark.createDataFrame([(1, "a", 1.0)], "g int, k string, x double")
+    sums = grouped(df, ["g"], {"t": "x"}, {"kinds": F.count_distinct("k")})
+    capsys.readouterr()
+    sums.select("g", "t").explain()
+    assert "distinct" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize(
+    "amounts, expected",
+    [([1.0, None, DIRECT, -DIRECT], True), ([], True), ([1.0, 1e15], False), ([-1e15], False)],
+)
+def test_stored_large_amounts_are_noticed(spark, tmp_path, amounts, expected):
+    df = spark.createDataFrame([(1.0, x) for x in amounts], "y double, x double")
+    df.write.parquet(f"{tmp_path}/t")
+    assert no_large(spark.read.parquet(f"{tmp_path}/t"), "y", "x") is expected
+
+
 def test_averages_round_half_up(spark):
     assert mean(spark, [0.01, 0.02]) == 0.02
     assert mean(spark, [1.0, None]) == 1.0
