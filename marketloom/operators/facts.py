@@ -54,6 +54,23 @@ def build_fact_orders(
     payment total repeats on each of its items: do not add it up.  ``plain`` is said of the
     payments, as in ``money.grouped``.
     """
+    paid = paid_orders(orders, payments, customers, how, raw_orders, plain)
+    return items_of_orders(items, paid, how, raw_items)
+
+
+def paid_orders(
+    orders: DataFrame,
+    payments: DataFrame,
+    customers: DataFrame,
+    how: str = "inner",
+    raw_orders: DataFrame | None = None,
+    plain: bool = False,
+) -> DataFrame:
+    """One row per order with its person and payments, narrowed to what its items take from it.
+
+    For ``how="left"`` there is also one per order that is known by payments only.  The other
+    parameters are those of ``build_fact_orders``.
+    """
     persons = customers.select("customer_id", "customer_unique_id")
     known = lookup_join(
         orders,
@@ -66,6 +83,21 @@ def build_fact_orders(
     # An item whose order is missing may still have payments.
     paid_how = "left" if how == "inner" else "full"
     paid = known.join(payments_per_order(payments, plain), "order_id", paid_how)
+    on_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
+    taken = paid.withColumns(
+        {
+            "order_date_key": date_key(F.col("order_purchase_timestamp")),
+            "was_delivered_on_time": on_time,
+        }
+    )
+    names = GOLD["fact_orders"].fieldNames()
+    return taken.select(*[name for name in names if name in taken.columns])
+
+
+def items_of_orders(
+    items: DataFrame, paid: DataFrame, how: str = "inner", raw_items: DataFrame | None = None
+) -> DataFrame:
+    """The fact: items joined to ``paid_orders``, as in ``build_fact_orders``."""
     rows = lookup_join(
         items,
         paid,
@@ -74,11 +106,7 @@ def build_fact_orders(
         heavy_keys(items if raw_items is None else raw_items, "order_id"),
         ["order_item_id", "product_id"],
     )
-    on_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
+    on_time = F.coalesce("was_delivered_on_time", F.lit(False))
     return rows.withColumns(
-        {
-            "order_date_key": date_key(F.col("order_purchase_timestamp")),
-            "gross_revenue": item_total(),
-            "was_delivered_on_time": F.coalesce(on_time, F.lit(False)),
-        }
+        {"gross_revenue": item_total(), "was_delivered_on_time": on_time}
     ).select(*GOLD["fact_orders"].fieldNames())

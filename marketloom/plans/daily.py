@@ -14,7 +14,14 @@ from marketloom.functions import money
 from marketloom.operators import clean, dims, facts, marts, publish, quality
 from marketloom.schemas import GOLD, PARTITIONS, RAW, SILVER
 from marketloom.sources import manifest
-from marketloom.sources.tables import one_delivery, read_raw_csv, read_table, write_table
+from marketloom.sources.tables import (
+    dropping_shuffles,
+    one_delivery,
+    read_raw_csv,
+    read_table,
+    shared_path,
+    write_table,
+)
 
 # The names under which raw files are delivered.
 RAW_FILES = {
@@ -59,10 +66,11 @@ def run(
     """
     # A run repeated after a failure must not meet the version it left behind.
     run_id = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    silver_rows = to_silver(spark, raw_root, lake_root, run_id, run_ts, raw_files)
-    gold_rows = to_gold(spark, lake_root, run_id, run_ts, first_day, last_day)
-    lines = load(spark, lake_root, run_id, minima, database)
-    return Report(silver_rows, gold_rows, lines + check(spark, lake_root, checks))
+    with dropping_shuffles(spark):
+        silver_rows = to_silver(spark, raw_root, lake_root, run_id, run_ts, raw_files)
+        gold_rows = to_gold(spark, lake_root, run_id, run_ts, first_day, last_day)
+        lines = load(spark, lake_root, run_id, minima, database)
+        return Report(silver_rows, gold_rows, lines + check(spark, lake_root, checks))
 
 
 def to_silver(
@@ -164,7 +172,7 @@ def write_silver(
         path = manifest.version_path(root, name, run_id)
         return write_table(df, path, PARTITIONS.get(name, ()), mode="errorifexists")
 
-    rows = _write_together(clean_all(raw, run_ts), write)
+    rows = _write_together(spark, clean_all(raw, run_ts), write)
     manifest.announce(spark, root, rows, run_id)
     return rows
 
@@ -192,11 +200,17 @@ def stage_gold(
 ) -> dict[str, int]:
     """Write a version of every gold table; the marts read what was just written.
 
+    The orders with their persons and payments are written to the shared folder before they
+    meet the items, so the fact's join holds no shuffle files of theirs.
+
     Stored amounts are looked up for ones too large for the plain sums, which cost a grouping
     less; with any, all are summed by ``money.grouped``'s general way.
     """
+    paid_path = shared_path(spark, "paid_orders")
 
     def stage(table: str, df: DataFrame) -> int:
+        if table == "paid_orders":
+            return write_table(df, paid_path, mode="errorifexists")
         return publish.stage(df, root, table, run_id)
 
     customers, products, sellers = silver["customers"], silver["products"], silver["sellers"]
@@ -206,15 +220,18 @@ def stage_gold(
         "dim_customers": dims.build_dim_customers(customers, run_ts),
         "dim_products": dims.build_dim_products(products, run_ts),
         "dim_sellers": dims.build_dim_sellers(sellers, run_ts),
-        "fact_orders": facts.build_fact_orders(
-            silver["order_items"],
+        "paid_orders": facts.paid_orders(
             silver["orders"],
             payments,
             customers,
             plain=money.no_large(payments, "payment_value"),
         ),
     }
-    rows = _write_together(first, stage)
+    rows = _write_together(spark, first, stage)
+    del rows["paid_orders"]
+    paid = read_table(spark, paid_path, first["paid_orders"].schema)
+    items = {"fact_orders": facts.items_of_orders(silver["order_items"], paid)}
+    rows |= _write_together(spark, items, stage)
     fact = publish.staged(spark, root, "fact_orders", run_id)
     persons = publish.staged(spark, root, "dim_customers", run_id)
     plain = money.no_large(fact, "price", "freight_value", "gross_revenue")
@@ -223,14 +240,19 @@ def stage_gold(
         "customer_lifetime_value": marts.customer_lifetime_value(fact, persons, plain=plain),
         "seller_performance": marts.seller_performance(fact, sellers, plain=plain),
     }
-    return rows | _write_together(then, stage)
+    return rows | _write_together(spark, then, stage)
 
 
 def _write_together(
-    tables: Mapping[str, DataFrame], write: Callable[[str, DataFrame], int]
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    write: Callable[[str, DataFrame], int],
 ) -> dict[str, int]:
-    """Run independent writes side by side, so one table's last tasks leave no core idle."""
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+    """Run independent writes side by side, so one table's last tasks leave no core idle.
+
+    The shuffle files of a write go when it ends.
+    """
+    with dropping_shuffles(spark), ThreadPoolExecutor(max_workers=len(tables)) as pool:
         running = {name: pool.submit(write, name, df) for name, df in tables.items()}
         return {name: job.result() for name, job in running.items()}
 

@@ -15,6 +15,7 @@ from marketloom.plans import daily
 from marketloom.schemas import BY_MONTH, GOLD, RAW, SILVER
 from marketloom.sources.standins import EXTREME, SKEWED, Standins
 from marketloom.sources.tables import (
+    dropping_shuffles,
     read_raw_csv,
     read_table,
     shared_path,
@@ -142,8 +143,9 @@ def daily_lake(shop: Shop) -> str:
     key = (shop.spark.sparkContext.applicationId, shop.sf_dir)
     if key not in _LAKES:
         root = shared_path(shop.spark, "daily")
-        for name, file in daily.RAW_FILES.items():
-            write_raw_csv(shop.raw(name), f"{root}/raw/{file.replace('*', 'shop')}")
+        with dropping_shuffles(shop.spark):
+            for name, file in daily.RAW_FILES.items():
+                write_raw_csv(shop.raw(name), f"{root}/raw/{file.replace('*', 'shop')}")
         daily.run(
             shop.spark, f"{root}/raw", root, RUN_TS, minima={}, checks=DAILY_CHECKS, database=None
         )

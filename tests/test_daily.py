@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -35,6 +36,21 @@ def delivered(spark, tmp_path_factory):
     return str(root)
 
 
+def shuffle_files(spark):
+    environment = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = environment.blockManager().diskBlockManager().localDirs()
+    return {file for folder in folders for file in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def left_by(spark, step):
+    """Shuffle files that the step leaves; they are removed in the background."""
+    before, until = shuffle_files(spark), time.monotonic() + 20
+    step()
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    return left
+
+
 def snapshot(spark, lake):
     root = daily.gold_root(str(lake))
     tables = {t: publish.published(spark, root, t) for t in GOLD}
@@ -153,3 +169,19 @@ def test_a_write_that_fails_half_way_leaves_silver_readable(spark, tmp_path):
 def test_silver_must_have_been_published(spark, tmp_path):
     with pytest.raises(LookupError, match="orders"):
         daily.read_silver(spark, f"{tmp_path}/silver")
+
+
+def test_no_step_leaves_its_shuffle_files(spark, delivered, tmp_path):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+
+    def run():
+        daily.run(spark, delivered, str(tmp_path), RUN_TS, minima={}, checks=CHECKS, database=None)
+
+    def gold_alone():
+        silver = daily.read_silver(spark, daily.silver_root(str(tmp_path)))
+        daily.stage_gold(spark, silver, f"{tmp_path}/again", "r", RUN_TS)
+
+    assert not left_by(spark, run)
+    assert not left_by(spark, gold_alone)
+    assert spark.conf.get(setting) == before

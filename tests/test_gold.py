@@ -9,6 +9,7 @@ from marketloom.functions import money
 from marketloom.operators import dims, facts, marts
 from marketloom.plans.queries import Shop
 from marketloom.schemas import GOLD, stored
+from marketloom.sources.tables import read_table, write_table
 
 NOON = datetime(2018, 3, 10, 12)
 
@@ -191,6 +192,19 @@ def test_later_on_the_estimated_day_is_late_without_delay(spark, shop_frames):
     assert (row["was_delivered_on_time"], row["delivery_delay_days"]) == (False, 0)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_paid_orders_can_be_stored_before_the_items_join(spark, shop_frames, tmp_path, how):
+    items, orders, payments, customers = shop_frames
+    paid = facts.paid_orders(orders, payments, customers, how)
+    assert "order_estimated_delivery_date" not in paid.columns
+    path = str(tmp_path / "paid")
+    assert write_table(paid, path) == {"inner": 2, "left": 3}[how]
+    fact = facts.items_of_orders(items, read_table(spark, path, paid.schema), how)
+    whole = facts.build_fact_orders(*shop_frames, how=how)
+    assert layout(fact) == layout(whole)
+    assert columns(fact, *fact.columns) == columns(whole, *whole.columns)
+
+
 # marts
 
 

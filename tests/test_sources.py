@@ -50,6 +50,20 @@ def test_csv_roundtrip_keeps_padding(spark, tmp_path):
     assert columns(back, "x", "y") == columns(df, "x", "y")
 
 
+def test_csv_is_written_compressed_and_in_bounded_files(spark, tmp_path):
+    """A task reads a compressed file whole, so a large partition becomes several files."""
+    df = spark.range(0, 600_000, numPartitions=1).selectExpr(
+        "cast(id as string) AS order_id", "concat(id % 97, '.50') AS price"
+    )
+    write_raw_csv(df, str(tmp_path / "out"))
+    files = list((tmp_path / "out").glob("part-*"))
+    assert len(files) == 3 and all(file.name.endswith(".csv.gz") for file in files)
+    text = df.selectExpr("sum(length(order_id) + length(price) + 2) AS n").first()["n"]
+    assert sum(file.stat().st_size for file in files) < text / 2
+    back = read_raw_csv(spark, str(tmp_path / "out"), ["order_id", "price"])
+    assert back.count() == 600_000 and back.exceptAll(df).isEmpty()
+
+
 def test_partitioned_table_roundtrip(spark, tmp_path):
     rows = [
         {"order_id": f"o{i}", "purchase_year": 2018, "purchase_month": 1 + i % 3,
