@@ -34,6 +34,19 @@ RAW_FILES = {
     "sellers": "*_sellers_dataset.csv",
 }
 
+# Tables that grow with the orders, or are computed from the fact, which does.
+_LARGE = (
+    "orders",
+    "customers",
+    "order_items",
+    "payments",
+    "paid_orders",
+    "fact_orders",
+    "revenue_by_category",
+    "customer_lifetime_value",
+    "seller_performance",
+)
+
 
 @dataclass(frozen=True)
 class Report:
@@ -248,13 +261,25 @@ def _write_together(
     tables: Mapping[str, DataFrame],
     write: Callable[[str, DataFrame], int],
 ) -> dict[str, int]:
-    """Run independent writes side by side, so one table's last tasks leave no core idle.
+    """Write independent tables side by side, of the large ones two at a time.
 
-    The shuffle files of a write go when it ends.
+    One table's last tasks so leave no core idle, and the disks hold the shuffle files of two
+    large tables at most, since those of a write go when it ends.
     """
-    with dropping_shuffles(spark), ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        running = {name: pool.submit(write, name, df) for name, df in tables.items()}
-        return {name: job.result() for name, job in running.items()}
+    with (
+        dropping_shuffles(spark),
+        ThreadPoolExecutor(max_workers=2) as large,
+        ThreadPoolExecutor(max_workers=len(tables)) as small,
+    ):
+        running = {
+            name: (large if name in _LARGE else small).submit(write, name, df)
+            for name, df in tables.items()
+        }
+        try:
+            return {name: job.result() for name, job in running.items()}
+        finally:
+            for job in running.values():
+                job.cancel()  # after a failure, what has not begun
 
 
 def silver_root(lake_root: str) -> str:

@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import threading
 import time
 from datetime import date, datetime
 from pathlib import Path
@@ -171,6 +172,31 @@ def test_silver_must_have_been_published(spark, tmp_path):
         daily.read_silver(spark, f"{tmp_path}/silver")
 
 
+def test_large_tables_are_written_two_at_a_time(spark):
+    """Shuffle files of two of them at most are on the disks; small ones do not wait for them."""
+    lock, running, most = threading.Lock(), set(), []
+
+    def write(name, number):
+        with lock:
+            running.add(name)
+            most.append({n for n in running if n.startswith("fact") or n in LARGE})
+        time.sleep(0.2)
+        with lock:
+            running.remove(name)
+        return number
+
+    LARGE = ("orders", "customers", "order_items", "payments", "seller_performance")
+    tables = {name: n for n, name in enumerate(("fact_orders", "dim_sellers", *LARGE))}
+    assert daily._write_together(spark, tables, write) == tables
+    assert max(map(len, most)) == 2
+
+    def fail(name, number):
+        raise ValueError(name)
+
+    with pytest.raises(ValueError, match="fact_orders"):
+        daily._write_together(spark, tables, fail)
+
+
 def test_no_step_leaves_its_shuffle_files(spark, delivered, tmp_path):
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(setting)
